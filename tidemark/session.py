@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -51,13 +53,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_shared_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and cut its lineage.
+def durable(df: DataFrame, label: str = "step") -> DataFrame:
+    """Write ``df`` as a table under the shared root and read it back.
 
-    Used where a result is read more than once and must be the same each time, also
-    after an executor is lost.
+    Cuts the lineage where a result is read more than once and must be the same each
+    time, also after an executor is lost. A Parquet table rather than ``checkpoint()``:
+    later reads prune columns and the planner knows the real size.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(_shared_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def inline_table(spark: SparkSession, columns: Mapping[str, Sequence], **types) -> DataFrame:
+    """A driver-side table of bounded size as a local relation, so that the planner
+    knows its exact size. ``types`` gives Arrow types for columns that need one."""
+    arrays = {
+        name: pa.array(list(values), type=types.get(name)) for name, values in columns.items()
+    }
+    return spark.createDataFrame(pa.table(arrays))
