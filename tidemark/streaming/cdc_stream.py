@@ -122,7 +122,7 @@ def emit_if_changed(spark: SparkSession, root: str, target: str, order: Sequence
 def _last_base(spark: SparkSession, root: str) -> int | None:
     """The newest complete base; a crashed write has no success marker."""
     try:
-        done = spark.read.format("binaryFile").load(f"{root}/base/upto=*/_COMPLETE/part-*")
+        done = spark.read.format("binaryFile").load(f"{root}/base/upto=*/complete/part-*")
     except AnalysisException:
         return None
     paths = [r[0] for r in done.select("path").collect()]
@@ -138,7 +138,7 @@ def _write_base(spark: SparkSession, root: str, tables: Mapping[str, DataFrame],
     folder = f"{root}/base/upto={upto}"
     for name, df in tables.items():
         write_table(df, f"{folder}/{name}")
-    spark.range(1).coalesce(1).write.mode("overwrite").csv(f"{folder}/_COMPLETE")
+    spark.range(1).coalesce(1).write.mode("overwrite").csv(f"{folder}/complete")
 
 
 def snapshot(
