@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import strip
+from tidemark.functions.vectors import let
 
 # Words that mean "no amount", and the symbol and code of each currency in
 # the order in which they are looked for.
@@ -56,8 +57,12 @@ def amount_of(col: Column) -> Column:
         F.transform(F.split(text, r"\s+-\s+|(?i)\s+to\s+"), single_amount),
         lambda v: v.isNotNull(),
     )
-    total = F.aggregate(ends, F.lit(0.0), lambda acc, v: acc + v)
-    midpoint = F.when(F.size(ends) > 0, total / F.size(ends))
+    midpoint = let(
+        ends,
+        lambda v: F.when(
+            F.size(v) > 0, F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x) / F.size(v)
+        ),
+    )
     return F.when(
         _has_amount(text), F.when(is_range, midpoint).otherwise(single_amount(text))
     )
