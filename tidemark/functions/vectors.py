@@ -26,7 +26,12 @@ def norm(a: Column) -> Column:
 
 
 def literal(values: Sequence[float]) -> Column:
-    return F.lit([float(v) for v in values])
+    """A constant vector. One text literal that the optimizer folds into an array: a call
+    into the JVM per component would take seconds for wide vectors."""
+    if not len(values):
+        return F.array().cast("array<double>")
+    text = " ".join(repr(float(v)) for v in values)
+    return F.split(F.lit(text), " ").cast("array<double>")
 
 
 def cosine(a: Column, b: Column) -> Column:

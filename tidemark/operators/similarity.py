@@ -56,7 +56,7 @@ def nearest_neighbours(
     key: str,
     vector: str,
     k: int = 3,
-    pivots: int = 64,
+    pivots: int | None = None,
     block: int = 1024,
     digits: int = 10,
 ) -> DataFrame:
@@ -67,7 +67,8 @@ def nearest_neighbours(
     their nearest pivot; cells are cut into blocks of about ``block`` vectors. A block of
     queries visits only the cells whose best possible score can reach its k-th best
     guaranteed score (bounds from the angles to the pivots), and each visit hands on
-    ``k + 1`` rows per query. A task holds two blocks at a time.
+    ``k + 1`` rows per query. A task holds two blocks at a time. ``pivots`` defaults to
+    one per block, 256 at most.
     """
     rows = df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     id_type = rows.schema["id"].dataType.simpleString()
@@ -83,6 +84,8 @@ def nearest_neighbours(
     zero_ids = [i for r in groups.filter("n = 0").select("ids").collect() for i in r.ids]
 
     # a fixed number of pivot vectors, and three figures per cell, come to the driver
+    if pivots is None:
+        pivots = min(256, max(1, unit.count() // block))
     sample = unit.orderBy(F.xxhash64("gid"), "gid").limit(pivots).select("u").collect()
     if sample:
         hits = _unit_hits(unit, np.array([r.u for r in sample]), id_type, most, block, digits)
@@ -191,17 +194,23 @@ def _unit_hits(
         out = []
         for queries, members in zip(pdf["queries"], pdf["members"]):
             asked = np.stack([q["u"] for q in queries])
-            offered = np.stack([m["u"] for m in members])
             # candidates by smallest key, so that a stable sort settles ties
-            by_key = sorted(range(len(members)), key=lambda i: members[i]["gid"])
-            scores = np.round(asked @ offered[by_key].T, digits)
+            members = sorted(members, key=lambda m: m["gid"])
+            offered = np.stack([m["u"] for m in members])
+            scores = np.round(asked @ offered.T, digits)
             best = np.argsort(-scores, axis=1, kind="stable")[:, :most]
-            for row, query in enumerate(queries):
-                found = sorted(
-                    (-scores[row, c], i) for c in best[row] for i in members[by_key[c]]["ids"]
-                )[:most]
-                out += [(query["gid"], i, -s) for s, i in found]
-        return pd.DataFrame(out, columns=["gid", "id", "score"])
+            found = pd.DataFrame(
+                {
+                    "query": np.repeat(np.arange(len(queries)), best.shape[1]),
+                    "id": [members[c]["ids"] for c in best.ravel()],
+                    "score": np.take_along_axis(scores, best, 1).ravel(),
+                }
+            ).explode("id")
+            found = found.sort_values(["query", "score", "id"], ascending=[True, False, True])
+            found = found.groupby("query", sort=False).head(most)
+            gids = np.array([q["gid"] for q in queries])
+            out.append(found.assign(gid=gids[found["query"]])[["gid", "id", "score"]])
+        return pd.concat(out)
 
     # one group per visit: the memory of a task is two blocks
     return visits.groupBy("block", "query_block").applyInPandas(

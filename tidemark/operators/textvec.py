@@ -15,6 +15,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import vectors
 from tidemark.functions.vectors import let
 from tidemark.session import inline_table
 
@@ -65,18 +66,15 @@ class Vocabulary:
         if not self.terms:
             return F.array().cast("array<struct<i:int,w:double>>")
         hits = F.filter(tokens(col), lambda t: t.isin(list(self.terms)))
-        entries = [
-            x
-            for i, (term, idf) in enumerate(zip(self.terms, self.idf, strict=True))
-            for x in (F.lit(term), F.struct(F.lit(i).alias("i"), F.lit(idf).alias("idf")))
-        ]
-        model = F.create_map(*entries)
+        # terms hold no white space, so that one literal carries them all
+        terms = F.split(F.lit(" ".join(self.terms)), " ")
+        idf = vectors.literal(self.idf)
 
         def weigh(term: Column, all_hits: Column) -> Column:
             count = F.size(F.filter(all_hits, lambda h: h == term)).cast("double")
             return let(
-                F.element_at(model, term),
-                lambda known: F.struct(known["i"].alias("i"), (count * known["idf"]).alias("w")),
+                F.array_position(terms, term).cast("int"),
+                lambda at: F.struct((at - 1).alias("i"), (count * F.element_at(idf, at)).alias("w")),
             )
 
         return let(
@@ -86,7 +84,7 @@ class Vocabulary:
 
     def dense(self, sparse: Column) -> Column:
         """The vector with all its dimensions."""
-        zeros = F.lit([0.0] * len(self.terms))
+        zeros = F.array_repeat(F.lit(0.0), len(self.terms))
         return F.aggregate(
             F.array_sort(sparse),
             F.struct(F.array().cast("array<double>").alias("v"), F.lit(0).alias("next")),
@@ -149,7 +147,7 @@ def fit_vocabulary(
 
 def sparse_score(sparse: Column, query: list[float]) -> Column:
     """Cosine of a unit sparse vector with a dense unit (or zero) query vector."""
-    values = F.lit([float(q) for q in query]) if query else F.array().cast("array<double>")
+    values = vectors.literal(query)
     return F.aggregate(
         sparse, F.lit(0.0), lambda acc, x: acc + x["w"] * F.element_at(values, x["i"] + 1)
     )
