@@ -19,7 +19,7 @@ OPERATIONS = ("I", "U", "D")
 
 
 def is_blank(col: Column) -> Column:
-    return col.isNull() | (F.regexp_replace(col, r"\s+", "") == "")
+    return col.isNull() | ~col.rlike(r"\S")
 
 
 def operation(col: Column) -> Column:
@@ -32,9 +32,11 @@ def failure_reason(
     op: str = "op_code",
     amount: str = "arr_usd_M",
     timestamp: str = "event_timestamp",
+    time: Column | None = None,
 ) -> Column:
     """The first broken rule as text; null for a valid event. A required field that the
-    table lacks counts as empty; an amount is checked only when given."""
+    table lacks counts as empty; an amount is checked only when given. ``time`` is the
+    parsed timestamp where there is a column of it already."""
     def value(name: str) -> Column:
         return F.col(name) if name in columns else F.lit(None).cast("string")
 
@@ -58,7 +60,8 @@ def failure_reason(
     stamp = value(timestamp)
     rules.append(
         F.when(
-            iso_timestamp(stamp).isNull(), F.concat(F.lit("Malformed event_timestamp format: "), stamp)
+            (iso_timestamp(stamp) if time is None else time).isNull(),
+            F.concat(F.lit("Malformed event_timestamp format: "), stamp),
         )
     )
     return F.coalesce(*rules)

@@ -32,8 +32,8 @@ def wall_clock_cutoff(hours: float) -> Column:
 
 def event_time_cutoff(events: DataFrame, hours: float, timestamp: str = "event_timestamp") -> Column:
     """The latest event time of the valid events minus ``hours`` (one value, fetched here)."""
-    valid = events.filter(failure_reason(events.columns).isNull())
-    micros = valid.agg(F.max(F.unix_micros(iso_timestamp(F.col(timestamp))))).first()[0]
+    valid = valid_events(classify(events, timestamp=timestamp))
+    micros = valid.agg(F.max(F.unix_micros("event_time"))).first()[0]
     if micros is None:
         return F.lit(None).cast("timestamp")
     return F.timestamp_micros(F.lit(micros - int(hours * 3_600_000_000)))
@@ -47,12 +47,11 @@ def classify(
     ``outcome`` is dead (a rule is broken), late (before the cutoff; equal is in time) or
     valid.
     """
-    judged = events.withColumns(
-        {
-            "failure_reason": failure_reason(events.columns),
-            "event_time": iso_timestamp(F.col(timestamp)),
-            "op": operation(F.col("op_code")),
-        }
+    timed = events.withColumns(
+        {"event_time": iso_timestamp(F.col(timestamp)), "op": operation(F.col("op_code"))}
+    )
+    judged = timed.withColumn(
+        "failure_reason", failure_reason(events.columns, time=F.col("event_time"))
     )
     outcome = F.when(F.col("failure_reason").isNotNull(), F.lit(DEAD))
     if cutoff is not None:
@@ -66,7 +65,7 @@ def valid_events(classified: DataFrame) -> DataFrame:
 
 def dead_letters(classified: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Quarantine records: when, why and the raw event as JSON."""
-    return classified.filter(F.col("outcome") == DEAD).select(
+    return classified.filter(F.col("failure_reason").isNotNull()).select(
         F.current_timestamp().alias("quarantined_at"),
         "failure_reason",
         F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("raw_payload"),
@@ -197,9 +196,9 @@ def _dated(kept: DataFrame, fallback: dt.date) -> DataFrame:
         raw = F.col("published_date")
     else:
         raw = F.date_format(F.current_date(), "yyyy-MM-dd")
-    parts = date_parts_or(parse_date(raw), raw, "published", fallback)
+    parts = date_parts_or(F.col("_date"), raw, "published", fallback)
     parts["published_date_clean"] = parts.pop("published_date")
-    return kept.withColumns(parts)
+    return kept.withColumn("_date", parse_date(raw)).withColumns(parts)
 
 
 def resolve_members(events: DataFrame, dim: DataFrame, name: str = "company_name", key: str = "company_id") -> DataFrame:

@@ -72,3 +72,11 @@ def inline_table(spark: SparkSession, columns: Mapping[str, Sequence], **types)
         name: pa.array(list(values), type=types.get(name)) for name, values in columns.items()
     }
     return spark.createDataFrame(pa.table(arrays))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Share out a table that lies in fewer splits than there are cores, such as one file
+    with one row group, before heavy work per row. A table of many splits is handed back
+    as it is. ``scan`` must be a plain read without a shuffle in it."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

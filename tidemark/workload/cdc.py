@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.events import EVENT_FIELDS
 from tidemark.functions.text import label
 from tidemark.operators import cdc
-from tidemark.session import scratch_path
+from tidemark.session import durable, scratch_path
 from tidemark.sources.readers import strings
 from tidemark.streaming import cdc_stream
 from tidemark.workload.registry import Tables, query
@@ -50,6 +50,10 @@ def raw_events(df):
     return df.selectExpr(*fields)
 
 
+def feed(t):
+    return raw_events(t.spread("events"))
+
+
 def split_fields(text):
     """Split a select list at its top-level commas."""
     out, depth, quote, part = [], 0, None, ""
@@ -83,13 +87,13 @@ good AS (SELECT * FROM timed WHERE outcome = 'valid')"""
 
 
 def classified(t):
-    events = raw_events(t.events)
+    events = feed(t)
     return cdc.classify(events, cdc.event_time_cutoff(events, LATE_HOURS))
 
 
 @query("event_validate", f"WITH {EVENT_SQL} SELECT event_id, failure_reason FROM judged")
 def event_validate(t):
-    return cdc.classify(raw_events(t.events)).select("event_id", "failure_reason")
+    return cdc.classify(feed(t)).select("event_id", "failure_reason")
 
 
 @query(
@@ -97,7 +101,7 @@ def event_validate(t):
     f"WITH {EVENT_SQL} SELECT event_id, op_code, url, failure_reason FROM judged WHERE failure_reason IS NOT NULL",
 )
 def dead_letter(t):
-    letters = cdc.dead_letters(cdc.classify(raw_events(t.events)), EVENT_FIELDS)
+    letters = cdc.dead_letters(cdc.classify(feed(t)), EVENT_FIELDS)
     payload = F.from_json("raw_payload", strings(EVENT_FIELDS))
     return letters.withColumn("p", payload).select("p.event_id", "p.op_code", "p.url", "failure_reason")
 
@@ -190,7 +194,8 @@ obs AS (SELECT observation_id, article_id, company_id, d, y, q, m FROM art WHERE
 
 def applied(t, mode):
     base = base_tables(t)
-    events = cdc.valid_events(classified(t))
+    # read by the member inference, the resets and the kept events
+    events = durable(cdc.valid_events(classified(t)), "events")
     dim = base["dim_company"].unionByName(cdc_stream.placeholders(base["dim_company"], events, ORDER))
     named = cdc.resolve_members(events, dim)
     survivors, kept = cdc.apply_events(base["fct_article"], named, "article_id", ORDER, mode)
@@ -253,7 +258,7 @@ SYNC_SQL = """SELECT article_id, company_name, coalesce(TRY_CAST("arr_usd_M" AS
 
 @query("cdc_sync", f"WITH {EVENT_SQL} {SYNC_SQL.format(events='good')}")
 def cdc_sync(t):
-    events = raw_events(t.events)
+    events = feed(t)
     return cdc.sync(events, ORDER, cdc.event_time_cutoff(events, LATE_HOURS))
 
 
@@ -265,7 +270,7 @@ def streamed(t: Tables, base=None):
     # a pattern, because the table may be one file or a folder of files
     source = t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events.parque[t]")
     # one cutoff for the whole table, so that the files it has make no difference
-    cutoff = cdc.event_time_cutoff(raw_events(t.events), LATE_HOURS)
+    cutoff = cdc.event_time_cutoff(feed(t), LATE_HOURS)
     cdc_stream.start(raw_events(source), root, lambda batch: cutoff).awaitTermination()
     return root
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import spread
+
 
 class Tables:
     """The input tables of one folder, read on first use: ``tables.orders``."""
@@ -16,9 +18,21 @@ class Tables:
         self.spark = spark
         self.folder = folder.rstrip("/")
 
+        self._made: dict[str, DataFrame] = {}
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table for heavy work per row."""
+        return spread(getattr(self, name))
+
+    def once(self, name: str, make: Callable[[Tables], DataFrame]) -> DataFrame:
+        """A derived table that several parts of a query share."""
+        if name not in self._made:
+            self._made[name] = make(self)
+        return self._made[name]
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

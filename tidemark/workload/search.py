@@ -30,7 +30,7 @@ weights AS (SELECT doc_id, dimension, term, w / sqrt(sum(w * w) OVER (PARTITION
 
 
 def vocabulary(t, size):
-    return textvec.fit_vocabulary(t.documents, "text", size, STOP_WORDS)
+    return textvec.fit_vocabulary(t.spread("documents"), "text", size, STOP_WORDS)
 
 
 @query(
@@ -48,7 +48,7 @@ def tfidf_vocab(t):
 )
 def tfidf_weights(t):
     vocab = vocabulary(t, 64)
-    entries = t.documents.select("doc_id", F.explode(vocab.sparse(F.col("text"))).alias("x"))
+    entries = t.spread("documents").select("doc_id", F.explode(vocab.sparse(F.col("text"))).alias("x"))
     return entries.select(
         "doc_id", F.col("x.i").cast("long").alias("dimension"), F.round("x.w", 9).alias("weight")
     )
@@ -75,7 +75,7 @@ def asked(t, vocab):
 def tfidf_search(t):
     vocab = vocabulary(t, 384)
     score = textvec.sparse_score(vocab.sparse(F.col("text")), asked(t, vocab))
-    return similarity.search(t.documents, "doc_id", score, 10).select("doc_id", "lang", "similarity_score")
+    return similarity.search(t.spread("documents"), "doc_id", score, 10).select("doc_id", "lang", "similarity_score")
 
 
 @query(
@@ -88,7 +88,7 @@ def hybrid_search(t):
     vocab = vocabulary(t, 384)
     score = textvec.sparse_score(vocab.sparse(F.col("text")), asked(t, vocab))
     found = similarity.hybrid_search(
-        t.documents, "doc_id", score, equals={"lang": "en", "source": None},
+        t.spread("documents"), "doc_id", score, equals={"lang": "en", "source": None},
         at_least={"n_chars": 300}, at_most={"n_chars": 9000},
     )
     return found.select("doc_id", "source", "similarity_score")
@@ -145,7 +145,7 @@ WHERE quality = 1 AND toxic = 0""",
 )
 def enriched_export(t):
     vocab = vocabulary(t, 64)
-    dense = t.documents.select("doc_id", "source", vocab.dense(vocab.sparse(F.col("text"))).alias("v"))
+    dense = t.spread("documents").select("doc_id", "source", vocab.dense(vocab.sparse(F.col("text"))).alias("v"))
     near = similarity.neighbour_text(similarity.nearest_neighbours(dense, "doc_id", "v", 3), "doc_id")
     good = t.labels.filter("quality = 1 AND toxic = 0").select("doc_id")
     shown = F.transform(vectors.prefix(F.col("v")), lambda x: F.format_string("%.4f", x))

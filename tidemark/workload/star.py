@@ -34,6 +34,10 @@ SILVER_ORDER = ["company_name", "category_clean", "author", "published_date", "o
 
 
 def company_keys(t):
+    return t.once("company_keys", named_keys)
+
+
+def named_keys(t):
     return star.surrogate_keys(t.customer, "c_name", "company_id").withColumnRenamed(
         "c_name", "company_name"
     )
@@ -178,7 +182,12 @@ def row_positions(t):
 
 
 def rollup(t):
-    return star.quarterly_rollup(observations(t), companies(t), "company_id", "arr_usd_M", ["_seq"])
+    # "latest" follows the order of the observations; their numbers are not needed for it
+    rows = look_up(silver(t), company_keys(t), "company_name", ["company_id"])
+    rows = rows.filter("arr_usd_M IS NOT NULL").withColumnsRenamed(
+        {"published_year": "observation_year", "published_quarter": "observation_quarter"}
+    )
+    return star.quarterly_rollup(rows, companies(t), "company_id", "arr_usd_M", SILVER_ORDER)
 
 
 def latest(t, count_default=None):
