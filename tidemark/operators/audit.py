@@ -52,7 +52,7 @@ def audit_statements(df: DataFrame, column: str) -> DataFrame:
     )
     asked = F.regexp_extract("statement", r"(?i)\bLIMIT\s+(\d+)\s*$", 1).try_cast("long")
     limit = F.when(
-        F.col("reason").isNull(), F.coalesce(F.least(asked, F.lit(MAX_LIMIT)), F.lit(DEFAULT_LIMIT))
+        F.col("reason").isNull(), F.least(F.coalesce(asked, F.lit(DEFAULT_LIMIT)), F.lit(MAX_LIMIT))
     )
     return (
         words.withColumn("reason", reason)

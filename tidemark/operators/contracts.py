@@ -167,7 +167,7 @@ def _column_rules(df: DataFrame, rules: Sequence[tuple[int, Rule, str | None]])
 
 def _unique_rule(df: DataFrame, number: int, rule: Rule) -> DataFrame:
     """Repeats of a key beyond its first row; all nulls are one key."""
-    counts = df.groupBy(rule.column).agg(F.count("*").alias("n"))
+    counts = df.groupBy(F.col(rule.column).alias("_key")).agg(F.count("*").alias("n"))
     total = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),

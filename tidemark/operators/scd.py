@@ -132,8 +132,8 @@ def apply_changes(
 
     Several changes of a key on one day count as the last one by ``order``. A state equal
     to the one before makes no version. A change older than the open version rebuilds the
-    key's timeline from its whole history. New surrogate keys go on from the highest one;
-    existing ones never change. Closed versions of other keys are passed through.
+    key's timeline from all its stored versions. New surrogate keys go on from the highest
+    one; a version that stays keeps its own. Closed versions of other keys are passed through.
 
     Changes are reduced to one per key and day before anything is sorted, so the timeline
     of a key is no longer than the calendar, however often it changed.

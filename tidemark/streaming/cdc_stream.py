@@ -39,7 +39,7 @@ def event_stream(
     """Event files that land in a folder, CSV or JSON lines, every field as text."""
     reader = spark.readStream.schema(strings(fields)).format(fmt)
     if fmt == "csv":
-        reader = reader.options(header=True, escape='"')
+        reader = reader.options(header=True, multiLine=True, escape='"')
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(folder).select(

@@ -184,7 +184,7 @@ def audited(t):
 @query(
     "sql_audit",
     f"""WITH {AUDIT_SQL} SELECT conv_id, turn, statement, reason IS NULL AS is_safe, reason, detail,
-            CASE WHEN reason IS NULL THEN coalesce(least(TRY_CAST(regexp_extract(statement, '(?i)\\bLIMIT\\s+(\\d+)\\s*$', 1) AS BIGINT), 100), 50) END AS row_limit
+            CASE WHEN reason IS NULL THEN least(coalesce(TRY_CAST(regexp_extract(statement, '(?i)\\bLIMIT\\s+(\\d+)\\s*$', 1) AS BIGINT), 50), 100) END AS row_limit
         FROM detailed""",
 )
 def sql_audit(t):
