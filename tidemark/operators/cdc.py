@@ -17,6 +17,7 @@ from tidemark.functions.dates import date_parts_or, iso_timestamp, parse_date
 from tidemark.functions.events import failure_reason, operation
 from tidemark.functions.numbers import to_double
 from tidemark.functions.text import label, word_count
+from tidemark.operators.joins import salted_join
 from tidemark.operators.mapping import look_up
 from tidemark.operators.ordered import dense_sequence
 from tidemark.operators.rows import last_per_key
@@ -32,8 +33,9 @@ def wall_clock_cutoff(hours: float) -> Column:
 
 def event_time_cutoff(events: DataFrame, hours: float, timestamp: str = "event_timestamp") -> Column:
     """The latest event time of the valid events minus ``hours`` (one value, fetched here)."""
-    valid = valid_events(classify(events, timestamp=timestamp))
-    micros = valid.agg(F.max(F.unix_micros("event_time"))).first()[0]
+    judged = classify(events, timestamp=timestamp)
+    in_time = F.when(F.col("outcome") == VALID, F.col("event_time"))
+    micros = judged.agg(F.max(F.unix_micros(in_time))).first()[0]
     if micros is None:
         return F.lit(None).cast("timestamp")
     return F.timestamp_micros(F.lit(micros - int(hours * 3_600_000_000)))
@@ -138,13 +140,12 @@ def apply_events(
         raise ValueError(f"insert must be 'upsert' or 'append', not {insert!r}")
 
     place = F.struct(*order)
-    # one row per key: aggregated map-side, so a hot key is one row when it is joined
+    # one row per key; the events of a hot key are salted for the join
     resets = (
         events.filter(F.col("op").isin("U", "D")).groupBy(key).agg(F.max(place).alias("_reset"))
     )
     kept = (
-        events.filter(F.col("op") != "D")
-        .join(resets, key, "left")
+        salted_join(events.filter(F.col("op") != "D"), resets, [key])
         .filter(F.col("_reset").isNull() | (place >= F.col("_reset")))
         .drop("_reset")
     )

@@ -44,5 +44,5 @@ def filter_given(
 
 def semi_cohort(df: DataFrame, members: DataFrame, on: str, member_key: str) -> DataFrame:
     """Rows whose key is among the keys of ``members``."""
-    keys = members.select(F.col(member_key).alias("_key")).distinct()
+    keys = members.select(F.col(member_key).alias("_key"))
     return df.join(keys, F.col(on) == F.col("_key"), "left_semi")

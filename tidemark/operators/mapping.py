@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import salted_join
+
 # Mappings up to this many entries become a literal in the projection; longer ones are
 # joined as a table.
 LITERAL_LIMIT = 200
@@ -28,8 +30,8 @@ def map_values(
 ) -> DataFrame:
     """Replace the values of ``column`` by a dictionary or a two-column table.
 
-    A table is joined; whether it is broadcast is left to Spark's own size check, and
-    AQE splits a hot value of the left side where it is not.
+    A table is joined; whether it is broadcast is left to Spark's own size check, and a
+    hot value is salted for where it is not.
     """
     output = output or column
     if isinstance(mapping, Mapping):
@@ -42,7 +44,7 @@ def map_values(
         )
     raw, canonical = mapping.columns[:2]
     table = mapping.groupBy(F.col(raw).alias("_raw")).agg(F.min(canonical).alias("_canonical"))
-    joined = df.join(table, F.col(column) == F.col("_raw"), "left")
+    joined = salted_join(df.withColumn("_raw", F.col(column)), table, ["_raw"])
     return joined.withColumn(output, F.coalesce("_canonical", F.col(column))).drop(
         "_raw", "_canonical"
     )
@@ -56,8 +58,10 @@ def flag_members(
     if not isinstance(members, DataFrame):
         return df.withColumn(output, F.coalesce(F.col(column).isin(list(members)), F.lit(False)))
     keys = members.select(F.col(members.columns[0]).alias("_member")).distinct()
-    joined = df.join(keys, F.col(column) == F.col("_member"), "left")
-    return joined.withColumn(output, F.col("_member").isNotNull()).drop("_member")
+    joined = salted_join(
+        df.withColumn("_member", F.col(column)), keys.withColumn("_found", F.lit(True)), ["_member"]
+    )
+    return joined.withColumn(output, F.col("_found").isNotNull()).drop("_member", "_found")
 
 
 def look_up(
@@ -69,7 +73,8 @@ def look_up(
 ) -> DataFrame:
     """Left equi-join that brings ``columns`` (or ``{dim column: new name}``) of ``dim``.
 
-    ``dim`` has one row per key. Only the needed columns are joined.
+    ``dim`` has one row per key. Only the needed columns are joined. AQE splits the rows
+    of a hot key where ``dim`` is too big to be broadcast.
     """
     names = columns if isinstance(columns, Mapping) else {c: c for c in columns}
     side = dim.select(

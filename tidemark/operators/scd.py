@@ -290,7 +290,8 @@ def temporal_join(
     """Each fact with the version of its member that was valid on the fact's date.
 
     An equi-join on the key with the interval as a further condition, never a bare range
-    join; AQE splits the facts of a hot member.
+    join. ``dim`` should be a stored table: then AQE splits the facts of a hot member, or
+    broadcasts the dimension when it is small.
     """
     side = dim.select(
         F.col(dim_key or key).alias("_key"), F.col(START).alias("_from"), F.col(END).alias("_to"), *columns

@@ -147,18 +147,25 @@ def _unit_hits(
     counts = F.lit([by_cell.get(c, (0, 1))[1] for c in range(len(centres))])
     at = F.col("cell") + 1
     block_no = F.element_at(firsts, at) + F.pmod(F.xxhash64("gid"), F.element_at(counts, at)).cast("int")
-    packed = (
+    # members in key order; vectors end to end, so that a task reads them as one matrix
+    grouped = (
         placed.withColumn("block", block_no)
         .groupBy("block")
-        .agg(F.collect_list(F.struct("gid", "ids", "u")).alias("members"))
+        .agg(F.array_sort(F.collect_list(F.struct("gid", "ids", "u"))).alias("m"))
+    )
+    packed = grouped.select(
+        "block",
+        F.col("m.gid").alias("gids"),
+        F.col("m.ids").alias("ids"),
+        F.flatten("m.u").alias("us"),
     )
     packed = durable(packed, "blocks")
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             targets = []
-            for members in pdf["us"]:
-                angles = _angles(np.stack(members), centres[cells])
+            for us in pdf["us"]:
+                angles = _angles(us.reshape(-1, centres.shape[1]), centres[cells])
                 # guaranteed score of every vector of a cell, best cells first
                 sure = np.cos(np.minimum(np.pi, angles + farthest))
                 order = np.argsort(-sure, axis=1)
@@ -180,36 +187,35 @@ def _unit_hits(
                 )
             yield pd.DataFrame({"block": pdf["block"], "target": targets})
 
-    vectors_only = packed.select("block", F.transform("members", lambda m: m["u"]).alias("us"))
-    routes = vectors_only.mapInPandas(route, "block int, target array<int>").select(
+    routes = packed.select("block", "us").mapInPandas(route, "block int, target array<int>").select(
         F.col("block").alias("query_block"), F.explode("target").alias("block")
     )
     queries = packed.select(
-        F.col("block").alias("query_block"),
-        F.transform("members", lambda m: F.struct(m["gid"].alias("gid"), m["u"].alias("u"))).alias("queries"),
+        F.col("block").alias("query_block"), F.col("gids").alias("asking"), F.col("us").alias("asked")
     )
     visits = routes.join(queries, "query_block").join(packed, "block")
+    width = centres.shape[1]
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for queries, members in zip(pdf["queries"], pdf["members"]):
-            asked = np.stack([q["u"] for q in queries])
-            # candidates by smallest key, so that a stable sort settles ties
-            members = sorted(members, key=lambda m: m["gid"])
-            offered = np.stack([m["u"] for m in members])
-            scores = np.round(asked @ offered.T, digits)
+        for asking, asked, ids, us in zip(pdf["asking"], pdf["asked"], pdf["ids"], pdf["us"]):
+            scores = np.round(asked.reshape(-1, width) @ us.reshape(-1, width).T, digits)
+            # candidates come by smallest key, so that a stable sort settles ties
             best = np.argsort(-scores, axis=1, kind="stable")[:, :most]
-            found = pd.DataFrame(
-                {
-                    "query": np.repeat(np.arange(len(queries)), best.shape[1]),
-                    "id": [members[c]["ids"] for c in best.ravel()],
-                    "score": np.take_along_axis(scores, best, 1).ravel(),
-                }
-            ).explode("id")
-            found = found.sort_values(["query", "score", "id"], ascending=[True, False, True])
-            found = found.groupby("query", sort=False).head(most)
-            gids = np.array([q["gid"] for q in queries])
-            out.append(found.assign(gid=gids[found["query"]])[["gid", "id", "score"]])
+            copies = np.array([len(i) for i in ids])
+            owners = np.repeat(np.arange(len(ids)), copies)
+            starts = np.cumsum(copies) - copies
+            keys = np.concatenate(list(ids))
+            # one line per query, candidate and key of the candidate
+            times = copies[best.ravel()]
+            within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            at = np.repeat(starts[best.ravel()], times) + within
+            query = np.repeat(np.repeat(np.arange(len(asking)), best.shape[1]), times)
+            found = pd.DataFrame({"query": query, "id": keys[at], "score": scores[query, owners[at]]})
+            if (copies > 1).any():
+                found = found.sort_values(["query", "score", "id"], ascending=[True, False, True])
+                found = found.groupby("query", sort=False).head(most)
+            out.append(found.assign(gid=np.asarray(asking)[found["query"]])[["gid", "id", "score"]])
         return pd.concat(out)
 
     # one group per visit: the memory of a task is two blocks

@@ -195,7 +195,7 @@ obs AS (SELECT observation_id, article_id, company_id, d, y, q, m FROM art WHERE
 def applied(t, mode):
     base = base_tables(t)
     # read by the member inference, the resets and the kept events
-    events = durable(cdc.valid_events(classified(t)), "events")
+    events = cdc.valid_events(durable(classified(t), "events"))
     dim = base["dim_company"].unionByName(cdc_stream.placeholders(base["dim_company"], events, ORDER))
     named = cdc.resolve_members(events, dim)
     survivors, kept = cdc.apply_events(base["fct_article"], named, "article_id", ORDER, mode)

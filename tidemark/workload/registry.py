@@ -15,13 +15,16 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         self.spark = spark
         self.folder = folder.rstrip("/")
 
         self._made: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
     def spread(self, name: str) -> DataFrame:
         """A table for heavy work per row."""

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import scd
 from tidemark.operators.mapping import look_up
-from tidemark.operators.rows import last_per_key
+from tidemark.operators.rows import first_per_key, last_per_key
 from tidemark.operators.scd import Tier, Version
+from tidemark.session import durable
 from tidemark.workload.analytics import SPEND_SQL, spend
 from tidemark.workload.registry import day_text, query
 
@@ -119,8 +120,6 @@ FEED_SQL = """feed AS (
         FROM feed QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY changed_on, seq) = 1""",
 )
 def scd0_first_seen(t):
-    from tidemark.operators.rows import first_per_key
-
     existing = first_per_key(feed(t, OLD), ["customer_id"], ["changed_on", "seq"])
     kept = scd.retain_original(existing, feed(t, NEW), ["customer_id"], ["changed_on", "seq"])
     return kept.drop("seq").withColumn("changed_on", day_text("changed_on"))
@@ -228,6 +227,7 @@ def pit_lookup(t):
 )
 def temporal_join(t):
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    # a stored dimension: its size is known, and AQE can split a hot customer
     return scd.temporal_join(
-        orders, scd2(t), "o_custkey", "o_orderdate", ["loyalty_tier", "credit_limit_usd"], "customer_id"
+        orders, durable(scd2(t), "scd2"), "o_custkey", "o_orderdate", ["loyalty_tier", "credit_limit_usd"], "customer_id"
     ).drop("o_orderdate")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import vectors
 from tidemark.operators import similarity, textvec
+from tidemark.session import durable
 from tidemark.workload.registry import query
 
 STOP_WORDS = (
@@ -146,6 +147,8 @@ WHERE quality = 1 AND toxic = 0""",
 def enriched_export(t):
     vocab = vocabulary(t, 64)
     dense = t.spread("documents").select("doc_id", "source", vocab.dense(vocab.sparse(F.col("text"))).alias("v"))
+    # three readers: the search, its members and the export
+    dense = durable(dense, "dense")
     near = similarity.neighbour_text(similarity.nearest_neighbours(dense, "doc_id", "v", 3), "doc_id")
     good = t.labels.filter("quality = 1 AND toxic = 0").select("doc_id")
     shown = F.transform(vectors.prefix(F.col("v")), lambda x: F.format_string("%.4f", x))
