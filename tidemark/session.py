@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
@@ -45,12 +44,14 @@ def _shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-    return os.path.join(tempfile.gettempdir(), f"tidemark-{spark.sparkContext.applicationId}")
+    return tempfile.gettempdir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder name under the shared root; nothing is created yet."""
-    return f"{_shared_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    """A fresh folder name under the shared root; nothing is created yet. All folders of
+    an application lie together, so that they can be removed when it has ended."""
+    application = spark.sparkContext.applicationId
+    return f"{_shared_root(spark)}/tidemark/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame, label: str = "step") -> DataFrame:

@@ -305,7 +305,7 @@ def union_files(t):
 
 @query(
     "table_diff",
-    """SELECT o_custkey, o_orderstatus, sum(n) AS copies FROM (
+    """SELECT o_custkey, o_orderstatus, CAST(sum(n) AS BIGINT) AS copies FROM (
            SELECT o_custkey, o_orderstatus, -1 AS n FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
            UNION ALL
            SELECT o_custkey, o_orderstatus, 1 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')

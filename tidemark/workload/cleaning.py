@@ -233,10 +233,10 @@ RAW_NUMBER = """CASE event_id % 8
 @query(
     "safe_cast",
     """SELECT event_id,
-              CASE event_id % 8 WHEN 3 THEN event_id WHEN 4 THEN -(event_id + 0.25)
-                   WHEN 5 THEN 1000 WHEN 7 THEN event_id END AS number,
-              coalesce(CASE event_id % 8 WHEN 3 THEN event_id WHEN 4 THEN -(event_id + 0.25)
-                   WHEN 5 THEN 1000 WHEN 7 THEN event_id END, 0) AS number_or_zero,
+              CAST(CASE event_id % 8 WHEN 3 THEN event_id WHEN 4 THEN -(event_id + 0.25)
+                   WHEN 5 THEN 1000 WHEN 7 THEN event_id END AS DOUBLE) AS number,
+              CAST(coalesce(CASE event_id % 8 WHEN 3 THEN event_id WHEN 4 THEN -(event_id + 0.25)
+                   WHEN 5 THEN 1000 WHEN 7 THEN event_id END, 0) AS DOUBLE) AS number_or_zero,
               CASE WHEN event_id % 3 = 0 THEN true WHEN event_id % 3 = 1 THEN NULL ELSE false END AS flag
        FROM events""",
 )

@@ -99,7 +99,7 @@ def contract_scorecard(t):
 @query(
     "null_profile",
     """SELECT 'customer' AS table_name, c AS column_name, n_null AS null_count, n_distinct AS distinct_count,
-              samples AS sample_values, rows AS row_count
+              array_to_string(samples, ', ') AS sample_values, rows AS row_count
        FROM (
          SELECT 'c_custkey' AS c, count(*) - count(c_custkey) AS n_null, count(DISTINCT c_custkey) AS n_distinct, count(*) AS rows,
                 array_slice(list_sort(list(DISTINCT CAST(c_custkey AS VARCHAR))), 1, 3) AS samples FROM customer
@@ -113,7 +113,8 @@ def null_profile(t):
     rows = t.customer.selectExpr(
         "c_custkey", "CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS c_mktsegment", "c_nationkey"
     )
-    return catalog.profile_columns(rows, "customer").drop("data_type", "nullable", "column_count")
+    profile = catalog.profile_columns(rows, "customer").drop("data_type", "nullable", "column_count")
+    return profile.withColumn("sample_values", F.array_join("sample_values", ", "))
 
 
 @query(
