@@ -28,7 +28,7 @@ COMPANIES = {
 @pytest.fixture(scope="module")
 def raw(tmp_path_factory):
     folder = tmp_path_factory.mktemp("raw")
-    with open(folder / "tech_news.csv", "w", newline="") as f:
+    with open(folder / "articles.csv", "w", newline="") as f:
         csv.writer(f).writerows([HEADER, *ARTICLES])
     (folder / "company_metadata.json").write_text(json.dumps(COMPANIES))
     return str(folder)
@@ -40,7 +40,7 @@ def gold(spark, raw):
 
 
 def test_silver(gold):
-    silver = {r.article_id: r for r in gold["tech_news_clean"].collect()}
+    silver = {r.article_id: r for r in gold["articles_clean"].collect()}
     assert len(silver) == 5
     a = silver["ART1"]
     assert (a.title, a.company_name_clean, a.category_clean, a.revenue_usd_M, a.original_index) == ("OpenAI grows", "OpenAI", "AI_ML", 1480, 0)
@@ -125,7 +125,7 @@ def test_retail_without_orders(spark, shop, tmp_path):
 
 
 def test_governance(spark, gold, shop, tmp_path):
-    tables = {**{k: v for k, v in gold.items() if k != "tech_news_clean"}, **retail.build(spark, shop)}
+    tables = {**{k: v for k, v in gold.items() if k != "articles_clean"}, **retail.build(spark, shop)}
     results, card = governance.validate(tables)
     failed = {(r.table_name, r.target): r.violations for r in results.filter("status = 'FAIL'").collect()}
     assert failed == {("fct_article", "published_date_clean"): 1, ("fct_article", "category_clean"): 1,
@@ -145,7 +145,7 @@ def test_lineage(spark):
     from tidemark.operators.catalog import reachable
 
     edges = governance.lineage(spark)
-    down = {r.node for r in reachable(edges, ["raw/tech_news.csv"]).collect()}
+    down = {r.node for r in reachable(edges, ["raw/articles.csv"]).collect()}
     assert "fct_article" in down and "vector search" in down and "dim_customer_scd1" not in down
     up = {r.node for r in reachable(edges, ["point-in-time audits"], upstream=True).collect()}
     assert "raw/ecommerce/orders.csv" in up

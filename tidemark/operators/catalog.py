@@ -120,6 +120,7 @@ def reachable(
     """
     tail, head = (target, source) if upstream else (source, target)
     links = edges.select(F.col(tail).alias("_from"), F.col(head).alias("node")).distinct()
+    links = durable(links, "links")
     if not isinstance(start, DataFrame):
         start = inline_table(edges.sparkSession, {"node": list(start)})
     frontier = start.select(F.col(start.columns[0]).alias("node")).distinct()

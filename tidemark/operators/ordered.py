@@ -13,7 +13,9 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tidemark.operators.joins import salted_join
 from tidemark.session import durable, inline_table
 
 # monotonically_increasing_id keeps the partition in the upper bits and the row's place
@@ -40,25 +42,34 @@ def number_rows(
     placed = df.orderBy(*keys).withColumn("_place", F.monotonically_increasing_id())
     placed = durable(placed.drop("_tie"), "numbered")
 
-    slice_no = F.shiftright("_place", _PLACE_BITS)
-    place = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     # one row per sort partition
-    sizes = sorted(placed.groupBy(slice_no.alias("s")).count().collect())
+    sizes = sorted(placed.groupBy(_slice().alias("s")).count().collect())
     total = sum(n for _, n in sizes)
     if len(sizes) <= 1:
-        return placed.withColumn(name, place + F.lit(start)).drop("_place"), total
+        return placed.withColumn(name, _within() + F.lit(start)).drop("_place"), total
+    numbered = placed.withColumn("_slice", _slice()).join(_offsets(df, sizes, start), "_slice")
+    return numbered.withColumn(name, _within() + F.col("_offset")).drop(
+        "_place", "_slice", "_offset"
+    ), total
+
+
+def _slice() -> Column:
+    return F.shiftright("_place", _PLACE_BITS)
+
+
+def _within() -> Column:
+    return F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+
 
-    offsets = accumulate((n for _, n in sizes), initial=start)
-    table = inline_table(
+def _offsets(df: DataFrame, sizes: Sequence[tuple[int, int]], start: int) -> DataFrame:
+    """What comes before each slice: the running total of the slices' sizes."""
+    before = list(accumulate((n for _, n in sizes), initial=start))[: len(sizes)]
+    return inline_table(
         df.sparkSession,
-        {"_slice": [s for s, _ in sizes], "_offset": list(offsets)[: len(sizes)]},
+        {"_slice": [s for s, _ in sizes], "_offset": before},
         _slice=pa.int64(),
         _offset=pa.int64(),
     )
-    numbered = placed.withColumn("_slice", slice_no).join(table, "_slice")
-    return numbered.withColumn(name, place + F.col("_offset")).drop(
-        "_place", "_slice", "_offset"
-    ), total
 
 
 def dense_sequence(
@@ -80,23 +91,40 @@ def tile_of(rank: Column, total: int, tiles: int) -> Column:
 
 
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Exact median per group; null values do not count.
+    """Exact median per group; null values and null keys do not count.
 
-    ``percentile`` would hold all distinct values of a group in one task. This sorts
-    (group, value) across the cluster and picks the middle places, so a hot group is
-    spread like any other rows.
+    ``percentile`` would hold all distinct values of a group in one task. Here equal values
+    are counted map-side, the counts are sorted across the cluster, and the values at the
+    middle places are picked, so that a hot group is spread like any other rows.
     """
-    rows = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    placed, _ = number_rows(rows, [*keys, "_v"], "_seq", unique=False)
-    groups = placed.groupBy(*keys).agg(F.min("_seq").alias("_lo"), F.count("*").alias("_n"))
-    middle = F.array_distinct(
-        F.array(
-            F.col("_lo") + F.floor((F.col("_n") - 1) / 2), F.col("_lo") + F.floor(F.col("_n") / 2)
-        )
+    counts = (
+        df.select(*keys, F.col(value).alias("_v"))
+        .dropna()
+        .groupBy(*keys, "_v")
+        .agg(F.count("*").alias("_n"))
+    )
+    placed = durable(
+        counts.orderBy(*keys, "_v").withColumn("_place", F.monotonically_increasing_id()), "median"
+    ).withColumn("_slice", _slice())
+    sizes = sorted(placed.groupBy("_slice").agg(F.sum("_n")).collect())
+    upto = F.sum("_n").over(Window.partitionBy("_slice").orderBy("_place"))
+    running = (
+        placed.withColumn("_upto", upto)
+        .join(_offsets(df, sizes, 0), "_slice")
+        .select(*keys, "_v", "_n", (F.col("_upto") + F.col("_offset")).alias("_upto"))
     )
-    targets = groups.select(F.explode(middle).alias("_seq"))
+    groups = running.groupBy(*keys).agg(
+        F.min(F.col("_upto") - F.col("_n")).alias("_lo"), F.sum("_n").alias("_all")
+    )
+
+    def holds(middle: Column) -> Column:
+        place = F.col("_lo") + F.floor(middle)
+        return ((place >= F.col("_upto") - F.col("_n")) & (place < F.col("_upto"))).cast("int")
+
+    times = holds((F.col("_all") - 1) / 2) + holds(F.col("_all") / 2)
+    middle = salted_join(running, groups, keys, "inner").withColumn("_times", times)
     return (
-        placed.join(targets, "_seq", "left_semi")
+        middle.filter("_times > 0")
         .groupBy(*keys)
-        .agg(F.avg(F.col("_v").cast("double")).alias(name))
+        .agg((F.sum(F.col("_v").cast("double") * F.col("_times")) / 2).alias(name))
     )

@@ -200,8 +200,7 @@ def _unit_hits(
         out = []
         for asking, asked, ids, us in zip(pdf["asking"], pdf["asked"], pdf["ids"], pdf["us"]):
             scores = np.round(asked.reshape(-1, width) @ us.reshape(-1, width).T, digits)
-            # candidates come by smallest key, so that a stable sort settles ties
-            best = np.argsort(-scores, axis=1, kind="stable")[:, :most]
+            best = _best_columns(scores, most)
             copies = np.array([len(i) for i in ids])
             owners = np.repeat(np.arange(len(ids)), copies)
             starts = np.cumsum(copies) - copies
@@ -224,6 +223,21 @@ def _unit_hits(
     )
 
 
+def _best_columns(scores: np.ndarray, most: int) -> np.ndarray:
+    """The columns of the ``most`` highest scores of each row; equal scores go to the
+    lower column, which holds the smaller key."""
+    if most > 32:
+        return np.argsort(-scores, axis=1, kind="stable")[:, :most]
+    left = scores.copy()
+    picks = []
+    for _ in range(min(most, scores.shape[1])):
+        # argmax takes the first of equal scores
+        pick = left.argmax(axis=1)
+        left[np.arange(len(left)), pick] = -np.inf
+        picks.append(pick)
+    return np.stack(picks, axis=1)
+
+
 def _angles(units: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(units @ centres.T, -1.0, 1.0))
 

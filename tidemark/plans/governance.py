@@ -54,9 +54,9 @@ FLOWS = (
     {
         "domain": "news",
         "stages": [
-            ["raw/tech_news.csv", "raw/company_metadata.json"],
+            ["raw/articles.csv", "raw/company_metadata.json"],
             ["news.read_raw"],
-            ["tech_news_clean"],
+            ["articles_clean"],
             ["dim_company", "fct_article", "fct_arr_observation", "agg_company_quarterly_arr",
              "view_company_latest_arr", "ai_articles_enriched"],
             ["SQL exploration", "vector search"],
@@ -86,9 +86,9 @@ FLOWS = (
 
 # How the derived columns come about.
 COLUMN_RULES = (
-    ("fct_arr_observation.arr_usd_M", "tech_news.csv.revenue", "currency, rate to USD, range midpoint, millions"),
-    ("dim_company.company_name", "tech_news.csv.company_name", "company aliases"),
-    ("fct_article.category_clean", "tech_news.csv.category", "category codes"),
+    ("fct_arr_observation.arr_usd_M", "articles.csv.revenue", "currency, rate to USD, range midpoint, millions"),
+    ("dim_company.company_name", "articles.csv.company_name", "company aliases"),
+    ("fct_article.category_clean", "articles.csv.category", "category codes"),
     ("dim_customer_scd1.loyalty_tier", "customers.csv and spend", "type 1: current tier, overwritten"),
     ("dim_customer_scd2.is_current_flag", "customers.csv and orders.csv", "type 2: open end date"),
     ("dim_customer_scd3.previous_loyalty_tier", "customers.csv and spend", "type 3: tier before the change"),

@@ -153,7 +153,7 @@ def build_warehouse(silver: DataFrame, date_order: str = "text") -> dict[str, Da
         ["company_name", "industry", "company_size_category", "is_public"],
     )
     return {
-        "tech_news_clean": silver,
+        "articles_clean": silver,
         "dim_company": dim,
         "fct_article": articles,
         "fct_arr_observation": numbered.select(*columns),

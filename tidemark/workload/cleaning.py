@@ -134,7 +134,7 @@ def mixed_dates(t):
              ELSE date_format(o_orderdate, "yyyy-MM-dd'T'01:00:00+02:00") END"""
     )
     parsed = dates.expand_two_digit_year(dates.parse_date(raw), pivot=68)
-    with_date = t.orders.select("o_orderkey", parsed.alias("d"))
+    with_date = t.spread("orders").select("o_orderkey", parsed.alias("d"))
     return with_date.withColumns(
         dates.date_parts(F.col("d"), "published", "published_date_clean")
     ).drop("d")
@@ -178,7 +178,7 @@ RAW_MONEY = """CASE o_orderkey % 10
                     FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS a FROM orders)))""",
 )
 def money_parse(t):
-    raw = t.orders.selectExpr("o_orderkey", "CAST(floor(o_totalprice) AS BIGINT) AS a").select(
+    raw = t.spread("orders").selectExpr("o_orderkey", "CAST(floor(o_totalprice) AS BIGINT) AS a").select(
         "o_orderkey", F.expr(RAW_MONEY).alias("raw")
     )
     read = raw.withColumns(
@@ -276,7 +276,7 @@ def rounding_pair(t):
 )
 def text_features(t):
     source = F.when(F.col("doc_id") % 5 != 0, F.col("source"))
-    return t.documents.select(
+    return t.spread("documents").select(
         "doc_id",
         text.joined(source, F.col("lang")).alias("heading"),
         text.word_count(F.col("text")).alias("word_count"),
