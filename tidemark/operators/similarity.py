@@ -147,54 +147,48 @@ def _unit_hits(
     counts = F.lit([by_cell.get(c, (0, 1))[1] for c in range(len(centres))])
     at = F.col("cell") + 1
     block_no = F.element_at(firsts, at) + F.pmod(F.xxhash64("gid"), F.element_at(counts, at)).cast("int")
-    # members in key order; vectors end to end, so that a task reads them as one matrix
-    grouped = (
-        placed.withColumn("block", block_no)
-        .groupBy("block")
-        .agg(F.array_sort(F.collect_list(F.struct("gid", "ids", "u"))).alias("m"))
-    )
-    packed = grouped.select(
-        "block",
-        F.col("m.gid").alias("gids"),
-        F.col("m.ids").alias("ids"),
-        F.flatten("m.u").alias("us"),
-    )
-    packed = durable(packed, "blocks")
+    width = centres.shape[1]
 
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            targets = []
-            for us in pdf["us"]:
-                angles = _angles(us.reshape(-1, centres.shape[1]), centres[cells])
-                # guaranteed score of every vector of a cell, best cells first
-                sure = np.cos(np.minimum(np.pi, angles + farthest))
-                order = np.argsort(-sure, axis=1)
-                enough = np.cumsum(sizes[order], axis=1) >= most
-                column = np.where(enough.any(axis=1), enough.argmax(axis=1), -1)
-                floor = np.where(
-                    column >= 0,
-                    np.take_along_axis(
-                        sure, np.take_along_axis(order, np.maximum(column, 0)[:, None], 1), 1
-                    )[:, 0],
-                    -1.0,
-                )
-                gap = np.maximum(0, np.maximum(nearest - angles, angles - farthest))
-                visit = (np.cos(gap) >= floor[:, None] - 1e-6).any(axis=0)
-                targets.append(
-                    np.concatenate(
-                        [np.arange(f, f + p) for f, p in zip(first_block[visit], parts[visit])]
-                    ).astype("int32")
-                )
-            yield pd.DataFrame({"block": pdf["block"], "target": targets})
-
-    routes = packed.select("block", "us").mapInPandas(route, "block int, target array<int>").select(
-        F.col("block").alias("query_block"), F.explode("target").alias("block")
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        """One row per block: members in key order, vectors end to end as one matrix, and
+        the blocks that the members have to visit as queries."""
+        pdf = pdf.sort_values("gid")
+        units = np.stack(pdf["u"].to_numpy())
+        angles = _angles(units, centres[cells])
+        # guaranteed score of every vector of a cell, best cells first
+        sure = np.cos(np.minimum(np.pi, angles + farthest))
+        order = np.argsort(-sure, axis=1)
+        enough = np.cumsum(sizes[order], axis=1) >= most
+        column = np.where(enough.any(axis=1), enough.argmax(axis=1), -1)
+        at = np.take_along_axis(order, np.maximum(column, 0)[:, None], 1)
+        floor = np.where(column >= 0, np.take_along_axis(sure, at, 1)[:, 0], -1.0)
+        gap = np.maximum(0, np.maximum(nearest - angles, angles - farthest))
+        visit = (np.cos(gap) >= floor[:, None] - 1e-6).any(axis=0)
+        target = np.concatenate(
+            [np.arange(f, f + p) for f, p in zip(first_block[visit], parts[visit])]
+        )
+        return pd.DataFrame(
+            {
+                "block": [pdf["block"].iloc[0]],
+                "gids": [pdf["gid"].tolist()],
+                "ids": [[list(i) for i in pdf["ids"]]],
+                "us": [units.ravel()],
+                "target": [target.astype("int32")],
+            }
+        )
+
+    packed_schema = (
+        f"block int, gids array<{id_type}>, ids array<array<{id_type}>>, us array<double>, target array<int>"
     )
+    blocks = placed.select("gid", "ids", "u", block_no.alias("block")).groupBy("block")
+    packed = durable(blocks.applyInPandas(pack, packed_schema), "blocks")
     queries = packed.select(
-        F.col("block").alias("query_block"), F.col("gids").alias("asking"), F.col("us").alias("asked")
+        F.col("block").alias("query_block"),
+        F.col("gids").alias("asking"),
+        F.col("us").alias("asked"),
+        F.explode("target").alias("block"),
     )
-    visits = routes.join(queries, "query_block").join(packed, "block")
-    width = centres.shape[1]
+    visits = queries.join(packed.select("block", "ids", "us"), "block")
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
