@@ -8,7 +8,7 @@ key has no reset. That gives the same tables as applying the events one by one.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,11 +102,9 @@ def infer_members(
     key: str = "company_id",
     prefix: str = "COMP",
     width: int = 3,
-    defaults: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Placeholder rows for members that only the events name, numbered by first sight
-    after the ``dim`` rows. ``defaults`` gives further columns, such as the ``category``
-    of the first event."""
+    """Members that only the events name, numbered by first sight after the ``dim`` rows,
+    with the ``category`` of their first event."""
     category = F.col("category") if "category" in events.columns else F.lit(None).cast("string")
     first_seen = events.groupBy(name).agg(
         F.min(F.struct(*order)).alias("_first"),
@@ -114,10 +112,9 @@ def infer_members(
     )
     unknown = first_seen.join(dim.select(name), name, "left_anti")
     numbered = dense_sequence(unknown, ["_first"], "_n", dim.count() + 1)
-    made = numbered.select(
+    return numbered.select(
         label(prefix, F.col("_n"), width).alias(key), name, F.col("_category.v").alias("category")
     )
-    return made.withColumns(dict(defaults or {})) if defaults else made
 
 
 def apply_events(
