@@ -8,6 +8,14 @@
 ``workload``   the registered queries with their SQL counterparts
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from tidemark.session import build_session, durable, scratch_path
 
+# Functions that run in Python workers travel with their code, so that workers need not have
+# the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["build_session", "durable", "scratch_path"]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
@@ -42,9 +45,13 @@ def _shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # only where driver and executors are one process, as in tests
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-    return tempfile.gettempdir()
+    root = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    spark.conf.set(CHECKPOINT_CONF, root)
+    return root
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
