@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable, Hashable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,3 +38,12 @@ def unpacked(df: DataFrame, *added: str) -> DataFrame:
 def text_of(name: str) -> Column:
     """A text column with null as empty."""
     return F.coalesce(F.col(quoted(name)).cast("string"), F.lit(""))
+
+
+def kept_by_worker(key: Hashable, make: Callable):
+    """A value that a Python worker keeps from task to task, such as a loaded vocabulary.
+    (Functions travel by value, so their module's globals do not outlive a task.)"""
+    store = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]

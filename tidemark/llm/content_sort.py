@@ -26,8 +26,8 @@ from pyspark.sql.window import Window
 from tidemark.llm.common import ROW, SPACE, quoted, text_of, unpacked
 from tidemark.session import durable
 
-SAMPLE_ROWS = 4_000  # rows sampled to see hot texts
-HOT_SHARE = 0.01  # a text is dealt by salt from this share of the sample on
+SAMPLE_ROWS = 20_000  # rows sampled to see hot texts
+HOT_SHARE = 0.001  # a text is dealt by salt from this share of the sample on
 SALTS = 256
 
 
@@ -36,7 +36,7 @@ def normalised(text: str) -> Column:
 
 
 def hot_texts(texts: DataFrame, column: str = "_norm") -> list[str]:
-    """Digests of texts that hold ``HOT_SHARE`` of a bounded sample: at most 100."""
+    """Digests of texts that hold ``HOT_SHARE`` of a bounded sample: at most 2,000."""
     rows = texts.count()
     share = min(1.0, SAMPLE_ROWS / rows) if rows else 1.0
     sample = texts.sample(share, seed=7).select(F.sha2(column, 256).alias("digest"))
@@ -95,7 +95,7 @@ def grouped(
             F.min(F.struct(F.col("_least").isNull(), "_least", "_salt"))["_salt"].alias("_first"),
         )
     )
-    # at most 200 rows, by the bound on the hot texts
+    # at most 2,000 rows, by the bound on the hot texts
     merged = local.join(F.broadcast(parts), "text_sha256", "left")
     merged = merged.withColumn("_size", F.coalesce("_all_size", "_size")).withColumn(
         "_least", F.coalesce("_all_least", "_least")

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemark.llm import content_sort, quality_rules
+from tidemark.llm import content_sort, dominance_packing, quality_rules, token_store
+from tidemark.session import scratch_path
 from tidemark.workload.registry import Tables
 
+#: Where the public tokenizers lie; a folder with the files named below.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
+PIECE_BPE = f"{TOKENIZERS}/piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -40,3 +46,15 @@ def op1(t: Tables) -> DataFrame:
 )
 def op9(t: Tables) -> DataFrame:
     return content_sort.grouped(t.documents, keep=["doc_id"])
+
+
+@query("op2_token_store")
+def op2(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "tokens")
+    token_store.write(t.documents, path, BYTE_BPE)
+    return token_store.documents(t.spark, path)
+
+
+@query("op6_dominance_packing")
+def op6(t: Tables) -> DataFrame:
+    return dominance_packing.packed(t.documents, BYTE_BPE)
