@@ -7,7 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import content_sort, dominance_packing, quality_rules, token_store
+from tidemark.llm import (
+    content_sort,
+    dominance_packing,
+    piece_bpe,
+    quality_rules,
+    token_store,
+    toxicity,
+)
 from tidemark.session import scratch_path
 from tidemark.workload.registry import Tables
 
@@ -58,3 +65,15 @@ def op2(t: Tables) -> DataFrame:
 @query("op6_dominance_packing")
 def op6(t: Tables) -> DataFrame:
     return dominance_packing.packed(t.documents, BYTE_BPE)
+
+
+@query("op5_piece_bpe")
+def op5(t: Tables) -> DataFrame:
+    return piece_bpe.digests(t.documents, PIECE_BPE)
+
+
+@query("op4_toxicity")
+def op4(t: Tables) -> DataFrame:
+    model = toxicity.fit(t.documents, t.labels.filter(~toxicity.held_out()))
+    out = toxicity.scored(t.documents, model, keep=["doc_id"])
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
