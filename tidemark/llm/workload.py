@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import (
     content_sort,
     dominance_packing,
+    jaccard_join,
     piece_bpe,
     quality_rules,
     token_store,
@@ -77,3 +78,8 @@ def op4(t: Tables) -> DataFrame:
     model = toxicity.fit(t.documents, t.labels.filter(~toxicity.held_out()))
     out = toxicity.scored(t.documents, model, keep=["doc_id"])
     return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op8_jaccard_join")
+def op8(t: Tables) -> DataFrame:
+    return jaccard_join.near_duplicates(t.documents)
