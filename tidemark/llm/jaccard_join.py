@@ -5,8 +5,8 @@ prefixes, and the components of its links.
 
 *Order.* Sets are sorted by one order of shingles: those that many texts share last. Frequent
 shingles are found by counting within tasks (a shingle that is frequent overall repeats within
-a task) and adding up. At most ``1 / 2**20`` of all shingle places each, so at most ``2**20`` of
-them, 16 MB, go to the tasks. Any order gives the same result; this one keeps passages that
+a task) and adding up. The most frequent, at most ``2**20`` of them or 16 MB, go to the tasks;
+the others count as equally rare. Any order gives the same result; this one keeps passages that
 many texts share out of the prefixes.
 
 *Prefixes.* Similar sets of at most ``n`` shingles share ``ceil(0.8 n)``, so they share at
@@ -16,11 +16,14 @@ lengthened where the shingles' counts say that many candidates would be met, and
 must then share the smaller of their two ``k`` before they are compared.
 
 *Hubs.* A group of near copies would meet in every prefix shingle of the group. So each text is
-first compared with one or two hubs: of the texts that share a prefix shingle, the one whose
-prefix is met most. What is linked through a hub is connected; pairs are formed only between
-texts that are not, for each prefix shingle between the largest such part and the rest, and
-within the rest. So copies of one text cost as many rows as there are copies, and no link
-between parts is lost.
+first compared with a hub: of the texts that share a prefix shingle, the one whose prefix is met
+most. With ``r`` shingles of the hub missing and ``a`` others added, let ``u = 5 r + 4 a``. A text
+is similar to its hub ``h`` if ``u <= |h|``, and two texts of one hub are similar if and only if 9
+times the number of deviations they share is at least ``u + u' - |h|``. So texts near one hub are
+joined by prefixes of their deviations, which are few and mostly each text's own: copies of one
+text cost about as many rows as there are copies, also where many are just not similar. In the
+shingle join, texts near one hub never meet: for each prefix shingle the largest such group
+meets the others, and those meet each other. No link is lost but inside what is connected.
 
 *Comparison.* Whole sets of the texts with a partner are made in a second pass over the texts,
 which skips the others by a bitmap of fixed size, and intersected natively. Links are exact but
@@ -41,6 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tidemark.llm.common import quoted, text_of
 from tidemark.llm.components import components
@@ -50,12 +54,9 @@ from tidemark.session import durable
 WORDS = 5
 PERCENT = 80
 CHUNK = 1 << 21  # shingles that a task counts at a time
-REPEATED = 3  # repeats within a chunk from which a shingle is reported
-LEAST_FREQUENT = 16
-FREQUENT_BITS = 20
+MOST_FREQUENT = 1 << 20  # shingles whose count the order knows
 MOST_MATCHES = 8
 CHEAP = 32  # candidate meetings up to which one match suffices; each factor of 4 adds one
-HUB_ROUNDS = 2
 MAP_BITS = 24
 
 
@@ -72,13 +73,12 @@ def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that texts share often, sorted by hash, and their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, held, size, places = Hasher(WORDS), [], 0, 0
+        hasher, held, size = Hasher(WORDS), [], 0
 
         def report() -> pa.RecordBatch:
             found, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n >= REPEATED
             return pa.RecordBatch.from_arrays(
-                [pa.array(found[often]), pa.array(n[often].astype("i8"))], ["token", "n"]
+                [pa.array(found[n > 1]), pa.array(n[n > 1].astype("i8"))], ["token", "n"]
             )
 
         for batch in batches:
@@ -86,23 +86,23 @@ def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 tokens = hasher.shingles(hasher.words(value.as_py()))
                 held.append(tokens)
                 size += len(tokens)
-                places += len(tokens)
                 if size >= CHUNK:
                     yield report()
                     held, size = [], 0
         if held:
             yield report()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([None], pa.int64()), pa.array([places], pa.int64())], ["token", "n"]
-        )
 
-    counted = durable(
-        rows.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")),
-        "repeated",
-    )
-    places = counted.filter("token is null").first()
-    least = max(LEAST_FREQUENT, (places.n if places else 0) >> FREQUENT_BITS)
-    table = counted.filter(F.col("token").isNotNull() & (F.col("n") >= least)).toArrow()
+    repeated = rows.select("text").mapInArrow(count, "token long, n long")
+    counted = durable(repeated.groupBy("token").agg(F.sum("n").alias("n")), "repeated")
+    # counts by quarter powers of two, the most frequent first, as far as the table may go
+    step = F.ceil(4 * F.log2("n"))
+    kept, least = 0, None
+    for power, here in sorted(counted.groupBy(step).count().collect(), reverse=True):
+        kept += here
+        if kept > MOST_FREQUENT:
+            break
+        least = power
+    table = counted.filter(F.lit(False) if least is None else step >= least).toArrow()
     tokens, n = table["token"].to_numpy(), table["n"].to_numpy()
     order = np.argsort(tokens)
     return tokens[order], n[order]
@@ -244,38 +244,75 @@ def _postings(classes: DataFrame) -> DataFrame:
     return durable(places.join(met, "token"), "postings")
 
 
-def _hub_links(postings: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links of texts with hubs. For each shingle that more than one part shares, the hub is
-    the text met most; each text outside its part is compared with the hub it shares most."""
-    rows = postings.join(parts, "sid")
-    hub = F.max(F.struct("cost", "sid", "n", "part")).alias("hub")
-    hubs = rows.groupBy("token").agg(hub, F.min("part").alias("lo"), F.max("part").alias("hi"))
-    hubs = hubs.filter("lo <> hi").select("token", "hub")
-    met = rows.join(hubs, "token").filter(
-        (F.col("part") != F.col("hub.part")) & _alike_in_size(F.col("n"), F.col("hub.n"))
+def _compared(postings: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each text with its hub: ``hub``, the hub's size, ``u``, and the deviations of texts near
+    the hub (null for others)."""
+    hubs = postings.groupBy("token").agg(F.max(F.struct("cost", "sid", "n")).alias("hub"))
+    met = postings.join(durable(hubs, "hubs"), "token").filter(
+        (F.col("sid") != F.col("hub.sid")) & _alike_in_size(F.col("n"), F.col("hub.n"))
     )
-    best = met.groupBy("sid", F.col("hub.sid").alias("b")).count()
-    best = best.groupBy("sid").agg(F.max(F.struct("count", "b"))["b"].alias("b"))
-    return durable(_linked(best.select(F.col("sid").alias("a"), "b"), sets), "hub-links")
-
-
-def _rest_pairs(postings: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs of texts in different parts that share enough prefix shingles. For each shingle
-    the part with most texts is met by the others only, never by itself."""
-    rows = postings.join(parts, "sid")
-    sizes = rows.groupBy("token", "part").count()
-    largest = sizes.groupBy("token").agg(
-        F.max(F.struct("count", "part"))["part"].alias("largest"), F.count(F.lit(1)).alias("_parts")
+    best = met.groupBy("sid", F.col("hub.sid").alias("hub")).count()
+    best = best.groupBy("sid").agg(F.max(F.struct("count", "hub"))["hub"].alias("hub"))
+    both = best.join(sets.toDF("sid", "_s"), "sid").join(sets.toDF("hub", "_t"), "hub")
+    both = both.withColumn("_r", F.array_except("_t", "_s")).withColumn("_a", F.array_except("_s", "_t"))
+    both = both.withColumn("u", 5 * F.size("_r") + 4 * F.size("_a")).withColumn("hub_n", F.size("_t"))
+    # beyond, a text cannot be similar to one that is similar to the hub
+    near = 4 * F.col("u") <= 9 * F.col("hub_n")
+    rows = both.select("sid", "hub", "hub_n", "u", F.when(near, F.concat("_r", "_a")).alias("deviations"))
+    return durable(rows, "compared")
+
+
+def _near_hub_pairs(compared: DataFrame) -> DataFrame:
+    """Pairs of texts near one hub, not both similar to it, that may be similar.
+
+    A text outside the hub's reach has ``u > |h|``. Its partner shares at least ``(u' + 1) / 9``
+    deviations with it, and it shares at least ``(u - |h|) / 9`` with any partner; so each
+    meets the other in the first deviations, rarest first, up to its own number less that.
+    """
+    near = compared.filter(F.col("deviations").isNotNull()).withColumn("outside", F.col("u") > F.col("hub_n"))
+    hubs = near.filter("outside").select("hub").distinct()
+    rows = near.join(hubs, "hub").select(
+        "hub",
+        "sid",
+        "outside",
+        (F.size("deviations") - F.ceil((F.col("u") + 1) / 9) + 1).alias("short"),
+        (F.size("deviations") - F.ceil((F.col("u") - F.col("hub_n")) / 9) + 1).alias("long"),
+        F.size("deviations").alias("all"),
+        F.explode("deviations").alias("token"),
     )
-    rows = durable(
-        rows.join(largest.filter("_parts > 1"), "token").withColumn("inner", F.col("part") == F.col("largest")),
-        "rest",
+    rows = durable(rows, "deviations")
+    met = rows.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
+    rows = rows.join(durable(met, "met"), ["hub", "token"])
+    own = Window.partitionBy("sid")  # the deviations of one text
+    place = F.col("all") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("met", "token"))
+    rows = durable(rows.withColumn("place", place).filter("place <= greatest(short, long)"), "first")
+
+    def side(which: str, name: str) -> DataFrame:
+        return rows.filter(which).select("hub", "token", F.col("sid").alias(name))
+
+    keys = ["hub", "token"]
+    outer = side("outside and place <= short", "a")
+    among = outer.join(side("outside and place <= short", "b"), keys).filter("a < b")
+    across = side("outside and place <= long", "a").join(side("not outside and place <= short", "b"), keys)
+    return among.select("a", "b").union(across.select("a", "b")).distinct()
+
+
+def _rest_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs of texts near different hubs that share enough prefix shingles. For each shingle
+    the group with most texts is met by the others only, never by itself."""
+    rows = postings.join(groups, "sid")
+    sizes = rows.groupBy("token", "near").count()
+    largest = sizes.groupBy("token").agg(
+        F.max(F.struct("count", "near"))["near"].alias("largest"), F.count(F.lit(1)).alias("_groups")
     )
-    columns = ("sid", "n", "matches", "part")
+    largest = durable(largest.filter("_groups > 1"), "largest")
+    rows = durable(rows.join(largest, "token").withColumn("inner", F.col("near") == F.col("largest")), "rest")
+    columns = ("sid", "n", "matches", "near", "part")
     other = rows.filter("not inner").select("token", *[F.col(c).alias(c + "_a") for c in columns])
     every = rows.select("token", "inner", *[F.col(c).alias(c + "_b") for c in columns])
     pairs = other.join(every, "token").filter(
-        (F.col("part_a") != F.col("part_b"))
+        (F.col("near_a") != F.col("near_b"))
+        & (F.col("part_a") != F.col("part_b"))
         & (F.col("inner") | (F.col("sid_a") < F.col("sid_b")))
         & _alike_in_size(F.col("n_a"), F.col("n_b"))
     )
@@ -287,6 +324,21 @@ def _rest_pairs(postings: DataFrame, parts: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b", "matches").count().filter("count >= matches").select("a", "b")
 
 
+def _groups(members: DataFrame, compared: DataFrame, linked: DataFrame) -> DataFrame:
+    """Members with ``near``, the hub that a text is near to or the text itself, and ``part``:
+    texts in one part are connected. A text's part is its hub's hub, as far as links go; longer
+    chains may stay in several parts."""
+    near = compared.filter(F.col("deviations").isNotNull()).select("sid", F.col("hub").alias("near"))
+    up = linked.toDF("sid", "up")
+    chain = up.join(linked.toDF("up", "top"), "up", "left")
+    chain = chain.select("sid", F.coalesce("top", "up").alias("top"))
+    rows = members.join(near, "sid", "left").join(chain, "sid", "left")
+    return durable(
+        rows.select("sid", F.coalesce("near", "sid").alias("near"), F.coalesce("top", "sid").alias("part")),
+        "groups",
+    )
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: the key, ``n_shingles``, and ``component_id``, the smallest key
     that links reach."""
@@ -302,17 +354,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     members = durable(postings.select("sid").distinct(), "members")
     sets = _whole_sets(rows, classes.select("sid", "key").join(members, "sid"))
 
-    parts = members.select("sid", F.col("sid").alias("part"))
-    links = []
-    for _ in range(HUB_ROUNDS):
-        links.append(_hub_links(postings, parts, sets))
-        parts = _merged(members, links)
-    links.append(durable(_linked(_rest_pairs(postings, parts), sets), "rest-links"))
-
-    found = links[0]
-    for more in links[1:]:
-        found = found.union(more)
-    roots = components(found)
+    compared = _compared(postings, sets)
+    linked = compared.filter("u <= hub_n").select("sid", "hub")
+    pairs = _near_hub_pairs(compared).union(
+        _rest_pairs(postings, _groups(members, compared, linked))
+    )
+    roots = components(linked.toDF("a", "b").union(_linked(pairs, sets)))
     named = roots.join(classes.select("sid", "key"), roots["node"] == classes["sid"])
     least = named.groupBy("root").agg(F.min("key").alias("component_id"))
     joined = durable(roots.join(least, "root").select(F.col("node").alias("sid"), "component_id"), "joined")
@@ -325,16 +372,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def _merged(members: DataFrame, links: list[DataFrame]) -> DataFrame:
-    """Members with the part that the links so far put them in."""
-    found = links[0]
-    for more in links[1:]:
-        found = found.union(more)
-    roots = components(found).select(F.col("node").alias("sid"), "root")
-    joined = members.join(roots, "sid", "left")
-    return durable(joined.select("sid", F.coalesce("root", "sid").alias("part")), "parts")
-
-
 def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without those whose component has a smaller key. A row is told by
     its key; rows that repeat a key and stay are all kept."""
