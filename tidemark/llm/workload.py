@@ -13,6 +13,7 @@ from tidemark.llm import (
     jaccard_join,
     piece_bpe,
     quality_rules,
+    site_style,
     token_store,
     toxicity,
 )
@@ -83,3 +84,8 @@ def op4(t: Tables) -> DataFrame:
 @query("op8_jaccard_join")
 def op8(t: Tables) -> DataFrame:
     return jaccard_join.near_duplicates(t.documents)
+
+
+@query("op10_site_style")
+def op10(t: Tables) -> DataFrame:
+    return site_style.main_text(t.pages)
