@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    chat_windows,
     content_sort,
     dominance_packing,
     jaccard_join,
@@ -16,6 +18,7 @@ from tidemark.llm import (
     site_style,
     token_store,
     toxicity,
+    url_lists,
 )
 from tidemark.session import scratch_path
 from tidemark.workload.registry import Tables
@@ -89,3 +92,107 @@ def op8(t: Tables) -> DataFrame:
 @query("op10_site_style")
 def op10(t: Tables) -> DataFrame:
     return site_style.main_text(t.pages)
+
+
+@query("op3_chat_windows")
+def op3(t: Tables) -> DataFrame:
+    control = "</s>[INST] ok [/INST]"
+    extra = t.spark.sql(
+        "SELECT * FROM VALUES (-1L, 0L, 'user', :c), (-1L, 1L, 'assistant', :c) AS v(conv_id, turn, role, text)",
+        args={"c": control},
+    )
+    chats = t.conversations.select("conv_id", "turn", "role", "text").union(extra)
+    return chat_windows.digests(chat_windows.windows(chats))
+
+
+def _number(value: Column, modulus: int) -> Column:
+    """A number below the modulus that depends on a text only, the same in every engine."""
+    return (F.conv(F.substring(F.md5(value), 1, 6), 16, 10).cast("long") % modulus).cast("int")
+
+
+_DAYS = 720  # pages count as fetched within two years
+
+
+def _list_entries(pages: DataFrame) -> DataFrame:
+    """Dated entries for the domains and addresses of the pages: a third of the domains go on
+    a list of spam, malware or adult sites, most of those go off it later and some come back;
+    an eighth of the addresses go on a list of takedowns."""
+    address = url_lists.normalised(F.col("url"))
+    host = url_lists.host_of(address)
+    domain = F.regexp_extract(host, r"([^.]+\.[^.]+\.[^.]+)$", 1)
+    hosts = pages.select(F.when(domain == "", host).otherwise(domain).alias("pattern")).distinct()
+    hosts = hosts.filter((F.col("pattern") != "") & (_number(F.col("pattern"), 3) == 0))
+    kind = F.element_at(F.array(*map(F.lit, ("adult", "malware", "spam"))), _number(F.concat("pattern", F.lit("k")), 3) + 1)
+    on, off = _number(F.concat("pattern", F.lit("a")), 300), _number(F.concat("pattern", F.lit("b")), 300) + 1
+    back = _number(F.concat("pattern", F.lit("c")), 200) + 1
+    first = hosts.select(kind.alias("list"), "pattern", on.alias("day"), F.lit(True).alias("listed"))
+    gone = hosts.filter(_number(F.concat("pattern", F.lit("d")), 4) > 0)
+    second = gone.select(kind.alias("list"), "pattern", (on + off).alias("day"), F.lit(False).alias("listed"))
+    third = gone.filter(_number(F.concat("pattern", F.lit("e")), 3) == 0).select(
+        kind.alias("list"), "pattern", (on + off + back).alias("day"), F.lit(True).alias("listed")
+    )
+    taken = pages.select(address.alias("pattern")).distinct().filter(_number(F.col("pattern"), 8) == 0)
+    taken = taken.select(
+        F.lit("takedown").alias("list"),
+        "pattern",
+        _number(F.concat("pattern", F.lit("t")), _DAYS).alias("day"),
+        F.lit(True).alias("listed"),
+    )
+    entries = first.union(second).union(third).union(taken)
+    return entries.select("list", "pattern", F.date_add(F.lit("2022-01-01").cast("date"), F.col("day")).alias("at"), "listed")
+
+
+@query(
+    "op7_url_lists",
+    r"""
+    WITH base AS (
+      SELECT page_id, url, DATE '2022-01-01' + CAST(page_id % 720 AS INT) AS fetched,
+             regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?', '') AS bare
+      FROM pages),
+    split AS (
+      SELECT page_id, url, fetched,
+             regexp_replace(lower(regexp_extract(bare, '^([^/:?#]*)', 1)), '^www\.|\.$', '', 'g') AS host,
+             regexp_replace(regexp_extract(bare, '^[^/:?#]*(?::[0-9]*)?([^#]*)', 1), '/+$', '') AS rest
+      FROM base),
+    caps AS (
+      SELECT page_id, url, fetched, host, host || rest AS address,
+             CASE WHEN regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) = '' THEN host
+                  ELSE regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) END AS domain
+      FROM split),
+    hosts AS (
+      SELECT DISTINCT domain AS pattern FROM caps
+      WHERE domain <> '' AND CAST('0x' || substr(md5(domain), 1, 6) AS BIGINT) % 3 = 0),
+    dated AS (
+      SELECT pattern,
+             (['adult', 'malware', 'spam'])[CAST('0x' || substr(md5(pattern || 'k'), 1, 6) AS BIGINT) % 3 + 1] AS list,
+             CAST('0x' || substr(md5(pattern || 'a'), 1, 6) AS BIGINT) % 300 AS d1,
+             CAST('0x' || substr(md5(pattern || 'b'), 1, 6) AS BIGINT) % 300 + 1 AS d2,
+             CAST('0x' || substr(md5(pattern || 'c'), 1, 6) AS BIGINT) % 200 + 1 AS d3,
+             CAST('0x' || substr(md5(pattern || 'd'), 1, 6) AS BIGINT) % 4 > 0 AS gone,
+             CAST('0x' || substr(md5(pattern || 'e'), 1, 6) AS BIGINT) % 3 = 0 AS back
+      FROM hosts),
+    spans AS (
+      SELECT list, pattern, d1 AS since, CASE WHEN gone THEN d1 + d2 END AS until FROM dated
+      UNION ALL SELECT list, pattern, d1 + d2 + d3, NULL FROM dated WHERE gone AND back
+      UNION ALL
+      SELECT 'takedown', address, CAST('0x' || substr(md5(address || 't'), 1, 6) AS BIGINT) % 720, NULL
+      FROM (SELECT DISTINCT address FROM caps)
+      WHERE CAST('0x' || substr(md5(address), 1, 6) AS BIGINT) % 8 = 0),
+    hits AS (
+      SELECT c.page_id, s.list, arg_max(s.pattern, length(s.pattern)) AS pattern
+      FROM caps c JOIN spans s
+        ON (c.address = s.pattern OR c.host = s.pattern OR ends_with(c.host, '.' || s.pattern))
+       AND c.fetched >= DATE '2022-01-01' + CAST(s.since AS INT)
+       AND (s.until IS NULL OR c.fetched < DATE '2022-01-01' + CAST(s.until AS INT))
+      GROUP BY c.page_id, s.list)
+    SELECT c.page_id, c.url, c.fetched, coalesce(h.lists, '') AS lists, coalesce(h.matched, '') AS matched,
+           h.lists IS NOT NULL AS listed
+    FROM caps c LEFT JOIN (
+      SELECT page_id, string_agg(list, ',' ORDER BY list) AS lists, string_agg(pattern, ',' ORDER BY list) AS matched
+      FROM hits GROUP BY page_id) h USING (page_id)
+    """,
+)
+def op7(t: Tables) -> DataFrame:
+    fetched = F.date_add(F.lit("2022-01-01").cast("date"), (F.col("page_id") % _DAYS).cast("int"))
+    captures = t.pages.select("page_id", "url", fetched.alias("fetched"))
+    return url_lists.judged(captures, _list_entries(t.pages))
