@@ -4,6 +4,8 @@ Texts are normalised (every run of white space becomes one space), sampled split
 rows into ranges of the normalised text, each range is sorted externally, so that equal texts
 lie next to each other, and neighbours are compared in full. The row with the smallest
 identifier stays. Texts are shuffled once; counting and marking happen in the sorted ranges.
+Splitters are made of a text's first characters and a hash of the whole, so that the sample that
+the driver sorts has rows of bounded size; texts with one beginning are still split.
 
 A text that a large share of the rows have would fill one range. Such texts are seen in a
 bounded sample of rows, and their rows are dealt by a salt made from the identifier next to the
@@ -29,6 +31,7 @@ from tidemark.session import durable
 SAMPLE_ROWS = 20_000  # rows sampled to see hot texts
 HOT_SHARE = 0.001  # a text is dealt by salt from this share of the sample on
 SALTS = 256
+LEAD = 32  # characters of a text in a splitter
 
 
 def normalised(text: str) -> Column:
@@ -67,10 +70,11 @@ def grouped(
     salt = F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int")
     rows = rows.withColumn("_salt", F.when(digest.isin(hot), salt).otherwise(0) if hot else F.lit(0))
 
-    # the exchange deals by ranges of the window's keys, so the window needs no other one
-    keys = ["_norm", "_salt"] if hot else ["_norm"]
+    # the exchange deals by ranges of the window's first keys, so the window needs no other one
+    rows = rows.withColumn("_lead", F.substring("_norm", 1, LEAD)).withColumn("_hash", F.xxhash64("_norm"))
+    keys = ["_lead", "_hash", *(["_salt"] if hot else [])]
     ranges = rows.repartitionByRange(*keys)
-    run = Window.partitionBy(*keys)
+    run = Window.partitionBy(*keys, "_norm")
     in_order = run.orderBy(F.col("_id").asc_nulls_last())
     local = ranges.select(
         ROW,
