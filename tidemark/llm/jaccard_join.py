@@ -10,10 +10,11 @@ the others count as equally rare. Any order gives the same result; this one keep
 many texts share out of the prefixes.
 
 *Prefixes.* Similar sets of at most ``n`` shingles share ``ceil(0.8 n)``, so they share at
-least ``k`` among the first ``n - ceil(0.8 n) + k`` of both. With ``k = 1`` shingles met in one
-prefix only are dropped, and with them all texts without a partner. The others' prefixes are
-lengthened where the shingles' counts say that many candidates would be met, and two texts
-must then share the smaller of their two ``k`` before they are compared.
+least ``k`` among the first ``n - ceil(0.8 n) + k`` of both. First, with ``k = FIRST_MATCHES`` for
+all, texts that have fewer than ``k`` prefix shingles in common with any others are dropped: most
+have no partner at all. The prefixes of those that are left are lengthened where the shingles'
+counts say that many candidates would be met, and two texts must then share the smaller of their
+two ``k`` before they are compared.
 
 *Hubs.* A group of near copies would meet in every prefix shingle of the group. So each text is
 first compared with a hub: of the texts that share a prefix shingle, the one whose prefix is met
@@ -55,9 +56,10 @@ WORDS = 5
 PERCENT = 80
 CHUNK = 1 << 21  # shingles that a task counts at a time
 MOST_FREQUENT = 1 << 20  # shingles whose count the order knows
-MOST_MATCHES = 8
-CHEAP = 32  # candidate meetings up to which one match suffices; each factor of 4 adds one
-MAP_BITS = 24
+FIRST_MATCHES = 4
+MOST_MATCHES = 16
+MAP_BITS = 24  # of the bitmap of texts, 2 MB
+SHINGLE_BITS = 27  # of the bitmap of shingles, 16 MB; when full, it only saves nothing
 
 
 def needed(n: Column) -> Column:
@@ -157,25 +159,59 @@ def _signed(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFra
     return rows.select("key", "text").mapInArrow(sign, schema)
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """A bitmap of ``2**MAP_BITS`` bits in which the keys' hashes are set: 2 MB whatever the
-    number of keys."""
-    place = F.pmod(F.xxhash64("key"), F.lit(1 << MAP_BITS))
+def _bitmap(values: DataFrame, hashed: Column, bits: int) -> np.ndarray:
+    """A bitmap of ``2**bits`` bits in which the values' hashes are set, of that size whatever
+    the number of values."""
+    place = F.pmod(hashed, F.lit(1 << bits))
     parts = (
-        keys.select(F.floor(place / 32768).alias("part"), F.pmod(place, F.lit(32768)).alias("bit"))
+        values.select(F.floor(place / 32768).alias("part"), F.pmod(place, F.lit(32768)).alias("bit"))
         .groupBy("part")
         .agg(F.bitmap_construct_agg("bit").alias("bits"))
         .collect()
     )
-    bits = np.zeros(1 << (MAP_BITS - 3), "u1")
+    found = np.zeros(1 << (bits - 3), "u1")
     for p in parts:
-        bits[p.part * 4096 : (p.part + 1) * 4096] = np.frombuffer(p.bits, "u1")
-    return bits
+        found[p.part * 4096 : (p.part + 1) * 4096] = np.frombuffer(p.bits, "u1")
+    return found
+
+
+def _inside(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places >> 3] >> (places & 7).astype("u1")) & 1 == 1
+
+
+def _possible(signed: DataFrame) -> DataFrame:
+    """The classes that may have a partner, with key, size and prefix: those with at least
+    ``FIRST_MATCHES`` prefix shingles (one for tiny sets) that some other class has in its
+    prefix too. The bitmap may let a few others pass."""
+    length = (F.col("n") - needed(F.col("n")) + F.least(F.lit(FIRST_MATCHES), needed(F.col("n")))).cast("int")
+    first = signed.filter("n > 0").select("sid", F.explode(F.slice("prefix", 1, length)).alias("token"))
+    met = first.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
+    met = met.filter("lo <> hi").select("token")
+    shared = signed.sparkSession.sparkContext.broadcast(_bitmap(met, F.col("token"), SHINGLE_BITS))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, mask = shared.value, (1 << SHINGLE_BITS) - 1
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            prefix = batch.column("prefix")
+            ends = prefix.offsets.to_numpy()
+            hits = np.cumsum(np.concatenate([[0], _inside(bits, prefix.values.to_numpy() & mask)]))
+            least = -(-n * PERCENT // 100)
+            stop = np.minimum(ends[:-1] + n - least + np.minimum(FIRST_MATCHES, least), ends[1:])
+            found = hits[stop] - hits[ends[:-1]]
+            # the partner of a set of at least 8 has at least 7, so it must share as many
+            keep = (n > 0) & (found >= np.where(n >= 8, FIRST_MATCHES, 1))
+            yield batch.take(pa.array(np.flatnonzero(keep)))
+
+    sifted = signed.mapInArrow(sift, signed.schema)
+    return sifted.groupBy("sid").agg(
+        F.min("key").alias("key"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
+    )
 
 
 def _whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """The whole sets of the ``wanted`` classes, each from the text of its smallest key."""
-    shared = rows.sparkSession.sparkContext.broadcast(_bitmap(wanted))
+    shared = rows.sparkSession.sparkContext.broadcast(_bitmap(wanted, F.xxhash64("key"), MAP_BITS))
     place = F.pmod(F.xxhash64("key"), F.lit(1 << MAP_BITS)).alias("place")
     schema = T.StructType(
         [
@@ -188,8 +224,7 @@ def _whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, bits = Hasher(WORDS), shared.value
         for batch in batches:
-            place = batch.column("place").to_numpy()
-            keep = np.flatnonzero((bits[place >> 3] >> (place & 7).astype("u1")) & 1)
+            keep = np.flatnonzero(_inside(bits, batch.column("place").to_numpy()))
             batch = batch.take(pa.array(keep))
             sids, sets = [], []
             for value in batch.column("text"):
@@ -202,11 +237,9 @@ def _whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             )
 
     made = rows.select("key", "text", place).mapInArrow(shingle, schema)
-    wanted = wanted.select("sid", F.col("key").alias("_key"))
-    same = (made["sid"] == wanted["sid"]) & made["key"].eqNullSafe(wanted["_key"])
-    return durable(
-        made.join(wanted, same, "left_semi").select("sid", "tokens").dropDuplicates(["sid"]), "sets"
-    )
+    # rows of one class have one set, whichever of them passed the bitmap
+    found = made.join(wanted.select("sid"), "sid", "left_semi").select("sid", "tokens")
+    return durable(found.dropDuplicates(["sid"]), "sets")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -225,35 +258,50 @@ def _alike_in_size(n: Column, m: Column) -> Column:
 
 def _postings(classes: DataFrame) -> DataFrame:
     """Prefix shingles of the classes that have a possible partner: (token, sid, n, matches,
-    cost). ``matches`` grows with the estimated cost, the number of meetings at one match."""
-    first = classes.select(
-        "sid", F.explode(F.slice("prefix", 1, (F.col("n") - needed(F.col("n")) + 1).cast("int"))).alias("token")
+    cost). ``matches`` grows with the estimated cost, the number of texts met at the first
+    matches."""
+    need = needed(F.col("n"))
+    start = F.least(F.lit(FIRST_MATCHES), need)
+
+    def shared(rows: DataFrame, matches: Column) -> DataFrame:
+        length = (F.col("n") - need + matches).cast("int")
+        places = rows.withColumn("token", F.explode(F.slice("prefix", 1, length))).drop("prefix", "key")
+        places = durable(places, "places")
+        met = places.groupBy("token").count().filter("count > 1")
+        return places.join(durable(met, "met"), "token")
+
+    met = shared(classes, start).groupBy("sid").agg(
+        F.sum(F.col("count") - 1).alias("cost"), F.count(F.lit(1)).alias("shared")
     )
-    met = durable(first.groupBy("token").count().filter("count > 1"), "met")
-    cost = first.join(met, "token").groupBy("sid").agg(F.sum(F.col("count") - 1).alias("cost"))
-    steps = F.floor(F.log(F.col("cost") / CHEAP) / F.log(F.lit(4.0))) + 2
-    matches = F.when(F.col("cost") <= CHEAP, 1).otherwise(steps)
-    matches = F.least(F.lit(MOST_MATCHES), matches, needed(F.col("n"))).cast("int")
-    chosen = classes.join(durable(cost, "cost"), "sid").withColumn("matches", matches)
-    length = (F.col("n") - needed(F.col("n")) + F.col("matches")).cast("int")
-    places = durable(
-        chosen.select("sid", "n", "matches", "cost", F.explode(F.slice("prefix", 1, length)).alias("token")),
-        "places",
+    chosen = classes.join(durable(met, "cost"), "sid").filter(
+        F.col("shared") >= F.when(F.col("n") >= 8, FIRST_MATCHES).otherwise(1)
     )
-    met = places.groupBy("token").count().filter("count > 1").select("token")
-    return durable(places.join(met, "token"), "postings")
+    matches = F.least(F.lit(MOST_MATCHES), need, 2 + F.ceil(F.log2(F.col("cost") + 1))).cast("int")
+    chosen = chosen.drop("shared").withColumn("matches", F.greatest(matches, start))
+    return durable(shared(chosen, F.col("matches")).drop("count"), "postings")
 
 
-def _compared(postings: DataFrame, sets: DataFrame) -> DataFrame:
-    """Each text with its hub: ``hub``, the hub's size, ``u``, and the deviations of texts near
-    the hub (null for others)."""
-    hubs = postings.groupBy("token").agg(F.max(F.struct("cost", "sid", "n")).alias("hub"))
+def _hubs(postings: DataFrame) -> DataFrame:
+    """Texts with the hub to compare them with."""
+    hubs = postings.groupBy("token").agg(F.max(F.struct("cost", "sid", "n", "matches")).alias("hub"))
     met = postings.join(durable(hubs, "hubs"), "token").filter(
         (F.col("sid") != F.col("hub.sid")) & _alike_in_size(F.col("n"), F.col("hub.n"))
     )
-    best = met.groupBy("sid", F.col("hub.sid").alias("hub")).count()
-    best = best.groupBy("sid").agg(F.max(F.struct("count", "hub"))["hub"].alias("hub"))
-    both = best.join(sets.toDF("sid", "_s"), "sid").join(sets.toDF("hub", "_t"), "hub")
+    return durable(_best_hub(met).select("sid", "hub"), "chosen-hubs")
+
+
+def _best_hub(met: DataFrame) -> DataFrame:
+    """For each text the hub that it shares most prefix shingles with, if they are enough."""
+    enough = F.least("matches", "hub.matches")
+    best = met.groupBy("sid", F.col("hub.sid").alias("hub"), enough.alias("enough")).count()
+    best = best.filter("count >= enough")
+    return best.groupBy("sid").agg(F.max(F.struct("count", "hub"))["hub"].alias("hub"))
+
+
+def _compared(chosen: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each text with its hub: ``hub``, the hub's size, ``u``, and the deviations of texts near
+    the hub (null for others)."""
+    both = chosen.join(sets.toDF("sid", "_s"), "sid").join(sets.toDF("hub", "_t"), "hub")
     both = both.withColumn("_r", F.array_except("_t", "_s")).withColumn("_a", F.array_except("_s", "_t"))
     both = both.withColumn("u", 5 * F.size("_r") + 4 * F.size("_a")).withColumn("hub_n", F.size("_t"))
     # beyond, a text cannot be similar to one that is similar to the hub
@@ -344,32 +392,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     that links reach."""
     rows = docs.select(F.col(quoted(key)).alias("key"), text_of(text).alias("text"))
     signed = durable(_signed(rows, frequent_shingles(rows)), "signed")
-    classes = durable(
-        signed.filter("n > 0")
-        .groupBy("sid")
-        .agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("prefix").alias("prefix")),
-        "classes",
-    )
+    classes = durable(_possible(signed), "classes")
     postings = _postings(classes)
     members = durable(postings.select("sid").distinct(), "members")
     sets = _whole_sets(rows, classes.select("sid", "key").join(members, "sid"))
 
-    compared = _compared(postings, sets)
+    compared = _compared(_hubs(postings), sets)
     linked = compared.filter("u <= hub_n").select("sid", "hub")
     pairs = _near_hub_pairs(compared).union(
         _rest_pairs(postings, _groups(members, compared, linked))
     )
     roots = components(linked.toDF("a", "b").union(_linked(pairs, sets)))
-    named = roots.join(classes.select("sid", "key"), roots["node"] == classes["sid"])
-    least = named.groupBy("root").agg(F.min("key").alias("component_id"))
-    joined = durable(roots.join(least, "root").select(F.col("node").alias("sid"), "component_id"), "joined")
-    ids = classes.select("sid", "key").join(joined, "sid", "left")
-    ids = durable(ids.select("sid", F.coalesce("component_id", "key").alias("component_id")), "ids")
-    out = signed.select("key", "sid", "n").join(ids, "sid", "left")
+    # the smallest key of each class; of each component
+    least = durable(signed.filter("n > 0").groupBy("sid").agg(F.min("key").alias("key")), "least")
+    named = roots.select(F.col("node").alias("sid"), "root").join(least, "sid")
+    joined = named.groupBy("root").agg(F.min("key").alias("component_id"))
+    joined = durable(named.join(joined, "root").select("sid", "component_id"), "joined")
+    ids = least.join(joined, "sid", "left").select("sid", F.coalesce("component_id", "key").alias("component_id"))
+    out = signed.select("key", "sid", "n").join(durable(ids, "ids"), "sid", "left")
     own = F.when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id"))
-    return out.select(
-        F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id")
-    )
+    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
 def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
