@@ -56,7 +56,8 @@ WORDS = 5
 PERCENT = 80
 CHUNK = 1 << 21  # shingles that a task counts at a time
 MOST_FREQUENT = 1 << 20  # shingles whose count the order knows
-FIRST_MATCHES = 4
+FIRST_MATCHES = 8
+ALL_OF_THEM = 13  # sets from this size on: all partners need to share FIRST_MATCHES or more
 MOST_MATCHES = 16
 MAP_BITS = 24  # of the bitmap of texts, 2 MB
 SHINGLE_BITS = 27  # of the bitmap of shingles, 16 MB; when full, it only saves nothing
@@ -181,12 +182,12 @@ def _inside(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 def _possible(signed: DataFrame) -> DataFrame:
     """The classes that may have a partner, with key, size and prefix: those with at least
-    ``FIRST_MATCHES`` prefix shingles (one for tiny sets) that some other class has in its
-    prefix too. The bitmap may let a few others pass."""
+    ``FIRST_MATCHES`` prefix shingles (one for tiny sets) that some other text has in its
+    prefix too. Copies of a text and clashes in the bitmap let some others pass."""
     length = (F.col("n") - needed(F.col("n")) + F.least(F.lit(FIRST_MATCHES), needed(F.col("n")))).cast("int")
     first = signed.filter("n > 0").select("sid", F.explode(F.slice("prefix", 1, length)).alias("token"))
-    met = first.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
-    met = met.filter("lo <> hi").select("token")
+    # 40 bits keep the shuffle small; a clash, like a copy of one text, only lets a text pass
+    met = first.groupBy(F.pmod("token", F.lit(1 << 40)).alias("token")).count().filter("count > 1")
     shared = signed.sparkSession.sparkContext.broadcast(_bitmap(met, F.col("token"), SHINGLE_BITS))
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,8 +200,7 @@ def _possible(signed: DataFrame) -> DataFrame:
             least = -(-n * PERCENT // 100)
             stop = np.minimum(ends[:-1] + n - least + np.minimum(FIRST_MATCHES, least), ends[1:])
             found = hits[stop] - hits[ends[:-1]]
-            # the partner of a set of at least 8 has at least 7, so it must share as many
-            keep = (n > 0) & (found >= np.where(n >= 8, FIRST_MATCHES, 1))
+            keep = (n > 0) & (found >= np.where(n >= ALL_OF_THEM, FIRST_MATCHES, 1))
             yield batch.take(pa.array(np.flatnonzero(keep)))
 
     sifted = signed.mapInArrow(sift, signed.schema)
@@ -242,6 +242,12 @@ def _whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return durable(found.dropDuplicates(["sid"]), "sets")
 
 
+def _texts(pairs: DataFrame) -> DataFrame:
+    """The distinct texts of a table of pairs."""
+    a, b = pairs.columns
+    return pairs.select(F.col(a).alias("sid")).union(pairs.select(F.col(b).alias("sid"))).distinct()
+
+
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) whose whole sets are similar."""
     left = sets.select(F.col("sid").alias("a"), F.col("tokens").alias("_s"))
@@ -266,7 +272,6 @@ def _postings(classes: DataFrame) -> DataFrame:
     def shared(rows: DataFrame, matches: Column) -> DataFrame:
         length = (F.col("n") - need + matches).cast("int")
         places = rows.withColumn("token", F.explode(F.slice("prefix", 1, length))).drop("prefix", "key")
-        places = durable(places, "places")
         met = places.groupBy("token").count().filter("count > 1")
         return places.join(durable(met, "met"), "token")
 
@@ -274,7 +279,7 @@ def _postings(classes: DataFrame) -> DataFrame:
         F.sum(F.col("count") - 1).alias("cost"), F.count(F.lit(1)).alias("shared")
     )
     chosen = classes.join(durable(met, "cost"), "sid").filter(
-        F.col("shared") >= F.when(F.col("n") >= 8, FIRST_MATCHES).otherwise(1)
+        F.col("shared") >= F.when(F.col("n") >= ALL_OF_THEM, FIRST_MATCHES).otherwise(1)
     )
     matches = F.least(F.lit(MOST_MATCHES), need, 2 + F.ceil(F.log2(F.col("cost") + 1))).cast("int")
     chosen = chosen.drop("shared").withColumn("matches", F.greatest(matches, start))
@@ -291,10 +296,11 @@ def _hubs(postings: DataFrame) -> DataFrame:
 
 
 def _best_hub(met: DataFrame) -> DataFrame:
-    """For each text the hub that it shares most prefix shingles with, if they are enough."""
+    """For each text the hub that it shares most prefix shingles with. Other texts may be the
+    hub of some of the shingles that the two share, so a quarter of the matches is enough."""
     enough = F.least("matches", "hub.matches")
     best = met.groupBy("sid", F.col("hub.sid").alias("hub"), enough.alias("enough")).count()
-    best = best.filter("count >= enough")
+    best = best.filter("4 * count >= enough")
     return best.groupBy("sid").agg(F.max(F.struct("count", "hub"))["hub"].alias("hub"))
 
 
@@ -395,14 +401,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     classes = durable(_possible(signed), "classes")
     postings = _postings(classes)
     members = durable(postings.select("sid").distinct(), "members")
-    sets = _whole_sets(rows, classes.select("sid", "key").join(members, "sid"))
+    keys = classes.select("sid", "key")
+    hubs = _hubs(postings)
+    sets = _whole_sets(rows, keys.join(_texts(hubs), "sid"))
 
-    compared = _compared(_hubs(postings), sets)
+    compared = _compared(hubs, sets)
     linked = compared.filter("u <= hub_n").select("sid", "hub")
-    pairs = _near_hub_pairs(compared).union(
-        _rest_pairs(postings, _groups(members, compared, linked))
-    )
-    roots = components(linked.toDF("a", "b").union(_linked(pairs, sets)))
+    links = linked.toDF("a", "b").union(_linked(_near_hub_pairs(compared), sets))
+    rest = durable(_rest_pairs(postings, _groups(members, compared, linked)), "rest-pairs")
+    # most of these texts had no hub to be compared with
+    other = _texts(rest).join(sets.select("sid"), "sid", "left_anti")
+    sets = sets.union(_whole_sets(rows, keys.join(other, "sid")))
+    roots = components(links.union(_linked(rest, sets)))
     # the smallest key of each class; of each component
     least = durable(signed.filter("n > 0").groupBy("sid").agg(F.min("key").alias("key")), "least")
     named = roots.select(F.col("node").alias("sid"), "root").join(least, "sid")
