@@ -56,9 +56,9 @@ WORDS = 5
 PERCENT = 80
 CHUNK = 1 << 21  # shingles that a task counts at a time
 MOST_FREQUENT = 1 << 20  # shingles whose count the order knows
-FIRST_MATCHES = 8
-ALL_OF_THEM = 13  # sets from this size on: all partners need to share FIRST_MATCHES or more
-MOST_MATCHES = 16
+FIRST_MATCHES = 16
+ALL_OF_THEM = 25  # sets from this size on: all partners need to share FIRST_MATCHES or more
+MOST_MATCHES = 24
 MAP_BITS = 24  # of the bitmap of texts, 2 MB
 SHINGLE_BITS = 27  # of the bitmap of shingles, 16 MB; when full, it only saves nothing
 
@@ -268,22 +268,19 @@ def _postings(classes: DataFrame) -> DataFrame:
     matches."""
     need = needed(F.col("n"))
     start = F.least(F.lit(FIRST_MATCHES), need)
-
-    def shared(rows: DataFrame, matches: Column) -> DataFrame:
-        length = (F.col("n") - need + matches).cast("int")
-        places = rows.withColumn("token", F.explode(F.slice("prefix", 1, length))).drop("prefix", "key")
-        met = places.groupBy("token").count().filter("count > 1")
-        return places.join(durable(met, "met"), "token")
-
-    met = shared(classes, start).groupBy("sid").agg(
-        F.sum(F.col("count") - 1).alias("cost"), F.count(F.lit(1)).alias("shared")
-    )
-    chosen = classes.join(durable(met, "cost"), "sid").filter(
-        F.col("shared") >= F.when(F.col("n") >= ALL_OF_THEM, FIRST_MATCHES).otherwise(1)
+    longest = (F.col("n") - need + F.least(F.lit(MOST_MATCHES), need)).cast("int")
+    places = classes.select("sid", "n", F.posexplode(F.slice("prefix", 1, longest)).alias("place", "token"))
+    met = durable(places.groupBy("token").count().filter("count > 1"), "met")
+    places = durable(places.join(met, "token"), "places")
+    cost = places.filter(F.col("place") < F.col("n") - need + start).groupBy("sid").agg(
+        F.sum(F.col("count") - 1).alias("cost"), F.count(F.lit(1)).alias("shared"), F.max("n").alias("_n")
     )
-    matches = F.least(F.lit(MOST_MATCHES), need, 2 + F.ceil(F.log2(F.col("cost") + 1))).cast("int")
-    chosen = chosen.drop("shared").withColumn("matches", F.greatest(matches, start))
-    return durable(shared(chosen, F.col("matches")).drop("count"), "postings")
+    enough = F.when(F.col("_n") >= ALL_OF_THEM, FIRST_MATCHES).otherwise(1)
+    cost = durable(cost.filter(F.col("shared") >= enough).select("sid", "cost"), "cost")
+    matches = F.least(F.lit(MOST_MATCHES), need, 2 + F.ceil(F.log2(F.col("cost") + 1)))
+    rows = places.join(cost, "sid").withColumn("matches", F.greatest(matches, start).cast("int"))
+    rows = rows.filter(F.col("place") < F.col("n") - need + F.col("matches"))
+    return durable(rows.select("token", "sid", "n", "matches", "cost"), "postings")
 
 
 def _hubs(postings: DataFrame) -> DataFrame:
@@ -307,7 +304,8 @@ def _best_hub(met: DataFrame) -> DataFrame:
 def _compared(chosen: DataFrame, sets: DataFrame) -> DataFrame:
     """Each text with its hub: ``hub``, the hub's size, ``u``, and the deviations of texts near
     the hub (null for others)."""
-    both = chosen.join(sets.toDF("sid", "_s"), "sid").join(sets.toDF("hub", "_t"), "hub")
+    hubs = sets.join(chosen.select(F.col("hub").alias("sid")).distinct(), "sid", "left_semi")
+    both = chosen.join(sets.toDF("sid", "_s"), "sid").join(hubs.toDF("hub", "_t"), "hub")
     both = both.withColumn("_r", F.array_except("_t", "_s")).withColumn("_a", F.array_except("_s", "_t"))
     both = both.withColumn("u", 5 * F.size("_r") + 4 * F.size("_a")).withColumn("hub_n", F.size("_t"))
     # beyond, a text cannot be similar to one that is similar to the hub
@@ -316,8 +314,8 @@ def _compared(chosen: DataFrame, sets: DataFrame) -> DataFrame:
     return durable(rows, "compared")
 
 
-def _near_hub_pairs(compared: DataFrame) -> DataFrame:
-    """Pairs of texts near one hub, not both similar to it, that may be similar.
+def _near_hub_links(compared: DataFrame) -> DataFrame:
+    """Links of texts near one hub that are not both similar to it.
 
     A text outside the hub's reach has ``u > |h|``. Its partner shares at least ``(u' + 1) / 9``
     deviations with it, and it shares at least ``(u - |h|) / 9`` with any partner; so each
@@ -348,7 +346,12 @@ def _near_hub_pairs(compared: DataFrame) -> DataFrame:
     outer = side("outside and place <= short", "a")
     among = outer.join(side("outside and place <= short", "b"), keys).filter("a < b")
     across = side("outside and place <= long", "a").join(side("not outside and place <= short", "b"), keys)
-    return among.select("a", "b").union(across.select("a", "b")).distinct()
+    pairs = among.select("a", "b").union(across.select("a", "b")).distinct()
+    a = near.select(F.col("sid").alias("a"), "u", "hub_n", F.col("deviations").alias("_d"))
+    b = near.select(F.col("sid").alias("b"), F.col("u").alias("_u"), F.col("deviations").alias("_e"))
+    both = pairs.join(a, "a").join(b, "b")
+    shared = F.size(F.array_intersect("_d", "_e"))
+    return both.filter(9 * shared >= F.col("u") + F.col("_u") - F.col("hub_n")).select("a", "b")
 
 
 def _rest_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
@@ -407,11 +410,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     compared = _compared(hubs, sets)
     linked = compared.filter("u <= hub_n").select("sid", "hub")
-    links = linked.toDF("a", "b").union(_linked(_near_hub_pairs(compared), sets))
+    links = linked.toDF("a", "b").union(_near_hub_links(compared))
     rest = durable(_rest_pairs(postings, _groups(members, compared, linked)), "rest-pairs")
     # most of these texts had no hub to be compared with
-    other = _texts(rest).join(sets.select("sid"), "sid", "left_anti")
-    sets = sets.union(_whole_sets(rows, keys.join(other, "sid")))
+    texts = durable(_texts(rest), "texts")
+    other = texts.join(sets.select("sid"), "sid", "left_anti")
+    sets = sets.join(texts, "sid", "left_semi").union(_whole_sets(rows, keys.join(other, "sid")))
     roots = components(links.union(_linked(rest, sets)))
     # the smallest key of each class; of each component
     least = durable(signed.filter("n > 0").groupBy("sid").agg(F.min("key").alias("key")), "least")
