@@ -80,11 +80,9 @@ def train(texts: list[np.ndarray], labels: Iterable[int], share: float) -> Model
     flat = Model(np.zeros(PLACES, "f4"), math.log(share / (1 - share)))
     if not toxic or not clean:
         return flat
-    sizes = np.array([len(t) for t in texts])
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    places = np.concatenate(texts).astype("i8")
-    with_toxic = np.bincount(places, weights=y[owner], minlength=PLACES)
-    with_clean = np.bincount(places, minlength=PLACES) - with_toxic
+    with_toxic, with_clean = np.zeros(PLACES), np.zeros(PLACES)
+    for places, label in zip(texts, y):
+        (with_toxic if label else with_clean)[places] += 1
     p, q = with_toxic / toxic, with_clean / clean
     both = (with_toxic + with_clean) / len(y)
     error = np.sqrt(both * (1 - both) * (1 / toxic + 1 / clean)) + 1e-9
@@ -96,8 +94,9 @@ def train(texts: list[np.ndarray], labels: Iterable[int], share: float) -> Model
     )
     column = np.full(PLACES, -1)
     column[used] = np.arange(len(used))
-    keep = column[places] >= 0
-    owner, at = owner[keep], column[places[keep]]
+    columns = [column[places] for places in texts]
+    columns = [c[c >= 0] for c in columns]
+    owner, at = np.repeat(np.arange(len(columns)), list(map(len, columns))), np.concatenate(columns)
     value = ratio[used][at]
 
     def product(w: np.ndarray) -> np.ndarray:
