@@ -54,7 +54,7 @@ from tidemark.session import durable
 
 WORDS = 5
 PERCENT = 80
-CHUNK = 1 << 21  # shingles that a task counts at a time
+CHUNK = 1 << 20  # shingles that a task counts at a time
 MOST_FREQUENT = 1 << 20  # shingles whose count the order knows
 FIRST_MATCHES = 16
 ALL_OF_THEM = 25  # sets from this size on: all partners need to share FIRST_MATCHES or more
