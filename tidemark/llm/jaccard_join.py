@@ -383,12 +383,9 @@ def _rest_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
 
 def _groups(members: DataFrame, compared: DataFrame, linked: DataFrame) -> DataFrame:
     """Members with ``near``, the hub that a text is near to or the text itself, and ``part``:
-    texts in one part are connected. A text's part is its hub's hub, as far as links go; longer
-    chains may stay in several parts."""
+    what the links with hubs connect."""
     near = compared.filter(F.col("deviations").isNotNull()).select("sid", F.col("hub").alias("near"))
-    up = linked.toDF("sid", "up")
-    chain = up.join(linked.toDF("up", "top"), "up", "left")
-    chain = chain.select("sid", F.coalesce("top", "up").alias("top"))
+    chain = components(linked).select(F.col("node").alias("sid"), F.col("root").alias("top"))
     rows = members.join(near, "sid", "left").join(chain, "sid", "left")
     return durable(
         rows.select("sid", F.coalesce("near", "sid").alias("near"), F.coalesce("top", "sid").alias("part")),
