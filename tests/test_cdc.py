@@ -108,3 +108,10 @@ def test_kept_events_plan_has_no_window(spark):
     _, kept = cdc.apply_events(df.select("article_id"), df, "article_id", ["seq"], "append")
     text = plan(kept)
     assert "Window" not in text and "SinglePartition" not in text
+
+
+def test_inferred_ids_go_on_from_the_highest(spark):
+    dim = spark.createDataFrame([("COMP001", "a"), ("COMP003", "c")], "company_id string, company_name string")
+    events = spark.createDataFrame([("x", 1), ("y", 2), ("a", 3)], "company_name string, at int")
+    made = cdc.infer_members(dim, events, ["at"]).collect()
+    assert sorted((r.company_id, r.company_name) for r in made) == [("COMP004", "x"), ("COMP005", "y")]

@@ -2,6 +2,7 @@ import csv
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import values
@@ -131,3 +132,20 @@ def test_emit_only_on_change_and_json_lines(spark, tmp_path):
     drop("c.jsonl", [event(4, "D", "A", "C")])
     assert tick() == (False, 1)
     assert values(spark.read.parquet(target), "article_id") == [("B",)]
+
+
+def test_csv_with_another_header_is_refused(spark, tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    (folder / "a.csv").write_text("event_id,title\ne1,hello\n")
+
+    def read(fields):
+        stream = cdc_stream.event_stream(spark, str(folder), "csv", fields)
+        name = "read_" + "_".join(fields)
+        query = stream.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return [r[:2] for r in spark.table(name).collect()]
+
+    assert read(["event_id", "title"]) == [("e1", "hello")]
+    with pytest.raises(Exception, match="header"):
+        read(["title", "event_id"])

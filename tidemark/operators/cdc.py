@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import date_parts_or, iso_timestamp, parse_date
 from tidemark.functions.events import failure_reason, operation
 from tidemark.functions.numbers import to_double
-from tidemark.functions.text import label, word_count
+from tidemark.functions.text import label, strip, word_count
 from tidemark.operators.joins import salted_join
 from tidemark.operators.mapping import look_up
 from tidemark.operators.ordered import dense_sequence
@@ -103,15 +103,17 @@ def infer_members(
     prefix: str = "COMP",
     width: int = 3,
 ) -> DataFrame:
-    """Members that only the events name, numbered by first sight after the ``dim`` rows,
-    with the ``category`` of their first event."""
+    """Members that only the events name, numbered by first sight after the highest number in
+    the ``dim`` keys, with the ``category`` of their first event."""
     category = F.col("category") if "category" in events.columns else F.lit(None).cast("string")
     first_seen = events.groupBy(name).agg(
         F.min(F.struct(*order)).alias("_first"),
         F.min_by(F.struct(category.alias("v")), F.struct(*order)).alias("_category"),
     )
     unknown = first_seen.join(dim.select(name), name, "left_anti")
-    numbered = dense_sequence(unknown, ["_first"], "_n", dim.count() + 1)
+    digits = F.regexp_extract(F.col(key), r"(\d+)$", 1).try_cast("long")
+    highest = dim.agg(F.max(digits)).first()[0] or 0
+    numbered = dense_sequence(unknown, ["_first"], "_n", highest + 1)
     return numbered.select(
         label(prefix, F.col("_n"), width).alias(key), name, F.col("_category.v").alias("category")
     )
@@ -219,7 +221,7 @@ def latest_after(observations: DataFrame, dim: DataFrame, attributes: Sequence[s
 
 def latest_events(events: DataFrame, order: Sequence[str], key: str = "article_id") -> DataFrame:
     """The last event of each key, deletes included."""
-    return last_per_key(events.withColumn(key, F.trim(F.col(key))), [key], order)
+    return last_per_key(events.withColumn(key, strip(F.col(key))), [key], order)
 
 
 def live_rows(latest: DataFrame, key: str = "article_id", amount: str = "arr_usd_M") -> DataFrame:

@@ -36,10 +36,13 @@ def event_stream(
     fields: Sequence[str] = EVENT_FIELDS,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Event files that land in a folder, CSV or JSON lines, every field as text."""
+    """Event files that land in a folder, CSV or JSON lines, every field as text. CSV columns
+    are bound by position, so ``fields`` names the files' columns in their order; a file whose
+    header says otherwise stops the stream instead of being misread. Event fields that the files
+    do not have are left out, and their defaults apply."""
     reader = spark.readStream.schema(strings(fields)).format(fmt)
     if fmt == "csv":
-        reader = reader.options(header=True, multiLine=True, escape='"')
+        reader = reader.options(header=True, enforceSchema=False, multiLine=True, escape='"')
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(folder).select(
