@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, values
@@ -117,6 +118,27 @@ def test_type_2_in_order_increments_equal_one_replay(spark):
         assert got == model([(at, i, st) for key, at, i, st in events if key == k])
 
 
+def test_type_2_keeps_columns_that_are_not_tracked(spark):
+    day = dt.date
+    dim = spark.createDataFrame(
+        [("S1", 1, "a", "Oslo", "n1", day(2024, 1, 1), day(2024, 1, 31), False),
+         ("S2", 1, "b", "Rome", None, day(2024, 2, 1), day(9999, 12, 31), True),
+         ("S3", 2, "a", "Bern", "n3", day(2024, 1, 1), day(9999, 12, 31), True)],
+        "sk STRING, k INT, state STRING, city STRING, note STRING, effective_start_date DATE, effective_end_date DATE, "
+        "is_current_flag BOOLEAN")
+    changes = spark.createDataFrame(
+        [(1, "c", "Paris", day(2024, 3, 1), 1), (1, "d", None, day(2024, 4, 1), 2)],
+        "k INT, state STRING, city STRING, at DATE, seq INT")
+    got = scd.apply_changes(dim, changes, ["k"], ["state"], "at", ["seq"], "sk")
+    assert sorted(got.columns) == sorted(dim.columns)
+    assert values(got, "k", "state", "city", "note", "effective_end_date") == [
+        (1, "a", "Oslo", "n1", day(2024, 1, 31)), (1, "b", "Rome", None, day(2024, 2, 29)),
+        (1, "c", "Paris", None, day(2024, 3, 31)), (1, "d", "Paris", None, day(9999, 12, 31)),
+        (2, "a", "Bern", "n3", day(9999, 12, 31))]
+    with pytest.raises(ValueError, match="order"):
+        scd.apply_changes(dim, changes, ["k"], ["state"], "at", [])
+
+
 def test_temporal_join_has_an_equi_key(spark):
     dim = spark.createDataFrame(
         [(1, "old", dt.date(2020, 1, 1), dt.date(2020, 6, 30)), (1, "new", dt.date(2020, 7, 1), dt.date(9999, 12, 31))],

@@ -1,6 +1,9 @@
 import csv
 import datetime as dt
+import itertools
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +14,8 @@ from tidemark.functions.events import EVENT_FIELDS
 from tidemark.streaming import cdc_stream
 
 FALLBACK = dt.date(2026, 9, 1)
+# files of one millisecond would arrive in any order
+ARRIVALS = itertools.count(int(time.time()) - 1000)
 
 
 def drop_csv(folder, name, events):
@@ -18,6 +23,7 @@ def drop_csv(folder, name, events):
         w = csv.writer(f)
         w.writerow(EVENT_FIELDS)
         w.writerows([("" if v is None else v for v in e[1:]) for e in by_field(events)])
+    os.utime(folder / name, (arrival := next(ARRIVALS), arrival))
 
 
 def by_field(events):
@@ -134,18 +140,40 @@ def test_emit_only_on_change_and_json_lines(spark, tmp_path):
     assert values(spark.read.parquet(target), "article_id") == [("B",)]
 
 
-def test_csv_with_another_header_is_refused(spark, tmp_path):
-    folder = tmp_path / "landing"
-    folder.mkdir()
-    (folder / "a.csv").write_text("event_id,title\ne1,hello\n")
-
-    def read(fields):
-        stream = cdc_stream.event_stream(spark, str(folder), "csv", fields)
-        name = "read_" + "_".join(fields)
-        query = stream.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
-        query.awaitTermination()
-        return [r[:2] for r in spark.table(name).collect()]
-
-    assert read(["event_id", "title"]) == [("e1", "hello")]
-    with pytest.raises(Exception, match="header"):
-        read(["title", "event_id"])
+@pytest.mark.parametrize("line_breaks", [True, False])
+def test_csv_is_bound_by_the_header_of_each_file(spark, tmp_path, line_breaks):
+    landing, root = tmp_path / "landing", str(tmp_path / "state")
+    landing.mkdir()
+    (landing / "narrow.csv").write_text(
+        "event_id,event_timestamp,op_code,article_id,company_name,arr_usd_M,title\n"
+        "E1,2026-10-25T10:00:00,I,A1,Acme,5,hello\n"
+        "E2,2026-10-25T10:00:00,I,A2,Acme,,\n")
+    (landing / "other.csv").write_text(
+        "\ufefftitle,published_date,company_name,article_id,op_code,event_timestamp,event_id,unknown\n"
+        "world,,Acme,A3,I,2026-10-25T10:00:00,E3,x\n"
+        "short\n")
+    stream = cdc_stream.event_stream(spark, str(landing), line_breaks=line_breaks)
+    cdc_stream.start(stream, root).awaitTermination()
+    # no base was ever stored
+    tables = cdc_stream.snapshot(spark, root, FALLBACK)
+    day = cdc_stream.read_log(spark, root).select(F.date_format("logged_at", "yyyy-MM-dd")).first()[0]
+    assert values(tables["fct_article"], "article_id", "title", "category", "author", "summary", "published_date_clean") == [
+        ("A1", "hello", "General", "Unknown", "", day), ("A2", "", "General", "Unknown", "", day),
+        ("A3", "world", "General", "Unknown", "", "")]
+    assert values(tables["fct_arr_observation"], "article_id", "arr_usd_M") == [("A1", 5)]
+    assert values(tables["dim_company"], "company_id", "company_name", "industry") == [("COMP001", "Acme", "Technology")]
+    first = values(cdc_stream.dead_letters(spark, root))
+    assert [r[1] for r in first] == ["Missing or empty required field: `event_id`"]
+    assert values(cdc_stream.dead_letters(spark, root)) == first
+
+
+def test_unmarked_batches_are_not_read(spark, tmp_path):
+    landing, root = tmp_path / "landing", str(tmp_path / "state")
+    landing.mkdir()
+    drop_csv(landing, "a.csv", [event(1, "I", "A", "C", "5")])
+    run(spark, landing, root)
+    torn = cdc_stream.read_log(spark, root).drop("batch")
+    torn.write.partitionBy("outcome").parquet(f"{root}/log/batch=7")
+    assert cdc_stream.read_log(spark, root).count() == 1
+    assert cdc_stream.compact(spark, root, FALLBACK) == 0
+    assert values(cdc_stream.snapshot(spark, root, FALLBACK)["fct_article"], "article_id") == [("A",)]

@@ -66,9 +66,11 @@ def valid_events(classified: DataFrame) -> DataFrame:
 
 
 def dead_letters(classified: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Quarantine records: when, why and the raw event as JSON."""
+    """Quarantine records: when, why and the raw event as JSON. Events with a ``logged_at``
+    keep that time; otherwise it is the time of reading."""
+    at = F.col("logged_at") if "logged_at" in classified.columns else F.current_timestamp()
     return classified.filter(F.col("failure_reason").isNotNull()).select(
-        F.current_timestamp().alias("quarantined_at"),
+        at.alias("quarantined_at"),
         "failure_reason",
         F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("raw_payload"),
     )
@@ -152,9 +154,10 @@ def apply_events(
 
 
 def article_rows(kept: DataFrame, fallback: dt.date) -> DataFrame:
-    """Article facts of kept events (which carry ``company_id``)."""
+    """Article facts of kept events (which carry ``company_id``). A field that is absent, as
+    a column or as null, takes its default; an empty text stays."""
     def text(name: str, default: str) -> Column:
-        return F.col(name) if name in kept.columns else F.lit(default)
+        return F.coalesce(F.col(name), F.lit(default)) if name in kept.columns else F.lit(default)
 
     return _dated(kept, fallback).select(
         "article_id",
@@ -192,10 +195,9 @@ def observation_rows(kept: DataFrame, fallback: dt.date, amount: str = "arr_usd_
 
 
 def _dated(kept: DataFrame, fallback: dt.date) -> DataFrame:
-    if "published_date" in kept.columns:
-        raw = F.col("published_date")
-    else:
-        raw = F.date_format(F.current_date(), "yyyy-MM-dd")
+    # an event without a date is of the day it was logged, however often it is read
+    today = F.date_format("logged_at" if "logged_at" in kept.columns else F.current_date(), "yyyy-MM-dd")
+    raw = F.coalesce("published_date", today) if "published_date" in kept.columns else today
     parts = date_parts_or(F.col("_date"), raw, "published", fallback)
     parts["published_date_clean"] = parts.pop("published_date")
     return kept.withColumn("_date", parse_date(raw)).withColumns(parts)

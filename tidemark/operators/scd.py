@@ -122,50 +122,82 @@ def apply_changes(
     keys: Sequence[str],
     tracked: Sequence[str],
     effective: str,
-    order: Sequence[str] = (),
+    order: Sequence[str],
     surrogate: str | None = None,
     prefix: str = "CUST_SK_",
     width: int = 4,
 ) -> DataFrame:
     """Type 2, incremental: close the open version the day before a change takes effect
-    and open a new one.
+    and open a new one. The result has the columns of ``dim``.
 
     Several changes of a key on one day count as the last one by ``order``. A state equal
     to the one before makes no version. A change older than the open version rebuilds the
     key's timeline from all its stored versions. New surrogate keys go on from the highest
-    one; a version that stays keeps its own. Closed versions of other keys are passed through.
+    one; a version that stays keeps its own. Versions of keys without a change are passed
+    through: they are neither sorted nor written.
+
+    Columns of ``dim`` that are not tracked take their value from the change, where it has one,
+    else the last one known; a stored version keeps its own.
 
     Changes are reduced to one per key and day before anything is sorted, so the timeline
     of a key is no longer than the calendar, however often it changed.
     """
     keys, tracked, order = list(keys), list(tracked), list(order)
+    if not order:
+        raise ValueError("changes of one day need an order")
+    known = {*keys, *tracked, START, END, CURRENT, surrogate}
+    others = [f for f in dim.schema.fields if f.name not in known]
     state = F.struct(*tracked)
     number = F.col(surrogate) if surrogate else F.lit(None).cast("string")
 
-    def stored(rows: DataFrame) -> DataFrame:
-        return rows.select(*keys, F.col(START).alias("_start"), state.alias("_state"), number.alias("_sk"))
+    def carried(rows: DataFrame) -> Column:
+        return F.struct(
+            F.lit(None).alias("_"),
+            *[
+                (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in others
+            ],
+        )
 
-    fresh = changes.groupBy(*keys, F.col(effective).cast("date").alias("_start")).agg(
-        F.max_by(state, F.struct(*(order or keys))).alias("_state")
-    )
-    closed, open_rows = dim.filter(~F.col(CURRENT)), stored(dim.filter(CURRENT))
+    def stored(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            *keys, F.col(START).alias("_start"), state.alias("_state"), carried(rows).alias("_more"), number.alias("_sk")
+        )
 
+    last = F.max_by(F.struct(state.alias("state"), carried(changes).alias("more")), F.struct(*order))
+    fresh = changes.groupBy(*keys, F.col(effective).cast("date").alias("_start")).agg(last.alias("_last"))
+    fresh = fresh.select(*keys, "_start", F.col("_last.state").alias("_state"), F.col("_last.more").alias("_more"))
     earliest = fresh.groupBy(*keys).agg(F.min("_start").alias("_first"))
-    late = (
-        open_rows.select(*keys, "_start").join(earliest, keys).filter("_first < _start").select(*keys)
-    )
+    touched = dim.join(earliest, keys)
+    late = touched.filter(F.col(CURRENT) & (F.col("_first") < F.col(START))).select(*keys)
+    closed = touched.filter(~F.col(CURRENT)).drop("_first")
     rebuilt = stored(closed.join(late, keys, "left_semi"))
-    untouched = closed.join(late, keys, "left_anti")
+    untouched = dim.join(earliest, keys, "left_anti").unionByName(closed.join(late, keys, "left_anti"))
 
     timeline = (
-        open_rows.unionByName(rebuilt)
+        stored(touched.filter(CURRENT)).unionByName(rebuilt)
         .withColumn("_fresh", F.lit(0))
         .unionByName(fresh.withColumns({"_sk": F.lit(None).cast("string"), "_fresh": F.lit(1)}))
         # a change on the day a version began replaces the state of that version
         .groupBy(*keys, "_start")
-        .agg(F.max_by("_state", "_fresh").alias("_state"), F.max("_sk").alias("_sk"))
+        .agg(
+            F.max_by("_state", "_fresh").alias("_state"),
+            F.max("_sk").alias("_sk"),
+            F.max("_fresh").alias("_fresh"),
+            *[
+                F.max_by(value, F.when(value.isNotNull(), F.col("_fresh"))).alias(name)
+                for name, value in ((f"_more_{f.name}", F.col("_more").getField(f.name)) for f in others)
+            ],
+        )
     )
     window = Window.partitionBy(*keys).orderBy("_start")
+    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def value_of(name: str) -> Column:
+        own = F.col(f"`_more_{name}`")
+        return F.when(F.col("_fresh") == 1, F.last(own, ignorenulls=True).over(so_far)).otherwise(own)
+
+    timeline = timeline.withColumns({f"_now_{f.name}": value_of(f.name) for f in others}) if others else timeline
     kept = timeline.withColumn("_before", F.lag("_state").over(window)).filter(
         ~F.col("_state").eqNullSafe(F.col("_before"))
     )
@@ -173,6 +205,7 @@ def apply_changes(
     versions = kept.select(
         *keys,
         *[F.col(f"_state.{c}").alias(c) for c in tracked],
+        *[F.col(f"`_now_{f.name}`").alias(f.name) for f in others],
         F.col("_start").alias(START),
         F.coalesce(F.date_sub(following, 1), F.lit(OPEN_END).cast("date")).alias(END),
         following.isNull().alias(CURRENT),
@@ -189,7 +222,7 @@ def apply_changes(
         versions = had.unionByName(made)
     else:
         versions = versions.drop("_sk")
-    return untouched.select(*versions.columns).unionByName(versions)
+    return untouched.unionByName(versions)
 
 
 def history_of(
@@ -197,14 +230,17 @@ def history_of(
     keys: Sequence[str],
     tracked: Sequence[str],
     effective: str,
-    order: Sequence[str] = (),
+    order: Sequence[str],
     surrogate: str | None = None,
+    others: Sequence[str] = (),
 ) -> DataFrame:
-    """Type 2 from nothing: the whole history that a change feed describes."""
+    """Type 2 from nothing: the whole history that a change feed describes, with ``others`` as
+    columns that make no version."""
     empty = changes.limit(0).select(
         *([F.lit("").alias(surrogate)] if surrogate else []),
         *keys,
         *tracked,
+        *others,
         F.col(effective).cast("date").alias(START),
         F.col(effective).cast("date").alias(END),
         F.lit(True).alias(CURRENT),

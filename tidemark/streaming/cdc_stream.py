@@ -1,12 +1,14 @@
 """Change data capture as a stream of micro-batches.
 
 Every micro-batch is classified and written once, to its own folder of an append-only log,
-partitioned by outcome. A replayed batch overwrites its folder, so each event counts once.
-The tables are read as base plus log through the set form in ``operators.cdc``; a batch
-therefore costs its own size and never rewrites a table. ``compact`` folds the log into a
-new base.
+partitioned by outcome. Its commit mark is written last; readers take marked batches only, and
+a marked batch that is replayed is left as it is, so each event counts once. The tables are read
+as base plus log through the set form in ``operators.cdc``; logging a batch therefore costs its
+own size and never rewrites a table. ``compact`` folds the log into a new base.
 
+    <root>/headers/batch=<id>                       the header of each CSV file
     <root>/log/batch=<id>/outcome=valid|late|dead
+    <root>/commits/batch=<id>
     <root>/base/upto=<id>/<table>
 """
 
@@ -22,11 +24,24 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.events import EVENT_FIELDS
 from tidemark.operators import cdc
-from tidemark.sources.readers import strings
+from tidemark.sources.readers import read_or_empty, strings
 from tidemark.sources.sinks import write_if_changed, write_table
 
 Cutoff = Callable[[DataFrame], Column] | None
 FILE_ORDER = ("batch", "_file", "_block", "_row")
+#: The tables of a base that was never loaded: these columns, no rows.
+BASE_SCHEMAS = {
+    "dim_company": "company_id STRING, company_name STRING, industry STRING, headquarters STRING, "
+    "founded_year BIGINT, employee_count BIGINT, company_size_category STRING, is_public BOOLEAN, "
+    "stock_ticker STRING, has_company_metadata BOOLEAN",
+    "fct_article": "article_id STRING, original_index BIGINT, company_id STRING, title STRING, category STRING, "
+    "category_clean STRING, author STRING, published_date_clean STRING, published_year BIGINT, "
+    "published_quarter BIGINT, published_month BIGINT, published_year_month STRING, word_count BIGINT, "
+    "summary STRING, url STRING",
+    "fct_arr_observation": "observation_id STRING, article_id STRING, company_id STRING, observation_date STRING, "
+    "observation_year BIGINT, observation_quarter BIGINT, observation_year_month STRING, arr_usd_M BIGINT, "
+    "arr_usd BIGINT",
+}
 
 
 def event_stream(
@@ -35,23 +50,47 @@ def event_stream(
     fmt: str = "csv",
     fields: Sequence[str] = EVENT_FIELDS,
     files_per_batch: int | None = None,
+    line_breaks: bool = True,
+    most_columns: int = 64,
 ) -> DataFrame:
-    """Event files that land in a folder, CSV or JSON lines, every field as text. CSV columns
-    are bound by position, so ``fields`` names the files' columns in their order; a file whose
-    header says otherwise stops the stream instead of being misread. Event fields that the files
-    do not have are left out, and their defaults apply."""
-    reader = spark.readStream.schema(strings(fields)).format(fmt)
+    """Event files that land in a folder, CSV or JSON lines, every field as text.
+
+    The cells of a CSV row come as the array ``_cells``; ``start`` binds them to the fields by
+    the header of their file, so files may have different columns in any order. A file with more
+    than ``most_columns`` columns stops the stream. Without ``line_breaks`` in quoted cells a
+    large file is read by many tasks. JSON fields that a line does not have are null."""
+    names = [f"_c{i}" for i in range(most_columns)] if fmt == "csv" else fields
+    reader = spark.readStream.schema(strings(names)).format(fmt)
     if fmt == "csv":
-        reader = reader.options(header=True, enforceSchema=False, multiLine=True, escape='"')
+        reader = reader.options(header=False, multiLine=line_breaks, escape='"', maxColumns=most_columns)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(folder).select(
-        "*",
+        *([F.array(*names).alias("_cells")] if fmt == "csv" else names),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
 
 
+def bind_header(rows: DataFrame, fields: Sequence[str], folder: str) -> DataFrame:
+    """CSV rows (``_cells``, ``_file``, ``_block``, ``_row``) with ``fields`` as columns, by the
+    header, the first row of each file. An empty cell is '', a field the header lacks is null.
+    The headers are written to ``folder``, so that the planner knows their size."""
+    first = rows.filter("_block = 0").groupBy("_file").agg(
+        F.min("_row").alias("_first"), F.min_by("_cells", "_row").alias("_header")
+    )
+    names = F.transform("_header", lambda x: F.regexp_replace(x, "^\ufeff", ""))
+    write_table(first.withColumn("_header", names), folder)
+    headers = rows.sparkSession.read.schema(first.schema).parquet(folder)
+
+    def cell(name: str) -> Column:
+        at = F.array_position("_header", F.lit(name)).cast("int")
+        return F.when(at > 0, F.coalesce(F.get("_cells", at - 1), F.lit(""))).alias(name)
+
+    bound = rows.join(headers, "_file").filter(F.col("_row") != F.col("_first"))
+    return bound.select(*[cell(f) for f in fields], "_file", "_block", "_row")
+
+
 def wall_clock(hours: float = 48.0) -> Cutoff:
     return lambda batch: cdc.wall_clock_cutoff(hours)
 
@@ -66,21 +105,30 @@ def start(
     cutoff: Cutoff = None,
     trigger: Mapping | None = None,
     after_batch: Callable[[SparkSession, int], None] | None = None,
+    fields: Sequence[str] = EVENT_FIELDS,
 ) -> StreamingQuery:
     """Log the stream under ``root``. ``trigger`` defaults to what is available now;
     ``{"processingTime": "10 seconds"}`` polls. ``after_batch`` runs once a batch is
-    logged, for instance to refresh a view."""
+    logged, for instance to refresh a view. ``fields`` are looked for in CSV headers. Each
+    event is stamped with the time of its batch, ``logged_at``."""
     has_files = "_file" in stream.columns
 
     def log_batch(batch: DataFrame, batch_id: int) -> None:
-        if has_files:
-            # the lines of a file keep their order within a task
-            batch = batch.withColumn("_row", F.monotonically_increasing_id())
-            batch = batch.dropna("all", subset=[c for c in batch.columns if c in EVENT_FIELDS])
-        judged = cdc.classify(batch, cutoff(batch) if cutoff else None)
-        write_table(judged, f"{root}/log/batch={batch_id}", partition_by=["outcome"])
+        spark = batch.sparkSession
+        if batch_id not in committed(spark, root, batch_id - 1):
+            if has_files:
+                # the lines of a file keep their order within a task
+                batch = batch.withColumn("_row", F.monotonically_increasing_id())
+            if "_cells" in batch.columns:
+                batch = bind_header(batch, fields, f"{root}/headers/batch={batch_id}")
+            elif has_files:
+                batch = batch.dropna("all", subset=[c for c in batch.columns if c in EVENT_FIELDS])
+            judged = cdc.classify(batch, cutoff(batch) if cutoff else None)
+            judged = judged.withColumn("logged_at", F.current_timestamp())
+            write_table(judged, f"{root}/log/batch={batch_id}", partition_by=["outcome"])
+            write_table(spark.range(1).coalesce(1), f"{root}/commits/batch={batch_id}")
         if after_batch:
-            after_batch(batch.sparkSession, batch_id)
+            after_batch(spark, batch_id)
 
     return (
         stream.writeStream.foreachBatch(log_batch)
@@ -90,16 +138,28 @@ def start(
     )
 
 
-def read_log(spark: SparkSession, root: str, after: int | None = None) -> DataFrame | None:
-    """The logged events with their ``batch`` and ``outcome``; None before the first batch."""
+def committed(spark: SparkSession, root: str, after: int | None = None) -> list[int]:
+    """The numbers of the batches that are logged in full, from ``after`` on."""
+    marks = read_or_empty(spark, f"{root}/commits", "id LONG, batch LONG").select("batch").distinct()
+    marks = marks if after is None else marks.filter(F.col("batch") > after)
+    return sorted(r.batch for r in marks.collect())
+
+
+def read_log(
+    spark: SparkSession, root: str, after: int | None = None, upto: int | None = None
+) -> DataFrame | None:
+    """The logged events with their ``batch`` and ``outcome``, of the batches ``after`` one
+    and ``upto`` another; None where there is no event."""
+    batches = [b for b in committed(spark, root, after) if upto is None or b <= upto]
+    paths = [f"{root}/log/batch={b}" for b in batches]
     try:
-        log = spark.read.option("basePath", f"{root}/log").parquet(f"{root}/log/batch=*")
+        log = spark.read.option("basePath", f"{root}/log").parquet(*paths) if paths else None
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
+        # batches without any event have no files
+        if "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
         return None
-    log = log.withColumn("batch", F.col("batch").cast("long"))
-    return log if after is None else log.filter(F.col("batch") > after)
+    return log if log is None else log.withColumn("batch", F.col("batch").cast("long"))
 
 
 def metrics(spark: SparkSession, root: str) -> DataFrame:
@@ -150,14 +210,18 @@ def snapshot(
     fallback: dt.date,
     insert: str = "upsert",
     order: Sequence[str] = FILE_ORDER,
+    upto: int | None = None,
 ) -> dict[str, DataFrame]:
-    """The warehouse tables as of the last logged batch, with the refreshed latest view."""
-    upto = _last_base(spark, root)
-    base = f"{root}/base/upto={upto}"
+    """The warehouse tables as of the last logged batch, or of batch ``upto``, with the
+    refreshed latest view. Without a stored base they start empty."""
+    last = _last_base(spark, root)
     dim, articles, observations = (
-        spark.read.parquet(f"{base}/{n}") for n in ("dim_company", "fct_article", "fct_arr_observation")
+        spark.createDataFrame([], schema)
+        if last is None
+        else spark.read.parquet(f"{root}/base/upto={last}/{name}")
+        for name, schema in BASE_SCHEMAS.items()
     )
-    log = read_log(spark, root, after=upto)
+    log = read_log(spark, root, last, upto)
     if log is not None:
         events = cdc.valid_events(log)
         dim = dim.unionByName(placeholders(dim, events, order))
@@ -179,9 +243,8 @@ def snapshot(
 
 def placeholders(dim: DataFrame, events: DataFrame, order: Sequence[str]) -> DataFrame:
     """Rows of the dimension's own shape for companies that only the events name."""
-    made = cdc.infer_members(dim, events, order).withColumnRenamed("category", "industry")
-    if "category" not in events.columns:
-        made = made.withColumn("industry", F.lit("Technology"))
+    industry = F.coalesce("category", F.lit("Technology")).alias("industry")
+    made = cdc.infer_members(dim, events, order).withColumn("industry", industry)
     constants = {
         "headquarters": "Unknown",
         "company_size_category": "Unknown",
@@ -203,11 +266,10 @@ def compact(
     order: Sequence[str] = FILE_ORDER,
 ) -> int | None:
     """Fold the log into a new base; returns the last batch it holds."""
-    log = read_log(spark, root)
-    last = log.agg(F.max("batch")).first()[0] if log is not None else None
+    last = max(committed(spark, root), default=None)
     if last is None or last == _last_base(spark, root):
         return last
-    tables = snapshot(spark, root, fallback, insert, order)
+    tables = snapshot(spark, root, fallback, insert, order, last)
     tables.pop("view_company_latest_arr")
     _write_base(spark, root, tables, last)
     return last

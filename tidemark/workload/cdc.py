@@ -158,7 +158,7 @@ def base_tables(t):
 BASE_SQL = f"""{EVENT_SQL},
 base_dim AS (SELECT 'COMP' || printf('%03d', n_nationkey + 1) AS company_id, 'Company ' || n_nationkey AS company_name,
                     n_name AS industry FROM nation),
-firsts AS (SELECT company_name, min(seq) AS s, first(category ORDER BY seq) AS industry FROM good
+firsts AS (SELECT company_name, min(seq) AS s, coalesce(first(category ORDER BY seq), 'Technology') AS industry FROM good
            WHERE company_name NOT IN (SELECT company_name FROM base_dim) GROUP BY 1),
 inferred AS (SELECT 'COMP' || printf('%03d', (SELECT count(*) FROM base_dim) + row_number() OVER (ORDER BY s)) AS company_id,
                     company_name, industry FROM firsts),
@@ -180,7 +180,7 @@ def facts_sql(mode):
                   row_number() OVER (PARTITION BY article_id ORDER BY seq DESC) = 1) WHERE op <> 'D'"""
         touched = "SELECT article_id FROM good"
     return f"""{BASE_SQL}, kept AS ({kept}),
-new_art AS (SELECT article_id, company_id, title, category,
+new_art AS (SELECT article_id, company_id, title, coalesce(category, 'General') AS category,
        CASE WHEN published_date LIKE '20%' THEN published_date ELSE published_date END AS d,
        CASE WHEN published_date LIKE '20%' THEN CAST(published_date[1:4] AS INT) ELSE 2026 END AS y,
        CASE WHEN published_date LIKE '20%' THEN quarter(CAST(published_date AS DATE)) ELSE 3 END AS q,

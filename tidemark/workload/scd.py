@@ -137,16 +137,19 @@ def scd1_overwrite(t):
 
 
 HISTORY_SQL = f"""{FEED_SQL}, days AS (
-    SELECT customer_id, changed_on, last(status ORDER BY seq) AS status FROM feed GROUP BY ALL),
+    SELECT customer_id, changed_on, last(status ORDER BY seq) AS status, last(priority ORDER BY seq) AS priority
+    FROM feed GROUP BY ALL),
 kept AS (
     SELECT * FROM days QUALIFY status IS DISTINCT FROM lag(status) OVER (PARTITION BY customer_id ORDER BY changed_on)),
 history AS (
-    SELECT customer_id, status, changed_on AS s,
+    SELECT customer_id, status, priority, changed_on AS s,
            lead(changed_on) OVER (PARTITION BY customer_id ORDER BY changed_on) - 1 AS e FROM kept)"""
 
 
 def history(t):
-    known = scd.history_of(feed(t, OLD), ["customer_id"], ["status"], "changed_on", ["seq"], "customer_sk")
+    known = scd.history_of(
+        feed(t, OLD), ["customer_id"], ["status"], "changed_on", ["seq"], "customer_sk", ["priority"]
+    )
     return scd.apply_changes(
         known, feed(t, NEW), ["customer_id"], ["status"], "changed_on", ["seq"], "customer_sk"
     )
@@ -156,7 +159,7 @@ def history(t):
     "scd2_incremental",
     f"""WITH {HISTORY_SQL}
         SELECT 'CUST_SK_' || printf('%04d', row_number() OVER (ORDER BY s >= DATE '{CUT}', customer_id, s)) AS customer_sk,
-               customer_id, status, strftime(s, '%Y-%m-%d') AS effective_start_date,
+               customer_id, status, priority, strftime(s, '%Y-%m-%d') AS effective_start_date,
                coalesce(strftime(e, '%Y-%m-%d'), '9999-12-31') AS effective_end_date,
                e IS NULL AS is_current_flag
         FROM history""",
