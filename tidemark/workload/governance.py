@@ -96,37 +96,50 @@ def contract_scorecard(t):
     return contracts.scorecard(contracts.evaluate(contract_tables(t), RULES))
 
 
-@query(
-    "null_profile",
-    """SELECT 'customer' AS table_name, c AS column_name, n_null AS null_count, n_distinct AS distinct_count,
-              array_to_string(samples, ', ') AS sample_values, rows AS row_count
-       FROM (
-         SELECT 'c_custkey' AS c, count(*) - count(c_custkey) AS n_null, count(DISTINCT c_custkey) AS n_distinct, count(*) AS rows,
-                array_slice(list_sort(list(DISTINCT CAST(c_custkey AS VARCHAR))), 1, 3) AS samples FROM customer
-         UNION ALL SELECT 'c_mktsegment', count(*) - count(s), count(DISTINCT s), count(*),
-                array_slice(list_sort(list(DISTINCT s) FILTER (s IS NOT NULL)), 1, 3)
-           FROM (SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS s FROM customer)
-         UNION ALL SELECT 'c_nationkey', count(*) - count(c_nationkey), count(DISTINCT c_nationkey), count(*),
-                array_slice(list_sort(list(DISTINCT CAST(c_nationkey AS VARCHAR))), 1, 3) FROM customer)""",
-)
+#: The columns of the tables that are profiled whole.
+PROFILED = {
+    "customer": "c_custkey c_name c_nationkey c_mktsegment c_acctbal".split(),
+    "documents": "doc_id text lang source n_chars".split(),
+    "events": "event_id ts user_id event_type value props".split(),
+}
+
+
+def null_profile_sql():
+    """Counts of every column; samples as text (of numbers with fractions none, as the two
+    dialects print them differently)."""
+    columns = [
+        f"""SELECT '{c}' AS c, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct, count(*) AS rows,
+               {"''" if c == "c_acctbal" else f"""array_to_string(array_slice(list_sort(
+                   list(DISTINCT CAST({c} AS VARCHAR)) FILTER ({c} IS NOT NULL)), 1, 3), ', ')"""} AS samples FROM gaps"""
+        for c in PROFILED["customer"]
+    ]
+    return f"""WITH gaps AS (
+        SELECT * REPLACE (CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS c_mktsegment) FROM customer)
+    SELECT 'customer' AS table_name, c AS column_name, n_null AS null_count, n_distinct AS distinct_count,
+           samples AS sample_values, rows AS row_count FROM ({" UNION ALL ".join(columns)})"""
+
+
+@query("null_profile", null_profile_sql())
 def null_profile(t):
-    rows = t.customer.selectExpr(
-        "c_custkey", "CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS c_mktsegment", "c_nationkey"
-    )
+    gaps = F.expr("CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END")
+    rows = t.customer.withColumn("c_mktsegment", gaps)
     profile = catalog.profile_columns(rows, "customer").drop("data_type", "nullable", "column_count")
-    return profile.withColumn("sample_values", F.array_join("sample_values", ", "))
+    samples = F.when(F.col("column_name") == "c_acctbal", "").otherwise(F.array_join("sample_values", ", "))
+    return profile.withColumn("sample_values", samples)
 
 
-@query(
-    "table_profiles",
-    """SELECT 'documents.lang' AS column_name, count(*) AS row_count, count(*) - count(lang) AS null_count, count(DISTINCT lang) AS distinct_count FROM documents
-       UNION ALL SELECT 'documents.text', count(*), count(*) - count(text), count(DISTINCT text) FROM documents
-       UNION ALL SELECT 'events.user_id', count(*), count(*) - count(user_id), count(DISTINCT user_id) FROM events
-       UNION ALL SELECT 'events.props', count(*), count(*) - count(props), count(DISTINCT props) FROM events""",
-)
+def table_profiles_sql():
+    return " UNION ALL ".join(
+        f"""SELECT '{table}.{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+            count(DISTINCT {c}) AS distinct_count FROM {table}"""
+        for table in ("documents", "events")
+        for c in PROFILED[table]
+    )
+
+
+@query("table_profiles", table_profiles_sql())
 def table_profiles(t):
-    tables = {"documents": t.documents.select("lang", "text"), "events": t.events.select("user_id", "props")}
-    return catalog.profile_tables(tables).select(
+    return catalog.profile_tables({"documents": t.documents, "events": t.events}).select(
         F.concat_ws(".", "table_name", "column_name").alias("column_name"),
         "row_count", "null_count", "distinct_count",
     )

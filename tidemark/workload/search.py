@@ -45,10 +45,10 @@ def tfidf_vocab(t):
 
 @query(
     "tfidf_weights",
-    f"WITH {weights_sql(64)} SELECT doc_id, dimension, round(w, 9) AS weight FROM weights",
+    f"WITH {weights_sql(384)} SELECT doc_id, dimension, round(w, 9) AS weight FROM weights",
 )
 def tfidf_weights(t):
-    vocab = vocabulary(t, 64)
+    vocab = vocabulary(t, 384)
     entries = t.spread("documents").select("doc_id", F.explode(vocab.sparse(F.col("text"))).alias("x"))
     return entries.select(
         "doc_id", F.col("x.i").cast("long").alias("dimension"), F.round("x.w", 9).alias("weight")
@@ -133,7 +133,7 @@ def vector_neighbours(t):
 
 @query(
     "enriched_export",
-    f"""WITH {weights_sql(64)},
+    f"""WITH {weights_sql(384)},
 dense AS (SELECT doc_id, list(coalesce(w, 0) ORDER BY dimension) AS v
           FROM documents CROSS JOIN vocab LEFT JOIN weights USING (doc_id, dimension) GROUP BY doc_id),
 near AS (SELECT a.doc_id, b.doc_id AS other, round(list_dot_product(a.v, b.v), 10) AS score
@@ -145,7 +145,7 @@ FROM documents JOIN labels USING (doc_id) JOIN dense USING (doc_id) JOIN texts U
 WHERE quality = 1 AND toxic = 0""",
 )
 def enriched_export(t):
-    vocab = vocabulary(t, 64)
+    vocab = vocabulary(t, 384)
     dense = t.spread("documents").select("doc_id", "source", vocab.dense(vocab.sparse(F.col("text"))).alias("v"))
     # three readers: the search, its members and the export
     dense = durable(dense, "dense")
