@@ -15,6 +15,7 @@ from tidemark.llm import (
     content_sort,
     dominance_packing,
     jaccard_join,
+    page_tree,
     piece_bpe,
     quality_rules,
     site_style,
@@ -507,3 +508,21 @@ def test_articles(spark):
         blocks = [html.unescape(re.sub("<[^>]+>", "", b)) for b in re.split(r"</?(?:p|h1)>|<br>", article)]
         blocks = [re.sub(r"[\x20\x09-\x0D]+", " ", b).strip(" ") for b in blocks]
         assert site_style._main_text(r.html, frozenset()) == "\n".join(b for b in blocks if b)
+
+
+@pytest.mark.parametrize("tag", sorted(page_tree.EMBEDDED))
+def test_embedded_elements(tag):
+    text = lambda body: site_style._main_text(page(body), frozenset())
+    assert text(f"<article><p>a <{tag} class='icon'/> b</p><p>c</p></article>") == "a\nb\nc"
+    assert text(f"<article><p>a</p><{tag}><p>no</p></{tag}><p>b</p></article>") == "a\nb"
+    assert text(f"<article><p>a</p><{tag}><p>b</p></article><article><p>c</p></article>") == "a\nb\nc"
+    assert text(f"<{tag}><article><p>a</p></article>") == "a"
+
+
+@pytest.mark.parametrize("tag", sorted(page_tree.RAW))
+def test_raw_text_elements(tag):
+    text = lambda body: site_style._main_text(f"<body>{body}", frozenset())
+    assert text(f"<article><p>a</p><{tag}><p>no</p></{tag}><p>b</p></article>") == "a\nb"
+    assert text(f"<article><p>a</p><{tag} x='y'/><p>b</p></article>") == "a\nb"
+    assert text(f"<article><svg><{tag}/></svg><p>a</p><{tag}>no</{tag}></article>") == "a"
+    assert text(f"<article><p>a</p><{tag}><p>no</p></article>") == "a"

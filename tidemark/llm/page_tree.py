@@ -2,7 +2,8 @@
 
 Elements are told by their path of tag and class names. Unclosed tags, implied ends of
 paragraphs, list items and cells, raw-text elements, comments and broken markup are handled;
-nothing raises.
+nothing raises. A raw-text element without an end tag reaches to the end of the page, as in HTML,
+unless it is self-closed: then it is empty, as any self-closed one inside an ``<svg>`` is.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ import re
 from dataclasses import dataclass, field
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe svg title object canvas".split())
+RAW = frozenset("script style textarea iframe title".split())
+EMBEDDED = frozenset("svg canvas object noscript template".split())
 INLINE = frozenset(
     (
         "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s "
@@ -29,13 +31,14 @@ _IMPLIED = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-_KEEPS_P = INLINE | VOID | {"option", "td", "th", "tr", "tbody", "thead", "body", "html", "head"}
+_KEEPS_P = INLINE | VOID | EMBEDDED | {"option", "td", "th", "tr", "tbody", "thead", "body", "html", "head"}
 
 _MARKUP = re.compile(
     r"<!--(?:.*?--!?>|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
     re.S,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
@@ -46,6 +49,7 @@ class Node:
     parent: Node | None
     path: str
     children: list[Node] = field(default_factory=list)
+    ended: bool = False  # by its own end tag
 
 
 def _names(attributes: str) -> str:
@@ -74,6 +78,11 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
             node = node.parent
         return node
 
+    def in_svg(node: Node | None) -> bool:
+        while node is not None and node.tag != "svg":
+            node = node.parent
+        return node is not None
+
     def to(node: Node) -> None:
         nonlocal here, block_of
         inner = block(node)
@@ -101,6 +110,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
             if node is not None and node.parent is not None:
                 if tag not in INLINE:
                     flush()
+                node.ended = True
                 to(node.parent)
             continue
         if tag == "br":
@@ -125,12 +135,13 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
         names = _names(found[3])
         made = Node(tag, names, here, f"{here.path}/{tag}" + (f".{names}" if names else ""))
         here.children.append(made)
+        closed = found[3].endswith("/")
         if tag in RAW:
-            if tag not in INLINE:
-                flush()
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            at = close.end() if close else end
-        elif tag not in VOID and not found[3].endswith("/"):
+            flush()
+            if not (closed and in_svg(here)):
+                close = _CLOSE[tag].search(page, at)
+                at = close.end() if close else at if closed else end
+        elif tag not in VOID and not closed:
             if tag not in INLINE:
                 flush()
             to(made)

@@ -18,7 +18,8 @@ the table of cut nodes, one row per host, is too large for Spark to send to all
 
 Defined results: a null page is an empty one, whose text is empty. Broken markup is read as far
 as it goes. Pages whose address has no host, and hosts with fewer than ``LEAST_PAGES`` pages, are
-judged by their markup alone. Rows that repeat each have their result. Nothing is dropped or
+judged by their markup alone. An embedded element (svg, noscript, ...) without an end tag is not cut,
+as the text after it would be, too. Rows that repeat each have their result. Nothing is dropped or
 cut to a length.
 """
 
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import quoted, text_of
-from tidemark.llm.page_tree import Node, parse
+from tidemark.llm.page_tree import EMBEDDED, Node, parse
 from tidemark.session import durable
 
 LEAST_PAGES = 8  # pages of a host from which its style tree says something
@@ -83,7 +84,7 @@ class Judge:
     def _role(self, node: Node) -> str:
         above = self.role(node.parent) if node.parent is not None else "open"
         inside = self._inside(node)
-        if above == "cut" or node.tag in CUT_TAGS:
+        if above == "cut" or node.tag in CUT_TAGS and (node.ended or node.tag not in EMBEDDED):
             return "cut"
         if node.tag == "header" and not inside:
             return "cut"
