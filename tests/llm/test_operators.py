@@ -526,3 +526,23 @@ def test_raw_text_elements(tag):
     assert text(f"<article><p>a</p><{tag} x='y'/><p>b</p></article>") == "a\nb"
     assert text(f"<article><svg><{tag}/></svg><p>a</p><{tag}>no</{tag}></article>") == "a"
     assert text(f"<article><p>a</p><{tag}><p>no</p></article>") == "a"
+
+
+@pytest.mark.parametrize(
+    "body, want",
+    [
+        ("<div class='layout has-sidebar'><article><p>a</p></article></div>", "a"),
+        ("<div id='page' class='banner'><article><p>a</p></article></div>", "a"),
+        ("<div class='sidebar'><main><p>a</p></main></div>", "a"),
+        ("<article><h2 id='discussion'>a</h2><p class='notice'>b</p></article>", "a\nb"),
+        ("<article><section id='search-methods'><p>a</p></section><div class='form-2'>b</div></article>", "a\nb"),
+        ("<article><div data-id='ad' data-role=ad title='class=ad'>a</div><div ID=ad>b</div></article>", "a"),
+        ("<article><div class='x sidebar'>a</div><p>b</p></article>", "b"),
+        ("<article><p>a</p></article><article class='comment'><p>b</p></article>", "a"),
+        ("<article><p>a</p><div id='comments'><article><p>b</p></article></div></article>", "a"),
+        ("<div id='comments'><h3>c</h3><article class='comment'><p>b</p></article></div><div>a</div>", "a"),
+        ("<div class='discussion'><article><p>a</p></article></div>", "a"),
+    ],
+)
+def test_names(body, want):
+    assert site_style._main_text(page(body), frozenset()) == want

@@ -37,7 +37,8 @@ _MARKUP = re.compile(
     r"<!--(?:.*?--!?>|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
     re.S,
 )
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+# read one after the other, so that neither data-id nor a quoted value counts as a name
+_ATTRIBUTE = re.compile(r"(?<![^\s\"'/])([^\s\"'/=]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -55,7 +56,8 @@ class Node:
 def _names(attributes: str) -> str:
     if not attributes:
         return ""
-    return " ".join("".join(m) for m in _NAMES.findall(attributes)).lower()
+    found = _ATTRIBUTE.findall(attributes)
+    return " ".join("".join(m[1:]) for m in found if m[0].lower() in ("class", "id", "role")).lower()
 
 
 def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:

@@ -9,8 +9,10 @@ each page has its own. A branch whose presentation and content both are of low i
 boilerplate and is cut out of each page.
 
 What the markup says itself goes before the statistics: menus, headers, footers, sidebars,
-forms, scripts and elements named as adverts, notices or comments are always cut; an article's
-own text elements never are; of several regions the articles are the main text.
+forms, scripts and elements named as adverts, notices or comments are cut; of several regions the
+articles are the main text. A name is a whole class, id or role (``sidebar``, not ``has-sidebar``)
+of an element that is no text element (paragraph, heading, list item, cell). It does not cut what
+holds an article or main element, unless it names readers' comments and there is another one.
 
 Statistics are counted for each host, node and value, combined before the shuffle; a host that
 holds a third of all pages is spread by its nodes and values. Page texts are not shuffled unless
@@ -25,7 +27,7 @@ cut to a length.
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,8 +56,8 @@ CUT_NAMES = frozenset(
     "subscribe subscription share sharing social comment comments reply replies discussion respond "
     "disqus search login signup form widget pagination pager complementary contentinfo".split()
 )
+COMMENT_NAMES = frozenset("comment comments reply replies discussion respond disqus".split())
 TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre td th figcaption caption".split())
-_SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 def host_of(url: str) -> Column:
@@ -71,8 +73,20 @@ def _hash(text: str) -> int:
 class Judge:
     """What the markup itself says of an element."""
 
-    def __init__(self) -> None:
+    def __init__(self, root: Node) -> None:
         self.known: dict[int, tuple[Node, str]] = {}
+        # articles and main elements that are not named as something else, in all and below an element
+        self.regions, self.below = 0, Counter[int]()
+        todo = [root]
+        while todo:
+            node = todo.pop()
+            todo += node.children
+            if node.tag == "main" or node.tag == "article" and not self._names(node) & CUT_NAMES:
+                self.regions += 1
+                above = node.parent
+                while above is not None:
+                    self.below[id(above)] += 1
+                    above = above.parent
 
     def role(self, node: Node) -> str:
         """cut, content, or open to the statistics; inherited from the parent where it says so."""
@@ -88,12 +102,25 @@ class Judge:
             return "cut"
         if node.tag == "header" and not inside:
             return "cut"
+        if self._named(node):
+            return "cut"
         if node.tag in CONTENT:
             return "content"
-        if node.tag not in ("html", "body") and not CUT_NAMES.isdisjoint(_SPLIT.split(node.names)):
-            return "cut"
         return "content" if inside and node.tag in TEXT_TAGS else "open"
 
+    @staticmethod
+    def _names(node: Node) -> set[str]:
+        return set(node.names.split())
+
+    def _named(self, node: Node) -> bool:
+        """Its name says that it is not main text."""
+        if node.tag in ("html", "body", "main") or node.tag in TEXT_TAGS:
+            return False
+        names, below = self._names(node), self.below[id(node)]
+        if below:
+            return below < self.regions and not names.isdisjoint(COMMENT_NAMES)
+        return not names.isdisjoint(CUT_NAMES)
+
     @staticmethod
     def _inside(node: Node) -> bool:
         above = node.parent
@@ -179,8 +206,8 @@ def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 
 def _main_text(page: str, low: frozenset[int]) -> str:
-    _, blocks = parse(page)
-    judge = Judge()
+    root, blocks = parse(page)
+    judge = Judge(root)
     cut: dict[int, bool] = {}
 
     def is_low(node: Node) -> bool:
