@@ -546,3 +546,42 @@ def test_raw_text_elements(tag):
 )
 def test_names(body, want):
     assert site_style._main_text(page(body), frozenset()) == want
+
+
+def test_style_tree_overrules_articles(spark):
+    own = lambda h, i: f"{h} own text of page {i}"
+    hosts = {
+        # repeated in the article of every page, by the same element as the rest
+        "lines": (12, lambda h, i: f"<nav>{own(h, i)}</nav><article><h1>T{i}</h1><p>{own(h, i)}</p><p>Subscribe and get a long letter from us every week</p></article>"),
+        "few": (4, lambda h, i: f"<article><p>{own(h, i)}</p><p>Licence</p></article>"),
+        # an element on some pages only, always the same
+        "rare": (20, lambda h, i: f"<article><p>{own(h, i)}</p>" + "<div class='lic'>Licence</div>" * (i < 8) + "</article>"),
+        # no article
+        "plain": (12, lambda h, i: f"<div class='a'><p>{own(h, i)}</p><p>Licence</p></div><div class='b'>Menu</div>"),
+        # the story is beside a short article, or the only article is a box
+        "beside": (12, lambda h, i: f"<div class='s'><p>{own(h, i) * 9}</p></div><article><p>T{i}</p></article>"),
+        "box": (12, lambda h, i: f"<div class='s'><p>{own(h, i)}</p></div><article><p>Our offers</p></article>"),
+        "one": (1, lambda h, i: f"<div class='s'><p>{own(h, i) * 9}</p></div><article><p>T{i}</p></article>"),
+        # less text beside an article is not main text
+        "aside": (12, lambda h, i: f"<div class='s'><p>{own(h, i)}</p></div><article><p>{own(h, i) * 3}</p></article>"),
+        # copies of one page stay
+        "copies": (12, lambda h, i: "<article><h1>T</h1><p>the same text</p></article>"),
+        # a third of the pages repeat a paragraph
+        "third": (12, lambda h, i: f"<article><p>{own(h, i)}</p>" + "<p>part</p>" * (i < 4) + "</article>"),
+    }
+    want = {
+        "lines": lambda h, i: f"T{i}\n{own(h, i)}",
+        "few": own,
+        "rare": own,
+        "plain": own,
+        "beside": lambda h, i: f"{own(h, i) * 9}\nT{i}",
+        "box": own,
+        "one": lambda h, i: f"{own(h, i) * 9}\nT{i}",
+        "aside": lambda h, i: own(h, i) * 3,
+        "copies": lambda h, i: "T\nthe same text",
+        "third": lambda h, i: own(h, i) + "\npart" * (i < 4),
+    }
+    pages = [(f"{h} {i}", f"http://{h}.example/{i}", page(body(h, i))) for h, (n, body) in hosts.items() for i in range(n)]
+    rows = spark.createDataFrame(pages, "page_id string, url string, html string")
+    got = {r.page_id: r.text for r in site_style.main_text(rows).collect()}
+    assert got == {f"{h} {i}": want[h](h, i) for h, (n, _) in hosts.items() for i in range(n)}
