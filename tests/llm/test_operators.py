@@ -212,6 +212,37 @@ def test_chat_windows(spark):
     assert chat_windows.digests(chat_windows.windows(chats.limit(0))).count() == 0
 
 
+def test_chat_windows_have_their_prompts(spark):
+    text = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n))
+    sizes = {
+        1: [("user", 50), ("assistant", 100), ("user", 200), ("assistant", 800)],  # crosses 896
+        2: [("system", 20), ("user", 50), ("assistant", 100), ("user", 180), ("assistant", 790)],
+        3: [("user", 700), ("assistant", 500)],  # more than the budget
+        4: [("user" if k % 2 == 0 else "assistant", 46) for k in range(100)],
+        5: [("system", 700), ("user", 60), ("assistant", 300), ("user", 300), ("assistant", 60)],
+    }
+    turns = [(c, k, role, text(f"{c}_{k}_", n)) for c, x in sizes.items() for k, (role, n) in enumerate(x)]
+    chats = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    seen = Counter()
+    for r in chat_windows.windows(chats).collect():
+        parts = re.findall(r"<\|(turn|again) (\w+)\|>\n\d+_(\d+)_", r.formatted)
+        own = [int(k) for kind, _, k in parts if kind == "turn"]
+        places = [int(k) for *_, k in parts]
+        x = sizes[r.conv_id]
+        seen.update((r.conv_id, k) for k in own)
+        opening = [0] if x[0][0] == "system" else []
+        rest = places[len(opening):] if opening and places[0] == 0 else places
+        if own == opening:
+            continue
+        assert rest == list(range(rest[0], own[-1] + 1)) and (not opening or places[0] == 0)
+        if x[own[0]][0] == "assistant":
+            assert own[0] - 1 in places
+        total = sum(x[k][1] + 4 for k in places)
+        if r.conv_id in (1, 2, 4):
+            assert total <= 1024 and (rest[0] <= len(opening) or total + x[rest[0] - 1][1] + 4 > 1024)
+    assert seen == Counter((c, k) for c, x in sizes.items() for k in range(len(x)))
+
+
 # toxicity
 
 

@@ -5,9 +5,11 @@ conversation longer than the budget becomes several windows. Running sums of the
 choose the spans: the running total is cut into strides, the turns that lie within one stride
 form a span, and a turn that crosses a border is a span of its own. So spans are whole turns, no
 longer than a stride unless a single turn is, and found without a loop over the conversation.
-Each window starts with the conversation's opening system turn, then repeats the turns that begin
-within ``HISTORY`` tokens before its span, then has its span. Repeated turns are marked as such,
-and the mask covers only the assistant texts of the span, so every target is learnt once.
+Each window starts with the conversation's opening system turn, then repeats the whole turns before
+its span that fit into the room left in the budget, or that begin within ``HISTORY`` tokens before
+it where that is more, then has its span. An assistant turn at the start of a span always has the
+turn before it. Repeated turns are marked as such, and the mask covers only the assistant texts of
+the span, so every target is learnt once.
 
 Everything is window functions and column expressions. A conversation's running sums are made in
 one task, which sorts its turns externally; a window, like a digest of a whole conversation, is
@@ -15,7 +17,10 @@ one value and must fit into a row.
 
 Defined results: a null text, role or name is an empty one. Turns are ordered by number, nulls
 first, then by role and text; rows that repeat are turns of their own. A null conversation
-identifier is an identifier like others. An empty table gives an empty result. Input columns
+identifier is an identifier like others. Windows exceed the budget where whole turns do not fit:
+by a single turn longer than a stride, by an answer whose prompt does not fit beside it, and by an
+opening system turn that leaves less than ``budget // 4`` for a stride (over 640 tokens by
+default), which each window still has in full. An empty table gives an empty result. Input columns
 other than the four are not carried.
 """
 
@@ -27,7 +32,7 @@ from pyspark.sql.window import Window
 
 from tidemark.llm.common import WORD, quoted, text_of
 
-BUDGET = 1024  # tokens (words and marks) of a window, but for longer single turns
+BUDGET = 1024  # tokens (words and marks) of a window, but for turns that do not fit
 HISTORY = 128
 MARKS = 4  # tokens that a turn's own marks count
 
@@ -84,21 +89,38 @@ def turns(
     return rows.withColumn("starts", ~F.col("_cut").eqNullSafe(previous)).drop("_cut")
 
 
-def windows(chats: DataFrame, history: int = HISTORY, **options) -> DataFrame:
+def windows(
+    chats: DataFrame, budget: int = BUDGET, history: int = HISTORY, **options
+) -> DataFrame:
     """One row per window: ``conv_id``, ``window``, ``formatted``, and ``loss``, an array of
     (start, length) in code points of ``formatted``."""
-    rows = turns(chats, history=history, **options)
+    rows = turns(chats, budget=budget, history=history, **options)
     by_place = Window.partitionBy("conv_id").orderBy("place")
     rows = rows.withColumn("window", F.sum(F.col("starts").cast("int")).over(by_place))
     again = _piece(F.lit(True))
-    # whole turns that begin within the history before this one
-    recent = Window.partitionBy("conv_id").orderBy("before").rangeBetween(-history, -1)
+    own = F.max("after").over(Window.partitionBy("conv_id", "window")) - F.col("before")
+    opening = F.max(F.when(F.col("opening"), F.col("length"))).over(Window.partitionBy("conv_id"))
+    room = F.greatest(F.lit(history), F.lit(budget) - F.coalesce(opening, F.lit(0)) - own)
+    # where a repeated turn may begin, at a span's first turn
+    rows = rows.withColumn("_from", F.col("before") - room)
+    earlier = F.struct(F.col("before").alias("at"), again.alias("piece"), F.col("opening").alias("opening"))
+    recent = Window.partitionBy("conv_id").orderBy("before").rangeBetween(-max(budget, history), -1)
     system = F.first(F.when(F.col("opening"), again), ignorenulls=True).over(
         by_place.rowsBetween(Window.unboundedPreceding, -1)
     )
-    repeated = F.collect_list(F.when(~F.col("opening"), again)).over(recent)
+    repeated = F.collect_list(F.when(~F.col("opening"), earlier)).over(recent)
     rows = rows.withColumn("_system", system).withColumn("_recent", repeated)
-    ahead = F.concat(F.coalesce(F.col("_system"), F.lit("")), F.array_join("_recent", ""))
+    rows = rows.withColumn("_previous", F.lag(earlier).over(by_place))
+    fits = F.filter("_recent", lambda x: x["at"] >= F.col("_from"))
+    prompt = F.when(
+        (F.col("role") == "assistant") & ~F.col("_previous.opening") & (F.col("_previous.at") < F.col("_from")),
+        F.col("_previous.piece"),
+    )
+    ahead = F.concat(
+        F.coalesce(F.col("_system"), F.lit("")),
+        F.coalesce(prompt, F.lit("")),
+        F.array_join(F.transform(fits, lambda x: x["piece"]), ""),
+    )
     rows = rows.select(
         "conv_id",
         "window",
