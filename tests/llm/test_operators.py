@@ -273,6 +273,17 @@ def test_toxicity_awkward(spark):
     assert toxicity.clean_documents(awkward(spark), none).columns == awkward(spark).columns
 
 
+def test_toxicity_labels_of_other_documents(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PER_CLASS", 8)
+    docs = spark.range(30).selectExpr("id AS doc_id", "concat('word ', IF(id % 3 = 0, 'bad ', 'good '), id) AS text")
+    labels = spark.range(600).selectExpr("id AS doc_id", "IF(id < 30, IF(id % 3 = 0, 1, 0), 1) AS toxic")
+    model = toxicity.fit(docs, labels)
+    same = toxicity.fit(docs, labels.filter("doc_id < 30"))
+    assert model.intercept == same.intercept and np.array_equal(model.weights, same.weights)
+    scores = {r.doc_id: r.predicted for r in toxicity.scored(docs, model).collect()}
+    assert scores == {i: int(i % 3 == 0) for i in range(30)}
+
+
 # pieces
 
 

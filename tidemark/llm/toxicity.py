@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import ROW, quoted, text_of, unpacked
+from tidemark.session import durable
 
 PLACES = 1 << 18
 SIZES = (3, 4, 5)
@@ -139,15 +140,17 @@ def fit(
     text: str = "text",
     label: str = "toxic",
 ) -> Model:
-    """Train on the labelled rows. ``labels`` holds the key and the label (1 toxic, 0 clean);
+    """Train on the labelled rows of ``docs``. ``labels`` holds the key and the label (1 toxic, 0 clean);
     rows that must not be learnt from are left out by the caller."""
     known = labels.select(F.col(quoted(key)).alias("_id"), F.col(quoted(label)).cast("int").alias("_y"))
     known = known.filter(F.col("_y").isin(0, 1) & F.col("_id").isNotNull())
+    rows = docs.select(F.col(quoted(key)).alias("_id"), text_of(text).alias("_text"))
+    # labels of other documents take no place and do not count for the share; three readers
+    known = durable(known.join(rows.select("_id"), "_id", "left_semi"), "labels")
     counts = dict(known.groupBy("_y").count().collect())
     share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
     order = F.xxhash64("_id")
     chosen = [known.filter(F.col("_y") == y).orderBy(order, "_id").limit(PER_CLASS) for y in (0, 1)]
-    rows = docs.select(F.col(quoted(key)).alias("_id"), text_of(text).alias("_text"))
     # at most two times PER_CLASS rows
     sample = rows.join(F.broadcast(chosen[0].union(chosen[1])), "_id")
 
