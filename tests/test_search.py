@@ -52,6 +52,17 @@ def test_few_rows(spark):
     assert values(text)[:2] == [(0, "1, 2"), (1, "0, 2")]
 
 
+def test_null_vectors_are_no_neighbours(spark):
+    data = [(0, None), (1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [None, 1.0]), (4, [0.0, 0.0])]
+    df = spark.createDataFrame(data, "id INT, v ARRAY<DOUBLE>")
+    got = values(similarity.nearest_neighbours(df, "id", "v", 3), "id", "neighbour")
+    assert got == [(1, 2), (1, 4), (2, 1), (2, 4), (4, 1), (4, 2)]
+    nulls = df.filter("id IN (0, 3)")
+    assert similarity.nearest_neighbours(nulls, "id", "v", 3).isEmpty()
+    one = similarity.nearest_neighbours(nulls.union(df.filter("id = 4")), "id", "v", 3)
+    assert one.isEmpty()
+
+
 def test_no_cross_join(spark):
     df = spark.createDataFrame(clustered(2, 60), "id BIGINT, v ARRAY<DOUBLE>")
     text = plan(similarity.nearest_neighbours(df, "id", "v", 3, 4, 10))

@@ -61,7 +61,8 @@ def nearest_neighbours(
     digits: int = 10,
 ) -> DataFrame:
     """The ``k`` most similar other rows of every row, exactly: ``(key, rank, neighbour,
-    score)``. Scores are compared at ``digits`` decimals and ties go to the smaller key.
+    score)``. Scores are compared at ``digits`` decimals and ties go to the smaller key. A null
+    vector, or one with a null component, has no neighbours and is none.
 
     Equal vectors are searched once, whatever their number. Vectors go to the cell of
     their nearest pivot; cells are cut into blocks of about ``block`` vectors. A block of
@@ -71,6 +72,7 @@ def nearest_neighbours(
     one per block, 256 at most.
     """
     rows = df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    rows = rows.filter(vectors.norm(F.col("v")).isNotNull())
     id_type = rows.schema["id"].dataType.simpleString()
     most = k + 1
 
