@@ -8,12 +8,20 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+#: The folder of each durable table, and the folders that belong to an owner.
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_owned: dict[str, list[str]] = {}
+_owner: ContextVar[str | None] = ContextVar("owner", default=None)
+
 
 def build_session(app: str = "tidemark", cores: int | str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators are tuned for.
@@ -70,7 +78,48 @@ def durable(df: DataFrame, label: str = "step") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _folders[out] = path
+    if owner := _owner.get():
+        _owned.setdefault(owner, []).append(path)
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Remove the files of a ``durable`` table that nothing reads any more. Other tables
+    are left alone."""
+    folder = _folders.pop(df, None)
+    if folder is not None:
+        remove_folder(df.sparkSession, folder)
+
+
+@contextmanager
+def owned(owner: str):
+    """``durable`` tables made inside belong to ``owner`` until it releases them."""
+    token = _owner.set(owner)
+    try:
+        yield
+    finally:
+        _owner.reset(token)
+
+
+def release(spark: SparkSession, owner: str, needed: DataFrame | None = None) -> None:
+    """Remove the ``durable`` tables of ``owner``, but for those that ``needed`` reads."""
+    read = needed.inputFiles() if needed is not None and _owned.get(owner) else []
+    kept = []
+    for folder in _owned.pop(owner, []):
+        if any(f"/{folder.rsplit('/', 1)[-1]}/" in f for f in read):
+            kept.append(folder)
+        else:
+            remove_folder(spark, folder)
+    if kept:
+        _owned[owner] = kept
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of any file system that Spark knows."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def inline_table(spark: SparkSession, columns: Mapping[str, Sequence], **types) -> DataFrame:
