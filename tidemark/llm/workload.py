@@ -16,6 +16,7 @@ from tidemark.llm import (
     piece_bpe,
     quality_rules,
     site_style,
+    suffix_automaton,
     token_store,
     toxicity,
     url_lists,
@@ -196,3 +197,34 @@ def op7(t: Tables) -> DataFrame:
     fetched = F.date_add(F.lit("2022-01-01").cast("date"), (F.col("page_id") % _DAYS).cast("int"))
     captures = t.pages.select("page_id", "url", fetched.alias("fetched"))
     return url_lists.judged(captures, _list_entries(t.pages))
+
+
+_ITEM_WORDS = (
+    "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+
+@query(
+    "op11_suffix_automaton",
+    f"""
+    WITH d AS (SELECT doc_id, {_ITEM_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+    b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ITEM_WORDS.format('text')} AS ws FROM benchmark),
+    sized AS (SELECT *, least(10, len(ws)) AS k FROM b WHERE len(ws) > 0),
+    grams AS (SELECT DISTINCT item, k, array_to_string(ws[i : i + k - 1], ' ') AS gram
+              FROM (SELECT *, unnest(range(1, len(ws) - k + 2)) AS i FROM sized)),
+    places AS (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+               FROM d, (SELECT DISTINCT k FROM grams)),
+    hits AS (SELECT doc_id, k, i, item FROM (SELECT *, array_to_string(ws[i : i + k - 1], ' ') AS gram FROM places)
+             JOIN grams USING (k, gram)),
+    marked AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+               FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+    listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+               FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN listed USING (doc_id)
+    """,
+)
+def op11(t: Tables) -> DataFrame:
+    return suffix_automaton.digests(t.documents, t.benchmark)
