@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import ROW, kept_by_worker, quoted, unpacked
-from tidemark.session import durable, forget, spread
+from tidemark.session import durable, forget
 
 #: Most words of benchmark items that one automaton holds: some 300,000 states, 40 MB.
 BLOCK_WORDS = 200_000
@@ -296,7 +296,7 @@ def matched(
     blocks = max(1, -(-size // BLOCK_WORDS))
     block = F.pmod(F.xxhash64("item", "piece"), F.lit(blocks))
     wanted = docs.columns if keep is None else keep
-    rows = spread(docs).select(
+    rows = docs.select(
         F.struct(*[F.col(quoted(c)) for c in wanted]).alias(ROW),
         _bytes(text).alias("_text"),
         F.array().cast(SPANS).alias("spans"),

@@ -16,6 +16,7 @@ from tidemark.llm import (
     piece_bpe,
     quality_rules,
     site_style,
+    source_divergence,
     suffix_automaton,
     token_store,
     toxicity,
@@ -227,4 +228,42 @@ _ITEM_WORDS = (
     """,
 )
 def op11(t: Tables) -> DataFrame:
-    return suffix_automaton.digests(t.documents, t.benchmark)
+    return suffix_automaton.digests(t.spread("documents"), t.benchmark)
+
+
+@query(
+    "op12_source_divergence",
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+      FROM documents),
+    found AS (SELECT no, lang, source, term, count(*) AS n
+              FROM (SELECT no, lang, source, unnest(ws) AS term FROM d) GROUP BY ALL),
+    kept AS (SELECT lang, term, CAST(sum(n) AS BIGINT) AS c FROM found GROUP BY ALL HAVING count(*) >= 10),
+    groups AS (SELECT DISTINCT lang, source FROM d),
+    counts AS (SELECT lang, source, term, CAST(sum(n) AS BIGINT) AS c
+               FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    v AS (SELECT lang, count(*) AS v, CAST(sum(c) AS BIGINT) AS n FROM kept GROUP BY lang),
+    totals AS (SELECT lang, source, coalesce(CAST(sum(c) AS BIGINT), 0) AS n
+               FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+    p AS (SELECT g.lang, g.source, k.term, coalesce(x.c, 0) AS c,
+                 1 + (1000000000 * (coalesce(x.c, 0) + 2)) // (g.n + 2 * v.v) AS p,
+                 1 + (1000000000 * (k.c + 2)) // (v.n + 2 * v.v) AS q
+          FROM totals g JOIN v USING (lang) JOIN kept k USING (lang) LEFT JOIN counts x
+            ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+    pairs AS (SELECT a.lang, a.source, b.source AS item, CAST(sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS BIGINT) AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    parts AS (
+      SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value
+      FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+      LEFT JOIN pairs x ON x.lang = g.lang AND x.source = g.source AND x.item = h.source
+      UNION ALL
+      SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE c > 0 AND p > q)
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts
+    QUALIFY part = 'pair' OR rank <= 10
+    """,
+)
+def op12(t: Tables) -> DataFrame:
+    return source_divergence.audited(t.spread("documents"))
