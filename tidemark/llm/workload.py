@@ -13,6 +13,7 @@ from tidemark.llm import (
     content_sort,
     dominance_packing,
     jaccard_join,
+    lanczos_whitening,
     piece_bpe,
     quality_rules,
     site_style,
@@ -267,3 +268,8 @@ def op11(t: Tables) -> DataFrame:
 )
 def op12(t: Tables) -> DataFrame:
     return source_divergence.audited(t.spread("documents"))
+
+
+@query("op13_lanczos_whitening")
+def op13(t: Tables) -> DataFrame:
+    return lanczos_whitening.component_rows(t.embeddings)
