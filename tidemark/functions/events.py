@@ -40,6 +40,7 @@ def failure_reason(
     def value(name: str) -> Column:
         return F.col(name) if name in columns else F.lit(None).cast("string")
 
+    # fixed values: the texts of the reasons
     rules = [
         F.when(is_blank(value(f)), F.lit(f"Missing or empty required field: `{f}`")) for f in required
     ]

@@ -24,6 +24,15 @@ from tidemark.operators.rows import last_per_key
 from tidemark.operators.star import latest_view
 
 VALID, LATE, DEAD = "valid", "late", "dead"
+COUNTERS = (
+    "total_records_ingested",
+    "valid_records",
+    "dlq_quarantined",
+    "watermark_dropped_late",
+    "cdc_inserted",
+    "cdc_updated",
+    "cdc_deleted",
+)
 
 
 def wall_clock_cutoff(hours: float) -> Column:
@@ -79,20 +88,11 @@ def dead_letters(classified: DataFrame, fields: Sequence[str]) -> DataFrame:
 def batch_metrics(classified: DataFrame, batch: str | None = None) -> DataFrame:
     """Event counters, per batch when a batch column is named. They count events: a
     delete that matches nothing counts as well."""
-    def count(test: Column) -> Column:
-        return F.count(F.when(test, 1))
-
     valid = F.col("outcome") == VALID
-    counters = [
-        F.count("*").alias("total_records_ingested"),
-        count(valid).alias("valid_records"),
-        count(F.col("outcome") == DEAD).alias("dlq_quarantined"),
-        count(F.col("outcome") == LATE).alias("watermark_dropped_late"),
-        *[
-            count(valid & (F.col("op") == op)).alias(name)
-            for op, name in (("I", "cdc_inserted"), ("U", "cdc_updated"), ("D", "cdc_deleted"))
-        ],
+    tests = [
+        F.lit(True), valid, F.col("outcome") == DEAD, F.col("outcome") == LATE, *[valid & (F.col("op") == op) for op in "IUD"]
     ]
+    counters = [F.count(F.when(test, 1)).alias(name) for name, test in zip(COUNTERS, tests)]
     return classified.groupBy(*([batch] if batch else [])).agg(*counters)
 
 
@@ -104,23 +104,29 @@ def infer_members(
     key: str = "company_id",
     prefix: str = "COMP",
     width: int = 3,
+    highest: int | None = None,
 ) -> DataFrame:
-    """Members that only the events name, numbered by first sight after the highest number in
-    the ``dim`` keys, with the ``category`` of their first event."""
+    """Members that only the events name, numbered by first sight after the ``highest`` number
+    (that of the ``dim`` keys if not given), with the ``category`` of their first event."""
     category = F.col("category") if "category" in events.columns else F.lit(None).cast("string")
     first_seen = events.groupBy(name).agg(
         F.min(F.struct(*order)).alias("_first"),
         F.min_by(F.struct(category.alias("v")), F.struct(*order)).alias("_category"),
     )
     unknown = first_seen.join(dim.select(name), name, "left_anti")
-    digits = F.regexp_extract(F.col(key), r"(\d+)$", 1).try_cast("long")
-    highest = dim.agg(F.max(digits)).first()[0] or 0
+    highest = highest_number(dim, key) if highest is None else highest
     numbered = dense_sequence(unknown, ["_first"], "_n", highest + 1)
     return numbered.select(
         label(prefix, F.col("_n"), width).alias(key), name, F.col("_category.v").alias("category")
     )
 
 
+def highest_number(dim: DataFrame, key: str = "company_id") -> int:
+    """The highest number at the end of a key."""
+    digits = F.regexp_extract(F.col(key), r"(\d+)$", 1).try_cast("long")
+    return dim.agg(F.max(digits)).first()[0] or 0
+
+
 def apply_events(
     existing: DataFrame,
     events: DataFrame,

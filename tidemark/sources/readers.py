@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 OUTPUT_SUFFIXES = ("_clean.csv", "_arr.csv", "_enriched.csv")
 OUTPUT_PREFIXES = ("dim_", "fct_", "agg_", "view_")
 ORDER = ("_file", "_block", "_row")
+_ORDER_TYPES = [T.StructField(n, t) for n, t in zip(ORDER, (T.StringType(), T.LongType(), T.LongType()))]
 
 
 class MissingColumns(ValueError):
@@ -72,28 +75,64 @@ def read_csv_folder(
     paths = [p for p in _listed(spark, folder, "*.csv") if keep(p)]
     if not paths:
         raise FileNotFoundError(f"no raw CSV file in {folder}")
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        # the header line alone, not the data
-        header = tuple(spark.read.option("header", True).csv(path).columns)
-        by_header.setdefault(header, []).append(path)
-    parts = [read_csv(spark, group, header, null_value, ordered) for header, group in by_header.items()]
+    groups = headers(spark, paths)
+    parts = [read_csv(spark, group, header, null_value, ordered) for header, group in groups.items()]
+    if not parts:
+        raise FileNotFoundError(f"no header in any raw CSV file in {folder}")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part, allowMissingColumns=True)
     return out
 
 
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header, in the order of their names. One job looks at the lines of all
+    files, unparsed; the driver gets a line per file. A file without lines has no header, and a
+    header has no line breaks."""
+    lines = file_order(spark.read.text(list(paths))).filter("_block = 0")
+    first = lines.groupBy("_file").agg(F.min_by("value", "_row").alias("line")).collect()
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(first, key=lambda r: r._file):
+        header = tuple(next(csv.reader([r.line.removeprefix("\ufeff")]), ()))
+        # the metadata column gives the path as a URL
+        groups.setdefault(header, []).append(unquote(r._file))
+    return groups
+
+
+def read_fields(spark: SparkSession, paths: Sequence[str], fields: Sequence[str], line_breaks: bool = True) -> DataFrame:
+    """CSV files with any columns in any order, as ``fields`` bound by the header of each file,
+    and the order columns. An empty cell is '', a field the header lacks is null. Without
+    ``line_breaks`` in quoted cells a large file is read by many tasks."""
+    parts = []
+    for header, group in headers(spark, paths).items():
+        cells = read_csv(spark, group, [f"_c{i}" for i in range(len(header))], ordered=True, line_breaks=line_breaks)
+        parts.append(
+            cells.select(
+                *[
+                    F.coalesce(f"_c{header.index(f)}", F.lit("")).alias(f) if f in header else F.lit(None).cast("string").alias(f)
+                    for f in fields
+                ],
+                *ORDER,
+            )
+        )
+    out = spark.createDataFrame([], T.StructType([*strings(fields), *_ORDER_TYPES])) if not parts else parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     columns: Sequence[str],
     null_value: str | None = None,
     ordered: bool = False,
+    line_breaks: bool = True,
 ) -> DataFrame:
     """CSV with a header, as text. Quoted fields may hold line breaks; ``null_value`` is
     the text that means null (without it such text is kept)."""
-    reader = spark.read.schema(strings(columns)).options(header=True, multiLine=True, escape='"')
+    reader = spark.read.schema(strings(columns)).options(header=True, multiLine=line_breaks, escape='"')
+    reader = reader.option("maxColumns", max(20480, len(columns)))
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
     df = reader.csv(paths if isinstance(paths, str) else list(paths))
@@ -146,5 +185,3 @@ def register(tables: Mapping[str, DataFrame]) -> None:
     """Make tables known to ``spark.sql`` by name."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
-
-

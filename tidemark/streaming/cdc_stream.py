@@ -4,10 +4,12 @@ Every micro-batch is classified and written once, to its own folder of an append
 partitioned by outcome. Its commit mark is written last; readers take marked batches only, and
 a marked batch that is replayed is left as it is, so each event counts once. The tables are read
 as base plus log through the set form in ``operators.cdc``; logging a batch therefore costs its
-own size and never rewrites a table. ``compact`` folds the log into a new base.
+own size and never rewrites a table. ``compact`` folds the log into a new base. Each batch also
+writes its counters and its dead letters. ``cdc_state`` keeps the tables up to date batch by batch.
 
-    <root>/headers/batch=<id>                       the header of each CSV file
     <root>/log/batch=<id>/outcome=valid|late|dead
+    <root>/metrics/batch=<id>
+    <root>/dead_letters/batch=<id>/ingest_date=<day>
     <root>/commits/batch=<id>
     <root>/base/upto=<id>/<table>
 """
@@ -22,10 +24,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.events import EVENT_FIELDS
+from tidemark.functions.dates import iso_timestamp
+from tidemark.functions.events import EVENT_FIELDS, failure_reason
 from tidemark.operators import cdc
-from tidemark.sources.readers import read_or_empty, strings
-from tidemark.sources.sinks import write_if_changed, write_table
+from tidemark.sources.readers import read_fields, read_or_empty, strings
+from tidemark.sources.sinks import append_dead_letters, write_if_changed, write_table
 
 Cutoff = Callable[[DataFrame], Column] | None
 FILE_ORDER = ("batch", "_file", "_block", "_row")
@@ -43,6 +46,9 @@ BASE_SCHEMAS = {
     "arr_usd BIGINT",
 }
 
+LIVE_COLUMNS = ("article_id", "company_name", "arr_usd_M", "title", "last_event_id", "last_updated_at")
+LIVE_SCHEMA = ", ".join(f"{c} {'DOUBLE' if c == 'arr_usd_M' else 'STRING'}" for c in LIVE_COLUMNS)
+
 
 def event_stream(
     spark: SparkSession,
@@ -51,44 +57,42 @@ def event_stream(
     fields: Sequence[str] = EVENT_FIELDS,
     files_per_batch: int | None = None,
     line_breaks: bool = True,
-    most_columns: int = 64,
 ) -> DataFrame:
     """Event files that land in a folder, CSV or JSON lines, every field as text.
 
-    The cells of a CSV row come as the array ``_cells``; ``start`` binds them to the fields by
-    the header of their file, so files may have different columns in any order. A file with more
-    than ``most_columns`` columns stops the stream. Without ``line_breaks`` in quoted cells a
-    large file is read by many tasks. JSON fields that a line does not have are null."""
-    names = [f"_c{i}" for i in range(most_columns)] if fmt == "csv" else fields
-    reader = spark.readStream.schema(strings(names)).format(fmt)
-    if fmt == "csv":
-        reader = reader.options(header=False, multiLine=line_breaks, escape='"', maxColumns=most_columns)
+    Of CSV the stream carries the paths; ``start`` reads the files of a batch and binds their
+    cells to the fields by the header of each, so files may have any columns in any order.
+    Without ``line_breaks`` in quoted cells a large file is read by many tasks. JSON fields that
+    a line does not have are null."""
+    # of binary files only the path is read
+    schema = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY" if fmt == "csv" else strings(fields)
+    reader = spark.readStream.schema(schema).format("binaryFile" if fmt == "csv" else fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(folder).select(
-        *([F.array(*names).alias("_cells")] if fmt == "csv" else names),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
+    rows = reader.load(folder)
+    if fmt == "csv":
+        return rows.select(F.col("path").alias("_path"), F.lit(line_breaks).alias("_line_breaks"))
+    return rows.select(
+        *fields, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
     )
 
 
-def bind_header(rows: DataFrame, fields: Sequence[str], folder: str) -> DataFrame:
-    """CSV rows (``_cells``, ``_file``, ``_block``, ``_row``) with ``fields`` as columns, by the
-    header, the first row of each file. An empty cell is '', a field the header lacks is null.
-    The headers are written to ``folder``, so that the planner knows their size."""
-    first = rows.filter("_block = 0").groupBy("_file").agg(
-        F.min("_row").alias("_first"), F.min_by("_cells", "_row").alias("_header")
-    )
-    names = F.transform("_header", lambda x: F.regexp_replace(x, "^\ufeff", ""))
-    write_table(first.withColumn("_header", names), folder)
-    headers = rows.sparkSession.read.schema(first.schema).parquet(folder)
-
-    def cell(name: str) -> Column:
-        at = F.array_position("_header", F.lit(name)).cast("int")
-        return F.when(at > 0, F.coalesce(F.get("_cells", at - 1), F.lit(""))).alias(name)
+def deduplicated(events: DataFrame, within: str = "7 days", key: str = "event_id") -> DataFrame:
+    """A stream of parsed events in which a key that arrives again ``within`` a time of its first
+    arrival is left out, as after a file was sent twice. Arrival is the time of the batch, so no
+    event is too late. Events that break a rule are all kept: a corrected one has the same key.
 
-    bound = rows.join(headers, "_file").filter(F.col("_row") != F.col("_first"))
-    return bound.select(*[cell(f) for f in fields], "_file", "_block", "_row")
+    The lines of a file lose their order, so the events must carry their own."""
+    timed = events.withColumn("_time", iso_timestamp(F.col("event_timestamp")))
+    broken = failure_reason(events.columns, time=F.col("_time")).isNotNull()
+    keyed = timed.withColumns(
+        {"_key": F.when(broken, F.uuid()).otherwise(F.col(key)), "_arrived": F.current_timestamp()}
+    )
+    return (
+        keyed.withWatermark("_arrived", within)
+        .dropDuplicatesWithinWatermark(["_key"])
+        .drop("_time", "_key", "_arrived")
+    )
 
 
 def wall_clock(hours: float = 48.0) -> Cutoff:
@@ -111,22 +115,20 @@ def start(
     ``{"processingTime": "10 seconds"}`` polls. ``after_batch`` runs once a batch is
     logged, for instance to refresh a view. ``fields`` are looked for in CSV headers. Each
     event is stamped with the time of its batch, ``logged_at``."""
-    has_files = "_file" in stream.columns
-
     def log_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id not in committed(spark, root, batch_id - 1):
-            if has_files:
+        if not is_committed(spark, root, batch_id):
+            if "_path" in batch.columns:
+                files = batch.collect()  # what the file source itself keeps on the driver
+                batch = read_fields(spark, [r._path for r in files], fields, all(r._line_breaks for r in files))
+            elif "_file" in batch.columns:
                 # the lines of a file keep their order within a task
                 batch = batch.withColumn("_row", F.monotonically_increasing_id())
-            if "_cells" in batch.columns:
-                batch = bind_header(batch, fields, f"{root}/headers/batch={batch_id}")
-            elif has_files:
                 batch = batch.dropna("all", subset=[c for c in batch.columns if c in EVENT_FIELDS])
-            judged = cdc.classify(batch, cutoff(batch) if cutoff else None)
-            judged = judged.withColumn("logged_at", F.current_timestamp())
-            write_table(judged, f"{root}/log/batch={batch_id}", partition_by=["outcome"])
-            write_table(spark.range(1).coalesce(1), f"{root}/commits/batch={batch_id}")
+            _log(batch, root, batch_id, cutoff)
+        else:
+            # a replayed batch must still be run, for the state that its operators keep
+            batch.write.format("noop").mode("overwrite").save()
         if after_batch:
             after_batch(spark, batch_id)
 
@@ -138,6 +140,24 @@ def start(
     )
 
 
+def _log(batch: DataFrame, root: str, batch_id: int, cutoff: Cutoff) -> None:
+    """Write a classified batch, its counters and its dead letters, and mark it."""
+    spark = batch.sparkSession
+    judged = cdc.classify(batch, cutoff(batch) if cutoff else None)
+    judged = judged.withColumn("logged_at", F.current_timestamp())
+    folder = f"{root}/log/batch={batch_id}"
+    write_table(judged, folder, partition_by=["outcome"])
+    logged = spark.read.schema(judged.schema).parquet(folder)
+    write_table(cdc.batch_metrics(logged).coalesce(1), f"{root}/metrics/batch={batch_id}")
+    fields = [c for c in batch.columns if c in EVENT_FIELDS]
+    append_dead_letters(cdc.dead_letters(logged.filter(F.col("outcome") == cdc.DEAD), fields), f"{root}/dead_letters", batch_id)
+    write_table(spark.range(1).coalesce(1), f"{root}/commits/batch={batch_id}")
+
+
+def is_committed(spark: SparkSession, root: str, batch: int) -> bool:
+    return not read_or_empty(spark, f"{root}/commits/batch={batch}", "id LONG").isEmpty()
+
+
 def committed(spark: SparkSession, root: str, after: int | None = None) -> list[int]:
     """The numbers of the batches that are logged in full, from ``after`` on."""
     marks = read_or_empty(spark, f"{root}/commits", "id LONG, batch LONG").select("batch").distinct()
@@ -151,6 +171,10 @@ def read_log(
     """The logged events with their ``batch`` and ``outcome``, of the batches ``after`` one
     and ``upto`` another; None where there is no event."""
     batches = [b for b in committed(spark, root, after) if upto is None or b <= upto]
+    return read_batches(spark, root, batches)
+
+
+def read_batches(spark: SparkSession, root: str, batches: Sequence[int]) -> DataFrame | None:
     paths = [f"{root}/log/batch={b}" for b in batches]
     try:
         log = spark.read.option("basePath", f"{root}/log").parquet(*paths) if paths else None
@@ -163,18 +187,26 @@ def read_log(
 
 
 def metrics(spark: SparkSession, root: str) -> DataFrame:
-    """The event counters of every batch."""
-    return cdc.batch_metrics(read_log(spark, root), "batch")
+    """The event counters of every batch that had events."""
+    counters = ", ".join(f"{c} LONG" for c in cdc.COUNTERS)
+    stored = read_or_empty(spark, f"{root}/metrics", f"{counters}, batch LONG")
+    return stored.filter(f"{cdc.COUNTERS[0]} > 0").select("batch", *cdc.COUNTERS)
 
 
-def dead_letters(spark: SparkSession, root: str, fields: Sequence[str] = EVENT_FIELDS) -> DataFrame:
-    return cdc.dead_letters(read_log(spark, root), fields)
+def dead_letters(spark: SparkSession, root: str) -> DataFrame:
+    """The quarantine records of all batches."""
+    schema = "quarantined_at TIMESTAMP, failure_reason STRING, raw_payload STRING, batch LONG, ingest_date DATE"
+    stored = read_or_empty(spark, f"{root}/dead_letters", schema, "json")
+    return stored.select("quarantined_at", "failure_reason", "raw_payload")
 
 
 def live_state(spark: SparkSession, root: str, order: Sequence[str] = FILE_ORDER) -> DataFrame:
     """One row per live key. The last event of a key wins by ``order``, so batches may
     also arrive out of order when ``order`` is the events' own sequence."""
-    return cdc.live_rows(cdc.latest_events(cdc.valid_events(read_log(spark, root)), order))
+    log = read_log(spark, root)
+    if log is None:
+        return spark.createDataFrame([], LIVE_SCHEMA)
+    return cdc.live_rows(cdc.latest_events(cdc.valid_events(log), order))
 
 
 def emit_if_changed(spark: SparkSession, root: str, target: str, order: Sequence[str] = FILE_ORDER) -> tuple[bool, int]:
@@ -241,10 +273,11 @@ def snapshot(
     }
 
 
-def placeholders(dim: DataFrame, events: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Rows of the dimension's own shape for companies that only the events name."""
+def placeholders(dim: DataFrame, events: DataFrame, order: Sequence[str], highest: int | None = None) -> DataFrame:
+    """Rows of the dimension's own shape for companies that only the events name, numbered
+    after ``highest``, else after the dimension's own numbers."""
     industry = F.coalesce("category", F.lit("Technology")).alias("industry")
-    made = cdc.infer_members(dim, events, order).withColumn("industry", industry)
+    made = cdc.infer_members(dim, events, order, highest=highest).withColumn("industry", industry)
     constants = {
         "headquarters": "Unknown",
         "company_size_category": "Unknown",

@@ -72,14 +72,14 @@ def split_fields(text):
     return [*out, part]
 
 
-EVENT_SQL = f"""ev AS (SELECT {DUCK_EVENT}, ts FROM events),
-judged AS (SELECT *, upper(op_code) AS op, CASE
+JUDGED_SQL = """judged AS (SELECT *, upper(op_code) AS op, CASE
         WHEN trim(article_id) = '' THEN 'Missing or empty required field: `article_id`'
         WHEN company_name IS NULL THEN 'Missing or empty required field: `company_name`'
         WHEN op_code = 'x' THEN 'Invalid op_code `X` (Allowed: ''I'', ''U'', ''D'')'
         WHEN "arr_usd_M" = 'INVALID' THEN 'Non-numeric `arr_usd_M` value: INVALID'
         WHEN event_timestamp = 'yesterday' THEN 'Malformed event_timestamp format: yesterday'
-    END AS failure_reason FROM ev),
+    END AS failure_reason FROM ev)"""
+EVENT_SQL = f"""ev AS (SELECT {DUCK_EVENT}, ts FROM events), {JUDGED_SQL},
 timed AS (SELECT *, CASE WHEN failure_reason IS NOT NULL THEN 'dead'
         WHEN ts < (SELECT max(ts) FROM judged WHERE failure_reason IS NULL) - INTERVAL {int(LATE_HOURS)} HOUR
         THEN 'late' ELSE 'valid' END AS outcome FROM judged),
@@ -155,8 +155,7 @@ def base_tables(t):
     return {"dim_company": dim, "fct_article": articles, "fct_arr_observation": observations}
 
 
-BASE_SQL = f"""{EVENT_SQL},
-base_dim AS (SELECT 'COMP' || printf('%03d', n_nationkey + 1) AS company_id, 'Company ' || n_nationkey AS company_name,
+WAREHOUSE_SQL = """base_dim AS (SELECT 'COMP' || printf('%03d', n_nationkey + 1) AS company_id, 'Company ' || n_nationkey AS company_name,
                     n_name AS industry FROM nation),
 firsts AS (SELECT company_name, min(seq) AS s, coalesce(first(category ORDER BY seq), 'Technology') AS industry FROM good
            WHERE company_name NOT IN (SELECT company_name FROM base_dim) GROUP BY 1),
@@ -166,9 +165,10 @@ dim AS (SELECT * FROM base_dim UNION ALL SELECT * FROM inferred),
 base_art AS (SELECT 'ART' || p_partkey AS article_id, 'COMP' || printf('%03d', p_partkey % 25 + 1) AS company_id,
                     p_name AS title, p_brand AS category, '2021-05-01' AS d, 2021 AS y, 2 AS q, 5 AS mon, 3 AS words,
                     'ARR' || p_partkey AS observation_id, CAST(floor(p_retailprice) AS BIGINT) AS m FROM part)"""
+BASE_SQL = f"{EVENT_SQL}, {WAREHOUSE_SQL}"
 
 
-def facts_sql(mode):
+def facts_sql(mode, events=EVENT_SQL):
     """Surviving base rows and kept events for an insert mode."""
     if mode == "append":
         resets = "(SELECT article_id, max(seq) AS r FROM good WHERE op IN ('U', 'D') GROUP BY 1)"
@@ -179,7 +179,7 @@ def facts_sql(mode):
         kept = """SELECT * FROM (SELECT * FROM good QUALIFY
                   row_number() OVER (PARTITION BY article_id ORDER BY seq DESC) = 1) WHERE op <> 'D'"""
         touched = "SELECT article_id FROM good"
-    return f"""{BASE_SQL}, kept AS ({kept}),
+    return f"""{events}, {WAREHOUSE_SQL}, kept AS ({kept}),
 new_art AS (SELECT article_id, company_id, title, coalesce(category, 'General') AS category,
        CASE WHEN published_date LIKE '20%' THEN published_date ELSE published_date END AS d,
        CASE WHEN published_date LIKE '20%' THEN CAST(published_date[1:4] AS INT) ELSE 2026 END AS y,
