@@ -191,7 +191,7 @@ def test_chat_windows(spark):
     bits = ["<|end|>", "<|turn user|>", "\\", "\\\\", "</s>", "[INST]", "[/INST]", "<<SYS>>", "a ", "b\n", "é🙂"]
     turns = [(1, 0, "system", "rules here")]
     turns += [
-        (1, k, "assistant" if k % 2 == 0 else "us|>er\n", "".join(rng.choices(bits, k=rng.randint(0, 40))))
+        (1, k, "assistant" if k % 2 == 0 else rng.choice(["us|>er\n", "a|>\nb", "a|", "|>", "\\|>"]), "".join(rng.choices(bits, k=rng.randint(0, 40))))
         for k in range(1, 60)
     ]
     turns += [(2, None, None, None), (None, 1, "assistant", "x"), (3, 1, "assistant", "y"), (3, 1, "assistant", "y")]

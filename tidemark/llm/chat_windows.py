@@ -53,7 +53,9 @@ def unescaped(text: Column) -> Column:
 
 
 def _head(role: Column, again: Column) -> Column:
-    return F.concat(F.lit("<|"), F.when(again, "again ").otherwise("turn "), escaped(role), F.lit("|>\n"))
+    # a role may hold the end of its own mark
+    name = F.regexp_replace(escaped(role), r"\|(?=>)", r"|\\")
+    return F.concat(F.lit("<|"), F.when(again, "again ").otherwise("turn "), name, F.lit("|>\n"))
 
 
 def turns(
