@@ -4,9 +4,10 @@ A text's features are the distinct n-grams of its lower-cased characters, hashed
 number of places. Each place is scaled by the log ratio of its document frequencies in toxic
 and clean training texts, and a regularised logistic regression on the scaled features gives
 the weights. Training sees at most ``PER_CLASS`` labelled texts of each class, taken in the
-order of a hash of their key; the share of toxic texts among all labelled rows sets the
-intercept. The driver receives the features of those texts only, and training keeps the places
-whose frequencies differ between the classes beyond chance.
+order of a hash of their key (of rows that repeat a key, the smallest text); the share of toxic
+texts among all labelled rows sets the intercept. Document frequencies are counted in Spark, and
+training keeps the places where they differ between the classes beyond chance: the driver receives
+a count for each place and the kept places of those texts.
 
 Scoring reads each whole text once, task by task, with a weight array of fixed size. There is
 no shuffle of texts.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import ROW, quoted, text_of, unpacked
-from tidemark.session import durable
+from tidemark.session import durable, forget
 
 PLACES = 1 << 18
 SIZES = (3, 4, 5)
@@ -74,46 +75,47 @@ def _sigmoid(x):
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def train(texts: list[np.ndarray], labels: Iterable[int], share: float) -> Model:
-    """The classifier from the features of labelled texts; ``share`` of all texts are toxic."""
-    y = np.array(list(labels), float)
-    toxic, clean = int(y.sum()), int(len(y) - y.sum())
-    flat = Model(np.zeros(PLACES, "f4"), math.log(share / (1 - share)))
-    if not toxic or not clean:
-        return flat
-    with_toxic, with_clean = np.zeros(PLACES), np.zeros(PLACES)
-    for places, label in zip(texts, y):
-        (with_toxic if label else with_clean)[places] += 1
+@dataclass(frozen=True)
+class Places:
+    """The places that training keeps, and the log ratio of each."""
+
+    used: np.ndarray
+    ratio: np.ndarray
+
+
+def choose(with_toxic: np.ndarray, with_clean: np.ndarray, toxic: int, clean: int) -> Places:
+    """Places whose document frequencies differ between the classes beyond chance."""
     p, q = with_toxic / toxic, with_clean / clean
-    both = (with_toxic + with_clean) / len(y)
+    both = (with_toxic + with_clean) / (toxic + clean)
     error = np.sqrt(both * (1 - both) * (1 / toxic + 1 / clean)) + 1e-9
     used = np.flatnonzero(np.abs(p - q) / error >= LEAST_SIGNAL)
-    if not len(used):
-        return flat
     ratio = np.log((with_toxic + SMOOTHING) / (toxic + 2 * SMOOTHING)) - np.log(
         (with_clean + SMOOTHING) / (clean + 2 * SMOOTHING)
     )
-    column = np.full(PLACES, -1)
-    column[used] = np.arange(len(used))
-    columns = [column[places] for places in texts]
-    columns = [c[c >= 0] for c in columns]
-    owner, at = np.repeat(np.arange(len(columns)), list(map(len, columns))), np.concatenate(columns)
-    value = ratio[used][at]
+    return Places(used, ratio[used])
+
+
+def train(columns: list[np.ndarray], labels: Iterable[int], places: Places, share: float) -> Model:
+    """The classifier from the labelled texts' chosen places, given by their numbers among the
+    chosen ones; ``share`` of all texts are toxic."""
+    y = np.array(list(labels), float)
+    owner, at = np.repeat(np.arange(len(columns), dtype="i4"), list(map(len, columns))), np.concatenate(columns)
+    value = places.ratio.astype("f4")[at]
 
     def product(w: np.ndarray) -> np.ndarray:
         return np.bincount(owner, weights=value * w[at], minlength=len(y))
 
     def back(e: np.ndarray) -> np.ndarray:
-        return np.bincount(at, weights=value * e[owner], minlength=len(used))
+        return np.bincount(at, weights=value * e[owner], minlength=len(places.used))
 
     # accelerated gradient steps; the step is one over the largest curvature
-    v = np.ones(len(used))
+    v = np.ones(len(places.used))
     for _ in range(20):
         v = back(product(v))
         norm = np.linalg.norm(v)
         v /= norm
     step = 1 / (0.25 * (norm + len(y)) + PENALTY)
-    w, b = np.zeros(len(used)), 0.0
+    w, b = np.zeros(len(places.used)), 0.0
     ahead_w, ahead_b, t = w, b, 1.0
     for _ in range(300):
         e = _sigmoid(product(ahead_w) + ahead_b) - y
@@ -124,9 +126,10 @@ def train(texts: list[np.ndarray], labels: Iterable[int], share: float) -> Model
         ahead_b = new_b + (t - 1) / new_t * (new_b - b)
         w, b, t = new_w, new_b, new_t
     weights = np.zeros(PLACES, "f4")
-    weights[used] = w * ratio[used]
+    weights[places.used] = w * places.ratio
     # the sample is balanced, the table is not
-    return Model(weights, b + math.log(share / (1 - share)) - math.log(toxic / clean))
+    toxic = y.sum()
+    return Model(weights, b + math.log(share / (1 - share)) - math.log(toxic / (len(y) - toxic)))
 
 
 def held_out(key: str = "doc_id", folds: int = 5) -> Column:
@@ -143,35 +146,65 @@ def fit(
     """Train on the labelled rows of ``docs``. ``labels`` holds the key and the label (1 toxic, 0 clean);
     rows that must not be learnt from are left out by the caller."""
     known = labels.select(F.col(quoted(key)).alias("_id"), F.col(quoted(label)).cast("int").alias("_y"))
-    known = known.filter(F.col("_y").isin(0, 1) & F.col("_id").isNotNull())
+    known = known.filter(F.col("_y").isin(0, 1) & F.col("_id").isNotNull()).distinct()
     rows = docs.select(F.col(quoted(key)).alias("_id"), text_of(text).alias("_text"))
     # labels of other documents take no place and do not count for the share; three readers
     known = durable(known.join(rows.select("_id"), "_id", "left_semi"), "labels")
     counts = dict(known.groupBy("_y").count().collect())
     share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
+    flat = Model(np.zeros(PLACES, "f4"), math.log(share / (1 - share)))
+    if len(counts) < 2:
+        return flat
     order = F.xxhash64("_id")
     chosen = [known.filter(F.col("_y") == y).orderBy(order, "_id").limit(PER_CLASS) for y in (0, 1)]
-    # at most two times PER_CLASS rows
+    # at most two times PER_CLASS keys; a key that rows repeat has one text
     sample = rows.join(F.broadcast(chosen[0].union(chosen[1])), "_id")
+    sample = sample.groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
 
     def features(batches):
         find = Features()
         for batch in batches:
+            found = [find(x.as_py()).tobytes() for x in batch.column("_text")]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("_id"),
-                    batch.column("_y"),
-                    pa.array([find(x.as_py()).tobytes() for x in batch.column("_text")], pa.binary()),
-                ],
-                ["_id", "_y", "places"],
+                [batch.column("_id"), batch.column("_y"), pa.array(found, pa.binary())], ["_id", "_y", "places"]
             )
 
     schema = T.StructType(
         [sample.schema["_id"], T.StructField("_y", T.IntegerType()), T.StructField("places", T.BinaryType())]
     )
-    found = sample.select("_id", "_y", "_text").mapInArrow(features, schema).collect()
-    found.sort(key=lambda r: (r._id, r._y, bytes(r.places)))
-    return train([np.frombuffer(r.places, "<u4") for r in found], [r._y for r in found], share)
+    found = durable(sample.select("_id", "_y", "_text").mapInArrow(features, schema), "features")
+
+    def frequencies(batches):
+        total = np.zeros((2, PLACES), "i8")
+        for batch in batches:
+            for y, places in zip(batch.column("_y").to_pylist(), batch.column("places")):
+                total[y, np.frombuffer(places.as_py(), "<u4")] += 1
+        at = np.flatnonzero(total.any(0))
+        columns = [pa.array(at, pa.int64()), pa.array(total[1, at]), pa.array(total[0, at])]
+        yield pa.RecordBatch.from_arrays(columns, ["place", "toxic", "clean"])
+
+    # the driver gets a row for each of the PLACES, then the chosen places of the sample
+    counted = found.select("_y", "places").mapInArrow(frequencies, "place long, toxic long, clean long")
+    table = counted.groupBy("place").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow()
+    with_toxic, with_clean = np.zeros(PLACES), np.zeros(PLACES)
+    at = table["place"].to_numpy()
+    with_toxic[at], with_clean[at] = table["toxic"].to_numpy(), table["clean"].to_numpy()
+    places = choose(with_toxic, with_clean, min(counts[1], PER_CLASS), min(counts[0], PER_CLASS))
+    if not len(places.used):
+        return flat
+    used = docs.sparkSession.sparkContext.broadcast(places.used)
+
+    def keep(batches):
+        column = np.full(PLACES, -1, "i4")
+        column[used.value] = np.arange(len(used.value))
+        for batch in batches:
+            kept = [column[np.frombuffer(x.as_py(), "<u4")] for x in batch.column("places")]
+            kept = pa.array([c[c >= 0].tobytes() for c in kept], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_y"), kept], schema.names)
+
+    sample = sorted(found.mapInArrow(keep, schema).collect(), key=lambda r: (r._id, r._y))
+    forget(found)
+    return train([np.frombuffer(r.places, "<i4") for r in sample], [r._y for r in sample], places, share)
 
 
 def scored(
