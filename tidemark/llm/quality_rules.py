@@ -257,8 +257,18 @@ def judged(
 
 
 def good_documents(docs: DataFrame, text: str = "text", cut: float = 0.5) -> DataFrame:
-    """The rows that are kept, with their input columns only."""
+    """The rows that are kept, with their input columns only. Texts are measured twice, for the
+    counts of votes and for the verdicts, and no row is written in between."""
     rules = default_rules()
-    voted = _voted(carried(docs, _text=text_of(text)), rules)
-    posterior = fit(voted, rules).posterior([F.col(f"_vote_{r.name}") for r in rules])
-    return unpacked(voted.filter(~base_failed() & (posterior >= cut)))
+    names = [f"_vote_{r.name}" for r in rules]
+    votes = [r.vote().cast("int").alias(n) for r, n in zip(rules, names)]
+
+    def passed(rows: DataFrame, *kept: str) -> DataFrame:
+        # a filter is not pushed below a row number, which would compute the measures in it anew
+        made = measured(rows).select(*kept, *MEASURES, *votes, F.monotonically_increasing_id().alias("_at"))
+        return made.filter(~base_failed() & (F.col("_at") >= 0))
+
+    texts = docs.select(text_of(text).alias("_text"))
+    posterior = fit(passed(texts), rules).posterior([F.col(n) for n in names])
+    rows = passed(carried(docs, _text=text_of(text)), ROW)
+    return unpacked(rows.filter((posterior >= cut) & (F.col("_at") >= 0)))
