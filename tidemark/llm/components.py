@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import durable
+from tidemark.session import durable, forget
 
 
 def _star(edges: DataFrame) -> DataFrame:
@@ -21,23 +21,25 @@ def _star(edges: DataFrame) -> DataFrame:
     least = large.groupBy("u").agg(F.min("v").alias("m"))
     joined = large.join(least, "u")
     small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.toDF("u", "v"))
-    return durable(small.filter("u <> v").distinct(), "small")
+    out = durable(small.filter("u <> v").distinct(), "small")
+    forget(large)
+    return out
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``links`` has two columns of node numbers. Returns ``node`` and ``root``, the smallest
-    node reachable, for every node that has a link to another one. Raises if the rounds do not
-    suffice (each at least halves the depth, so that would take paths of astronomic length)."""
+    node reachable, for every node that has a link to another one. The rounds end when one
+    changes nothing; each at least halves the depth."""
     edges = links.toDF("u", "v").filter("u <> v")
     edges = durable(
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links"
     )
     seen = None
-    for _ in range(most_rounds):
-        edges = _star(edges)
+    while True:
+        before, edges = edges, _star(edges)
+        forget(before)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             roots = edges.toDF("node", "root")
             return roots.union(roots.select("root", "root").distinct())
         seen = state
-    raise RuntimeError("components did not settle")

@@ -10,11 +10,14 @@ the others count as equally rare. Any order gives the same result; this one keep
 many texts share out of the prefixes.
 
 *Prefixes.* Similar sets of at most ``n`` shingles share ``ceil(0.8 n)``, so they share at
-least ``k`` among the first ``n - ceil(0.8 n) + k`` of both. First, with ``k = FIRST_MATCHES`` for
-all, texts that have fewer than ``k`` prefix shingles in common with any others are dropped: most
-have no partner at all. The prefixes of those that are left are lengthened where the shingles'
-counts say that many candidates would be met, and two texts must then share the smaller of their
-two ``k`` before they are compared.
+least ``k`` among the first ``n - ceil(0.8 n) + k`` of both, for any ``k``. So a text that has fewer
+than ``k`` such shingles in common with any others, for one ``k`` of the ``LADDER``, is dropped: most
+have no partner at all. For each text that is left the shingles' counts estimate what each ``k``
+costs: the texts met at the prefix, and of these at most one in ``k`` to compare. The prefix is
+lengthened as long as that pays, which differs from text to text: copies of one text share rare
+shingles, so a longer prefix saves comparisons; where the next shingles are those of a common
+passage, it would only meet more texts. Two texts must share the smaller of their two ``k`` before
+they are compared.
 
 *Hubs.* A group of near copies would meet in every prefix shingle of the group. So each text is
 first compared with a hub: of the texts that share a prefix shingle, the one whose prefix is met
@@ -50,15 +53,15 @@ from pyspark.sql.window import Window
 from tidemark.llm.common import quoted, text_of
 from tidemark.llm.components import components
 from tidemark.llm.shingles import Hasher
-from tidemark.session import durable
+from tidemark.session import durable, forget
 
 WORDS = 5
 PERCENT = 80
 CHUNK = 1 << 20  # shingles that a task counts at a time
 MOST_FREQUENT = 1 << 20  # shingles whose count the order knows
-FIRST_MATCHES = 16
-ALL_OF_THEM = 25  # sets from this size on: all partners need to share FIRST_MATCHES or more
-MOST_MATCHES = 24
+LADDER = (1, 2, 4, 8, 16, 24)  # matches that a prefix may be lengthened to
+FIRST_MATCHES, MOST_MATCHES = 16, LADDER[-1]  # the first sieve looks at prefixes for so many
+COMPARISON = 16  # what comparing two texts costs, in texts met
 MAP_BITS = 24  # of the bitmap of texts, 2 MB
 SHINGLE_BITS = 27  # of the bitmap of shingles, 16 MB; when full, it only saves nothing
 
@@ -106,6 +109,7 @@ def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             break
         least = power
     table = counted.filter(F.lit(False) if least is None else step >= least).toArrow()
+    forget(counted)
     tokens, n = table["token"].to_numpy(), table["n"].to_numpy()
     order = np.argsort(tokens)
     return tokens[order], n[order]
@@ -181,9 +185,10 @@ def _inside(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def _possible(signed: DataFrame) -> DataFrame:
-    """The classes that may have a partner, with key, size and prefix: those with at least
-    ``FIRST_MATCHES`` prefix shingles (one for tiny sets) that some other text has in its
-    prefix too. Copies of a text and clashes in the bitmap let some others pass."""
+    """The classes that may have a partner, with key, size and prefix: those that for each step
+    of the ladder have enough prefix shingles that some other text has in its prefix too. (The
+    smallest partner of ``n`` shingles has ``needed(n)`` and shares what it needs itself.)
+    Copies of a text and clashes in the bitmap let some others pass."""
     length = (F.col("n") - needed(F.col("n")) + F.least(F.lit(FIRST_MATCHES), needed(F.col("n")))).cast("int")
     first = signed.filter("n > 0").select("sid", F.explode(F.slice("prefix", 1, length)).alias("token"))
     # 40 bits keep the shuffle small; a clash, like a copy of one text, only lets a text pass
@@ -198,9 +203,11 @@ def _possible(signed: DataFrame) -> DataFrame:
             ends = prefix.offsets.to_numpy()
             hits = np.cumsum(np.concatenate([[0], _inside(bits, prefix.values.to_numpy() & mask)]))
             least = -(-n * PERCENT // 100)
-            stop = np.minimum(ends[:-1] + n - least + np.minimum(FIRST_MATCHES, least), ends[1:])
-            found = hits[stop] - hits[ends[:-1]]
-            keep = (n > 0) & (found >= np.where(n >= ALL_OF_THEM, FIRST_MATCHES, 1))
+            keep = n > 0
+            for k in LADDER:
+                if k <= FIRST_MATCHES:
+                    stop = np.minimum(ends[:-1] + n - least + np.minimum(k, least), ends[1:])
+                    keep &= hits[stop] - hits[ends[:-1]] >= np.minimum(k, -(-least * PERCENT // 100))
             yield batch.take(pa.array(np.flatnonzero(keep)))
 
     sifted = signed.mapInArrow(sift, signed.schema)
@@ -264,32 +271,52 @@ def _alike_in_size(n: Column, m: Column) -> Column:
 
 def _postings(classes: DataFrame) -> DataFrame:
     """Prefix shingles of the classes that have a possible partner: (token, sid, n, matches,
-    cost). ``matches`` grows with the estimated cost, the number of texts met at the first
-    matches."""
+    cost). ``matches`` is the step of the ladder with the least estimated cost, ``cost`` the
+    number of texts met at its prefix."""
     need = needed(F.col("n"))
-    start = F.least(F.lit(FIRST_MATCHES), need)
     longest = (F.col("n") - need + F.least(F.lit(MOST_MATCHES), need)).cast("int")
     places = classes.select("sid", "n", F.posexplode(F.slice("prefix", 1, longest)).alias("place", "token"))
     met = durable(places.groupBy("token").count().filter("count > 1"), "met")
     places = durable(places.join(met, "token"), "places")
-    cost = places.filter(F.col("place") < F.col("n") - need + start).groupBy("sid").agg(
-        F.sum(F.col("count") - 1).alias("cost"), F.count(F.lit(1)).alias("shared"), F.max("n").alias("_n")
+    sums, steps, enough = [], [], F.lit(True)
+    for k in LADDER:
+        within = F.col("place") < F.col("n") - need + F.least(F.lit(k), need)
+        sums += [
+            F.sum(F.when(within, F.col("count") - 1).otherwise(0)).alias(f"_met{k}"),
+            F.count(F.when(within, 1)).alias(f"_shared{k}"),
+        ]
+        matches = F.least(F.lit(k), need)
+        steps.append(
+            F.struct(
+                (F.col(f"_met{k}") * (1 + COMPARISON / matches)).alias("estimate"),
+                (-matches).alias("matches"),
+                F.col(f"_met{k}").alias("cost"),
+            )
+        )
+        enough = enough & (F.col(f"_shared{k}") >= F.least(F.lit(k), needed(need)))
+    counted = places.groupBy("sid", "n").agg(*sums).filter(enough)
+    best = counted.select("sid", F.array_min(F.array(*steps)).alias("_best"))
+    chosen = durable(
+        best.select("sid", (-F.col("_best.matches")).cast("int").alias("matches"), F.col("_best.cost").alias("cost")),
+        "chosen",
     )
-    enough = F.when(F.col("_n") >= ALL_OF_THEM, FIRST_MATCHES).otherwise(1)
-    cost = durable(cost.filter(F.col("shared") >= enough).select("sid", "cost"), "cost")
-    matches = F.least(F.lit(MOST_MATCHES), need, 2 + F.ceil(F.log2(F.col("cost") + 1)))
-    rows = places.join(cost, "sid").withColumn("matches", F.greatest(matches, start).cast("int"))
-    rows = rows.filter(F.col("place") < F.col("n") - need + F.col("matches"))
-    return durable(rows.select("token", "sid", "n", "matches", "cost"), "postings")
+    rows = places.join(chosen, "sid").filter(F.col("place") < F.col("n") - need + F.col("matches"))
+    postings = durable(rows.select("token", "sid", "n", "matches", "cost"), "postings")
+    for step in (met, places, chosen):
+        forget(step)
+    return postings
 
 
 def _hubs(postings: DataFrame) -> DataFrame:
     """Texts with the hub to compare them with."""
     hubs = postings.groupBy("token").agg(F.max(F.struct("cost", "sid", "n", "matches")).alias("hub"))
-    met = postings.join(durable(hubs, "hubs"), "token").filter(
+    hubs = durable(hubs, "hubs")
+    met = postings.join(hubs, "token").filter(
         (F.col("sid") != F.col("hub.sid")) & _alike_in_size(F.col("n"), F.col("hub.n"))
     )
-    return durable(_best_hub(met).select("sid", "hub"), "chosen-hubs")
+    chosen = durable(_best_hub(met).select("sid", "hub"), "chosen-hubs")
+    forget(hubs)
+    return chosen
 
 
 def _best_hub(met: DataFrame) -> DataFrame:
@@ -332,9 +359,9 @@ def _near_hub_links(compared: DataFrame) -> DataFrame:
         F.size("deviations").alias("all"),
         F.explode("deviations").alias("token"),
     )
-    rows = durable(rows, "deviations")
-    met = rows.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
-    rows = rows.join(durable(met, "met"), ["hub", "token"])
+    every = durable(rows, "deviations")
+    met = durable(every.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("met")).filter("met > 1"), "met")
+    rows = every.join(met, ["hub", "token"])
     own = Window.partitionBy("sid")  # the deviations of one text
     place = F.col("all") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("met", "token"))
     rows = durable(rows.withColumn("place", place).filter("place <= greatest(short, long)"), "first")
@@ -351,7 +378,11 @@ def _near_hub_links(compared: DataFrame) -> DataFrame:
     b = near.select(F.col("sid").alias("b"), F.col("u").alias("_u"), F.col("deviations").alias("_e"))
     both = pairs.join(a, "a").join(b, "b")
     shared = F.size(F.array_intersect("_d", "_e"))
-    return both.filter(9 * shared >= F.col("u") + F.col("_u") - F.col("hub_n")).select("a", "b")
+    links = both.filter(9 * shared >= F.col("u") + F.col("_u") - F.col("hub_n")).select("a", "b")
+    links = durable(links, "near-links")
+    for step in (every, met, rows):
+        forget(step)
+    return links
 
 
 def _rest_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
@@ -378,7 +409,11 @@ def _rest_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
         F.greatest("sid_a", "sid_b").alias("b"),
         F.least("matches_a", "matches_b").alias("matches"),
     )
-    return pairs.groupBy("a", "b", "matches").count().filter("count >= matches").select("a", "b")
+    found = pairs.groupBy("a", "b", "matches").count().filter("count >= matches").select("a", "b")
+    found = durable(found, "rest-pairs")
+    for step in (largest, rows):
+        forget(step)
+    return found
 
 
 def _groups(members: DataFrame, compared: DataFrame, linked: DataFrame) -> DataFrame:
@@ -398,29 +433,39 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     that links reach."""
     rows = docs.select(F.col(quoted(key)).alias("key"), text_of(text).alias("text"))
     signed = durable(_signed(rows, frequent_shingles(rows)), "signed")
+    # what is left of all rows once the prefixes are dealt with
+    sizes = durable(signed.select("key", "sid", "n"), "sizes")
     classes = durable(_possible(signed), "classes")
+    forget(signed)
     postings = _postings(classes)
+    keys = durable(classes.select("sid", "key"), "keys")
+    forget(classes)
     members = durable(postings.select("sid").distinct(), "members")
-    keys = classes.select("sid", "key")
     hubs = _hubs(postings)
     sets = _whole_sets(rows, keys.join(_texts(hubs), "sid"))
 
     compared = _compared(hubs, sets)
     linked = compared.filter("u <= hub_n").select("sid", "hub")
     links = linked.toDF("a", "b").union(_near_hub_links(compared))
-    rest = durable(_rest_pairs(postings, _groups(members, compared, linked)), "rest-pairs")
+    groups = _groups(members, compared, linked)
+    rest = _rest_pairs(postings, groups)
+    for step in (postings, members, hubs, groups):
+        forget(step)
     # most of these texts had no hub to be compared with
     texts = durable(_texts(rest), "texts")
     other = texts.join(sets.select("sid"), "sid", "left_anti")
-    sets = sets.join(texts, "sid", "left_semi").union(_whole_sets(rows, keys.join(other, "sid")))
-    roots = components(links.union(_linked(rest, sets)))
+    others = _whole_sets(rows, keys.join(other, "sid"))
+    both = sets.join(texts, "sid", "left_semi").union(others)
+    roots = components(links.union(_linked(rest, both)))
+    for step in (sets, others, compared, rest, texts, keys):
+        forget(step)
     # the smallest key of each class; of each component
-    least = durable(signed.filter("n > 0").groupBy("sid").agg(F.min("key").alias("key")), "least")
+    least = durable(sizes.filter("n > 0").groupBy("sid").agg(F.min("key").alias("key")), "least")
     named = roots.select(F.col("node").alias("sid"), "root").join(least, "sid")
     joined = named.groupBy("root").agg(F.min("key").alias("component_id"))
     joined = durable(named.join(joined, "root").select("sid", "component_id"), "joined")
     ids = least.join(joined, "sid", "left").select("sid", F.coalesce("component_id", "key").alias("component_id"))
-    out = signed.select("key", "sid", "n").join(durable(ids, "ids"), "sid", "left")
+    out = sizes.join(durable(ids, "ids"), "sid", "left")
     own = F.when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id"))
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
