@@ -24,6 +24,7 @@ from tidemark.llm import (
     url_lists,
 )
 from tidemark.llm.byte_bpe import Encoder
+from tidemark.llm.components import components
 from tidemark.llm.workload import BYTE_BPE, ORACLES, PIECE_BPE, QUERIES
 from tidemark.session import scratch_path
 
@@ -627,3 +628,26 @@ def test_style_tree_overrules_articles(spark):
     rows = spark.createDataFrame(pages, "page_id string, url string, html string")
     got = {r.page_id: r.text for r in site_style.main_text(rows).collect()}
     assert got == {f"{h} {i}": want[h](h, i) for h, (n, _) in hosts.items() for i in range(n)}
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    chain = [(i, i + 1) for i in range(300)]
+    star = [(1000, 1000 + i) for i in range(1, 400)]
+    rng = random.Random(4)
+    shuffled = [(b, a) if rng.random() < 0.5 else (a, b) for a, b in [*chain, *star, (5000, 5001), (7, 7), (5001, 5000)]]
+    links = spark.createDataFrame(rng.sample(shuffled, len(shuffled)), "a long, b long")
+    roots = {r.node: r.root for r in components(links).collect()}
+    wanted = {i: 0 for i in range(301)} | {1000 + i: 1000 for i in range(400)} | {5000: 5000, 5001: 5000}
+    assert roots == wanted
+    assert components(links.limit(0)).count() == 0
+
+
+def test_prefixes_are_lengthened_by_cost(spark, monkeypatch):
+    """Texts without costly shingles stay at few matches, near copies get many."""
+    made = {}
+    postings = jaccard_join._postings
+    monkeypatch.setattr(jaccard_join, "_postings", lambda c: made.setdefault("rows", postings(c)))
+    monkeypatch.setattr(jaccard_join, "forget", lambda df: None)
+    jaccard_join.near_duplicates(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).count()
+    matches = {r.sid: r.matches for r in made["rows"].collect()}
+    assert len(set(matches.values())) > 3 and max(matches.values()) == jaccard_join.MOST_MATCHES

@@ -9,9 +9,9 @@ the driver sorts has rows of bounded size; texts with one beginning are still sp
 
 A text that a large share of the rows have would fill one range. Such texts are seen in a
 bounded sample of rows, and their rows are dealt by a salt made from the identifier next to the
-text. Each salted part then finds its smallest identifier and its size, and the few parts (hot
-texts times salts) are merged. The sample only chooses how rows are dealt; the result is exact
-whatever it holds.
+text. Their smallest identifiers and their sizes come from a count beside the sort, and the part
+that the smallest identifier was dealt to keeps its first row. Sorted texts are not written in
+between. The sample only chooses how rows are dealt; the result is exact whatever it holds.
 
 Defined results: a null text equals an empty one. Null identifiers come last, so such a row
 stays only where its text has no other; of rows with one identifier and one text, exactly one
@@ -88,23 +88,17 @@ def grouped(
     if not hot:
         return unpacked(_marked(local, F.col("_place") == 1), *RESULT)
 
-    local = durable(local, "sorted")
-    parts = (
-        local.filter(F.col("text_sha256").isin(hot) & (F.col("_place") == 1))
-        .groupBy("text_sha256")
-        .agg(
-            F.min("_least").alias("_all_least"),
-            F.sum("_size").alias("_all_size"),
-            # the part whose first row stays: the one with the smallest identifier
-            F.min(F.struct(F.col("_least").isNull(), "_least", "_salt"))["_salt"].alias("_first"),
-        )
-    )
-    # at most 2,000 rows, by the bound on the hot texts
-    merged = local.join(F.broadcast(parts), "text_sha256", "left")
+    # the hot texts as wholes, added up before the shuffle; at most 2,000 rows
+    whole = docs.select(F.col(quoted(key)).alias("_id"), F.sha2(normalised(text), 256).alias("text_sha256"))
+    whole = whole.filter(F.col("text_sha256").isin(hot)).groupBy("text_sha256")
+    whole = durable(whole.agg(F.min("_id").alias("_all_least"), F.count(F.lit(1)).alias("_all_size")), "hot")
+    # the part whose first row stays is that of the smallest identifier
+    whole = whole.withColumn("_first", F.pmod(F.xxhash64("_all_least"), F.lit(SALTS)).cast("int"))
+    merged = local.join(F.broadcast(whole), "text_sha256", "left")
+    first = (F.col("_place") == 1) & (F.col("_salt") == F.coalesce("_first", "_salt"))
     merged = merged.withColumn("_size", F.coalesce("_all_size", "_size")).withColumn(
-        "_least", F.coalesce("_all_least", "_least")
+        "_least", F.when(F.col("_all_size").isNull(), F.col("_least")).otherwise(F.col("_all_least"))
     )
-    first = (F.col("_place") == 1) & (F.col("_salt") == F.coalesce("_first", "_salt"))
     return unpacked(_marked(merged, first), *RESULT)
 
 
