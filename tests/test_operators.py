@@ -205,3 +205,19 @@ def test_durable_reads_the_same_rows(spark):
     df = spark.range(10).withColumn("r", F.rand())
     kept = durable(df)
     assert values(kept) == values(kept)
+
+
+@pytest.mark.parametrize(
+    "statement, safe, detail",
+    [
+        ("SELECT 1 -- DROP TABLE x; really", True, None),
+        ("/* update; */ SELECT 'a;b', \"delete\" FROM t /* drop */ LIMIT 7", True, None),
+        ("SELECT \"it's\" FROM t; DROP TABLE t", False, None),
+        ("SELECT a FROM t WHERE x = 'it' OR drop", False, "DROP"),
+        ("SELECT dropped, update_at FROM t", True, None),
+    ],
+)
+def test_audit_scans_strings_and_comments(spark, statement, safe, detail):
+    r = audit.audit_statements(spark.createDataFrame([(statement,)], "s STRING"), "s").first()
+    assert (r.is_safe, r.detail) == (safe, detail)
+    assert not safe or r.row_limit == (7 if "LIMIT" in statement else 50)
