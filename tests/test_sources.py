@@ -32,6 +32,27 @@ def test_keyed_json(spark, tmp_path):
     assert values(df) == [("A", 1, "x"), ("B", None, None)]
 
 
+def test_keyed_json_of_many_lines(spark, tmp_path):
+    for name, text in (("a", '{"A": {"n": 1}, "B": {"n": 2}}\n{"C": {"n": 3}}\n'), ("b", '{"D": null}\n')):
+        (tmp_path / name).write_text(text)
+    df = readers.read_keyed_json(spark, str(tmp_path), "name", "n LONG", lines=True)
+    assert values(df) == [("A", 1), ("B", 2), ("C", 3), ("D", None)]
+
+
+def test_folders_of_csv_files(spark, tmp_path):
+    """Tables that Spark wrote are folders; outputs are known by the names of these, also where
+    the folder that holds them all has such a name."""
+    root = f"{tmp_path}/view_raw"
+    df = spark.createDataFrame([(" a ", "\tx"), ("b", "two\n lines ")], "id STRING, x STRING")
+    sinks.write_table(df, f"{root}/one", "csv")
+    sinks.write_table(df.select("x", "id"), f"{root}/two words", "csv")
+    for name in ("fct_one", "one_clean.csv"):
+        sinks.write_table(df.withColumn("x", F.lit("output")), f"{root}/{name}", "csv")
+    got = readers.read_csv_folder(spark, f"{root}/*")
+    assert values(got, "id", "x") == sorted([(" a ", "\tx"), ("b", "two\n lines ")] * 2)
+    assert values(readers.read_csv_folder(spark, f"file://{root}/one")) == values(df)
+
+
 def test_required_columns(spark):
     df = spark.createDataFrame([(1,)], "a INT")
     assert readers.require_columns(df, ["a"]) is df

@@ -116,6 +116,12 @@ def version_keys(
     return numbered.select(label(prefix, F.col("_n"), width).alias(name), *versions.columns)
 
 
+def version_order(versions: DataFrame, keys: Sequence[str], start: str = START) -> DataFrame:
+    """The versions in the order they are published in: by key and start date. Written as a
+    table, the files hold them in this order."""
+    return versions.orderBy(*keys, start)
+
+
 def apply_changes(
     dim: DataFrame,
     changes: DataFrame,

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import catalog, contracts
-from tidemark.operators.contracts import in_range, not_null, one_of, references, unique
+from tidemark.operators.contracts import Rule, in_range, not_null, one_of, references, unique
 from tidemark.plans import fixed_values as fixed
 from tidemark.session import inline_table
 from tidemark.sources import sinks
@@ -95,14 +95,14 @@ COLUMN_RULES = (
 )
 
 
-def validate(tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+def validate(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = RULES) -> tuple[DataFrame, DataFrame]:
     """Rule results and scorecard."""
-    results = contracts.evaluate(tables, RULES)
+    results = contracts.evaluate(tables, rules)
     return results, contracts.scorecard(results)
 
 
-def lineage(spark: SparkSession) -> DataFrame:
-    return catalog.lineage_edges(spark, FLOWS)
+def lineage(spark: SparkSession, flows: Sequence[Mapping] = FLOWS) -> DataFrame:
+    return catalog.lineage_edges(spark, flows)
 
 
 def column_rules(spark: SparkSession) -> DataFrame:
@@ -110,32 +110,41 @@ def column_rules(spark: SparkSession) -> DataFrame:
     return inline_table(spark, {n: [r[i] for r in COLUMN_RULES] for i, n in enumerate(names)})
 
 
-def table_metadata(spark: SparkSession) -> DataFrame:
+def table_metadata(
+    spark: SparkSession,
+    descriptions: Mapping[str, str] = fixed.TABLE_DESCRIPTIONS,
+    foreign_keys: Sequence[tuple[str, str, str, str]] = fixed.FOREIGN_KEYS,
+) -> DataFrame:
     """One row per described table and foreign key."""
     rows = []
-    for table, description in fixed.TABLE_DESCRIPTIONS.items():
-        keys = [f"{c} -> {parent}.{p}" for t, c, parent, p in fixed.FOREIGN_KEYS if t == table]
+    for table, description in descriptions.items():
+        keys = [f"{c} -> {parent}.{p}" for t, c, parent, p in foreign_keys if t == table]
         rows += [(table, description, k) for k in keys or [None]]
     names = ("table_name", "description", "foreign_key")
     return inline_table(spark, {n: [r[i] for r in rows] for i, n in enumerate(names)})
 
 
-def build_catalog(spark: SparkSession, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def build_catalog(
+    spark: SparkSession, tables: Mapping[str, DataFrame], flows: Sequence[Mapping] = FLOWS
+) -> dict[str, DataFrame]:
     return {
         "column_profiles": catalog.profile_tables(tables),
-        "lineage_edges": lineage(spark),
+        "lineage_edges": lineage(spark, flows),
         "column_rules": column_rules(spark),
         "table_metadata": table_metadata(spark),
     }
 
 
-def publish(spark: SparkSession, tables: Mapping[str, DataFrame], out: str, fmt: str = "parquet") -> DataFrame:
+def publish(
+    spark: SparkSession, tables: Mapping[str, DataFrame], out: str, fmt: str = "parquet",
+    rules: Sequence[Rule] = RULES, flows: Sequence[Mapping] = FLOWS,
+) -> DataFrame:
     """Write the report, then the tables and the catalog, unless a rule failed."""
-    results, _ = validate(tables)
+    results, _ = validate(tables, rules)
     sinks.write_report(results, f"{out}/data_quality_report")
     report = spark.read.schema(results.schema).json(f"{out}/data_quality_report")
     contracts.enforce(report)
     sinks.write_bundle(tables, out, fmt)
-    for name, df in build_catalog(spark, tables).items():
+    for name, df in build_catalog(spark, tables, flows).items():
         sinks.write_report(df, f"{out}/catalog/{name}")
     return contracts.scorecard(report)

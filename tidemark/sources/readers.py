@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from urllib.parse import unquote
 
@@ -65,12 +66,18 @@ def read_csv_folder(
 ) -> DataFrame:
     """All CSV files of a folder but known outputs, as text columns.
 
-    Files with one header are scanned together; differing headers are united by name, and
-    columns a file lacks are null. No file raises ``FileNotFoundError``.
+    ``folder`` may end in ``/*``, so that tables which Spark wrote, folders of files, are read or
+    skipped by the names of their folders. Files with one header are scanned together; differing
+    headers are united by name, and columns a file lacks are null. No file raises
+    ``FileNotFoundError``.
     """
+    base = re.sub(r"^\w+:/+", "/", folder).split("*")[0].rstrip("/")
+
     def keep(path: str) -> bool:
-        name = path.rsplit("/", 1)[-1]
-        return not name.startswith(tuple(skip_prefixes)) and not name.endswith(tuple(skip_suffixes))
+        below = unquote(path).partition(f"{base}/")[2] or path.rsplit("/", 1)[-1]
+        return not any(
+            name.startswith(tuple(skip_prefixes)) or name.endswith(tuple(skip_suffixes)) for name in below.split("/")
+        )
 
     paths = [p for p in _listed(spark, folder, "*.csv") if keep(p)]
     if not paths:
@@ -156,12 +163,13 @@ def read_json_lines(spark: SparkSession, path: str, columns: Sequence[str], orde
 
 
 def read_keyed_json(
-    spark: SparkSession, path: str, key: str, schema: T.StructType | str
+    spark: SparkSession, path: str, key: str, schema: T.StructType | str, lines: bool = False
 ) -> DataFrame:
-    """An object of objects, ``{key: {attributes}}``: one row per key."""
+    """An object of objects, ``{key: {attributes}}``: one row per key. A file is one object, or with
+    ``lines`` each of its lines is one, so that a large file is read by many tasks."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    whole = spark.read.text(path, wholetext=True)
+    whole = spark.read.text(path, wholetext=not lines)
     parsed = F.from_json("value", T.MapType(T.StringType(), schema))
     return whole.select(F.explode(parsed).alias(key, "_v")).select(key, "_v.*")
 

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
-    """Overwrite a table; CSV gets a header."""
+    """Overwrite a table; CSV gets a header, and keeps white space around values."""
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.options(header=True, escape='"')
+        writer = writer.options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
