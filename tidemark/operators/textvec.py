@@ -7,6 +7,7 @@ plain column expression: no explode, no join and no shuffle.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -66,34 +67,47 @@ class Vocabulary:
         if not self.terms:
             return F.array().cast("array<struct<i:int,w:double>>")
         hits = F.filter(tokens(col), lambda t: t.isin(list(self.terms)))
-        # terms hold no white space, so that one literal carries them all
-        terms = F.split(F.lit(" ".join(self.terms)), " ")
-        idf = vectors.literal(self.idf)
+        # The terms by a hash of theirs, so that a look-up reads a short slice. Each literal is
+        # one text that the optimizer folds; terms hold no white space.
+        size = len(self.terms)
+        hashes = [zlib.crc32(term.encode()) % size for term in self.terms]
+        order = sorted(range(size), key=hashes.__getitem__)
+        firsts = [sum(h < bucket for h in hashes) for bucket in range(size + 1)]
+        terms = F.split(F.lit(" ".join(self.terms[i] for i in order)), " ")
+        places, starts = (
+            F.split(F.lit(" ".join(map(str, numbers))), " ").cast("array<int>") for numbers in (order, firsts)
+        )
+        idf = vectors.literal([self.idf[i] for i in order])
+
+        def weigh(run: Column) -> Column:
+            bucket = (F.crc32(F.encode(run["t"], "UTF-8")) % size).cast("int")
+
+            def in_bucket(at: Column) -> Column:
+                first = F.get(starts, at)
+                found = F.array_position(F.slice(terms, first + 1, F.get(starts, at + 1) - first), run["t"])
+                return (first + found - 1).cast("int")
 
-        def weigh(term: Column, all_hits: Column) -> Column:
-            count = F.size(F.filter(all_hits, lambda h: h == term)).cast("double")
             return let(
-                F.array_position(terms, term).cast("int"),
-                lambda at: F.struct((at - 1).alias("i"), (count * F.element_at(idf, at)).alias("w")),
+                let(bucket, in_bucket),
+                lambda at: F.struct(F.get(places, at).alias("i"), (run["n"] * F.get(idf, at)).alias("w")),
             )
 
-        return let(
-            let(hits, lambda h: F.transform(F.array_distinct(h), lambda term: weigh(term, h))),
-            _normalised,
-        )
+        return let(let(F.sort_array(hits), lambda h: F.transform(_runs(h), weigh)), _normalised)
 
     def dense(self, sparse: Column) -> Column:
         """The vector with all its dimensions."""
-        zeros = F.array_repeat(F.lit(0.0), len(self.terms))
-        return F.aggregate(
-            F.array_sort(sparse),
-            F.struct(F.array().cast("array<double>").alias("v"), F.lit(0).alias("next")),
-            lambda acc, x: F.struct(
-                F.concat(acc["v"], F.slice(zeros, 1, x["i"] - acc["next"]), F.array(x["w"])).alias("v"),
-                (x["i"] + 1).alias("next"),
-            ),
-            lambda acc: F.concat(acc["v"], F.slice(zeros, 1, F.lit(len(self.terms)) - acc["next"])),
-        )
+        size = len(self.terms)
+        zeros = F.array_repeat(F.lit(0.0), size)
+
+        def filled(sorted_: Column) -> Column:
+            def part(x: Column, at: Column) -> Column:
+                first = F.coalesce(F.get(sorted_, at - 1)["i"] + 1, F.lit(0))
+                return F.concat(F.slice(zeros, 1, x["i"] - first), F.array(x["w"]))
+
+            rest = F.lit(size) - F.coalesce(F.get(sorted_, F.size(sorted_) - 1)["i"] + 1, F.lit(0))
+            return F.concat(F.flatten(F.transform(sorted_, part)), F.slice(zeros, 1, rest))
+
+        return let(F.sort_array(sparse), filled)
 
     def embed(self, spark: SparkSession, text: str) -> list[float]:
         """The dense vector of one query text."""
@@ -101,6 +115,22 @@ class Vocabulary:
         return list(row.v)
 
 
+def _runs(words: Column) -> Column:
+    """The distinct words of a sorted array and how often each is there, in one pass."""
+    starts = F.array_compact(
+        F.transform(words, lambda w, at: F.when(~w.eqNullSafe(F.get(words, at - 1)), at))
+    )
+    return let(
+        starts,
+        lambda s: F.transform(
+            s,
+            lambda at, j: F.struct(
+                F.get(words, at).alias("t"), (F.coalesce(F.get(s, j + 1), F.size(words)) - at).cast("double").alias("n")
+            ),
+        ),
+    )
+
+
 def _normalised(weights: Column) -> Column:
     squares = F.aggregate(weights, F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"])
     return let(
