@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, values
-from tidemark.operators import analytics, audit, catalog, compare, contracts, filters, mapping, ordered, rows, star
+from tidemark.operators import analytics, audit, catalog, compare, contracts, filters, joins, mapping, ordered, rows, star
 from tidemark.session import durable
 
 
@@ -175,6 +175,80 @@ def test_profiles(spark):
     assert catalog.profile_columns(df.limit(0), "t").count() == 0
 
 
+def test_profile_of_many_parts_keeps_whole_texts(spark):
+    rng = random.Random(5)
+    data = [(rng.choice(["x" * 5000 + c for c in "dacb"] + [None, ""]), rng.randint(0, 400)) for _ in range(4000)]
+    df = spark.createDataFrame(data, "s STRING, n INT").repartition(9)
+    got = {r.column_name: r for r in catalog.profile_columns(df, "t").collect()}
+    for i, name in enumerate("sn"):
+        known = {str(row[i]) for row in data if row[i] is not None}
+        assert got[name].distinct_count == len(known)
+        assert got[name].null_count == sum(row[i] is None for row in data)
+        assert got[name].sample_values == sorted(known)[:3]
+    counted = plan(catalog.profile_columns(df, "t"))
+    exchanges = [line for line in counted.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("s#" in line.split("hashpartitioning", 1)[1].split(",")[0] for line in exchanges)
+
+
+@pytest.mark.parametrize("few", [200, 4096])
+def test_tile_ends_by_selection(spark, few):
+    rng = random.Random(few)
+    data = [(rng.choice([0, 0, 0, 7, None, rng.randint(-9, 999)]), rng.random(), f"k{i}") for i in range(2500)]
+    df = durable(spark.createDataFrame(data, "a INT, b DOUBLE, k STRING").repartition(6))
+    orders = {"x": ["a", "k"], "y": ["b", "k"]}
+    ends = ordered.tile_ends(df, orders, 4, few)
+    smallest = float("-inf")
+    for name, place in (("x", 0), ("y", 1)):
+        want = sorted(data, key=lambda r: (smallest if r[place] is None else r[place], r[2]))
+        assert [e.k for e in ends[name]] == [want[i][2] for i in (624, 1249, 1874)]
+        tiled = df.select("k", ordered.tile_in(df, orders[name], ends[name]).alias("t"))
+        assert dict(values(tiled)) == {r[2]: 1 + i // 625 for i, r in enumerate(want)}
+
+
+def test_tile_ends_of_equal_and_of_few_rows(spark):
+    same = spark.createDataFrame([(1, "a")] * 900 + [(2, "b")] * 3, "v INT, k STRING")
+    assert ordered.tile_ends(same, {"o": ["v", "k"]}, 3, few=10) == {"o": [(1, "a"), (1, "a")]}
+    assert ordered.tile_ends(same.limit(0), {"o": ["v", "k"]}, 4) == {"o": []}
+    one = spark.createDataFrame([(5, "z")], "v INT, k STRING")
+    ends = ordered.tile_ends(one, {"o": ["v", "k"]}, 4)["o"]
+    assert values(one.select(ordered.tile_in(one, ["v", "k"], ends))) == [(1,)]
+
+
+def test_rfm_scores_equal_ntile_and_sort_nothing(spark):
+    rng = random.Random(2)
+    data = [(f"c{i}", rng.randint(0, 30), rng.randint(1, 4), rng.random()) for i in range(997)]
+    names = "customer STRING, recency_days LONG, frequency_orders_count LONG, monetary_total_spend DOUBLE"
+    metrics = durable(spark.createDataFrame(data, names).repartition(5))
+    metrics.createOrReplaceTempView("metrics")
+    want = spark.sql(
+        """SELECT customer, 5 - ntile(4) OVER (ORDER BY recency_days, customer),
+                  ntile(4) OVER (ORDER BY frequency_orders_count, customer),
+                  ntile(4) OVER (ORDER BY monetary_total_spend, customer) FROM metrics"""
+    )
+    got = analytics.rfm_scores(metrics, "customer")
+    assert values(got, "customer", "r_score", "f_score", "m_score") == values(want)
+    assert "Exchange" not in plan(got) and "Sort" not in plan(got)
+
+
+def test_skewed_join_spreads_hot_keys_only(spark):
+    rng = random.Random(4)
+    data = [(1, i) for i in range(4000)] + [(None, i) for i in range(3000)]
+    data += [(rng.randint(2, 3000), i) for i in range(6000)]
+    big = spark.createDataFrame(data, "k INT, i INT").repartition(4)
+    # another type of key than the big side has
+    small = spark.range(0, 2500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    want = [(k, i, None if k is None or k >= 2500 else 2 * k) for k, i in data]
+    assert values(joins.skewed_join(big, small, ["k"]), "k", "i", "v") == sorted(want, key=repr)
+    inner = joins.skewed_join(big, small, ["k"], "inner")
+    assert values(inner, "k", "i", "v") == sorted((w for w in want if w[2] is not None), key=repr)
+    assert joins.hot_keys(big, F.col("k").cast("long")) == [1]
+    even = big.filter("k > 1")
+    assert joins.hot_keys(even, F.col("k").cast("long")) == []
+    assert "sequence" not in plan(joins.skewed_join(even, small, ["k"]))
+    assert joins.skewed_join(big.limit(0), small, ["k"]).count() == 0
+    assert joins.skewed_join(big, small.limit(0), ["k"]).filter("v IS NULL").count() == len(data)
+
+
 def test_reachable_ends_on_cycles(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "c")], "source STRING, target STRING")
     assert values(catalog.reachable(edges, ["a"])) == [("b", 1), ("c", 2)]

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.numbers import round_away, round_even
-from tidemark.operators.ordered import grouped_median, number_rows, tile_of
+from tidemark.operators.ordered import grouped_median, tile_ends, tile_in
+from tidemark.session import durable
 
 
 def order_totals(
@@ -177,35 +178,46 @@ def rfm_metrics(
     amount: str,
     snapshot: dt.date | None = None,
 ) -> DataFrame:
-    """Recency in days, number of orders and total spend per customer.
+    """Recency in days, number of orders and total spend per customer, as a written table.
 
-    The snapshot defaults to the day after the last order (one value, fetched here).
+    The snapshot defaults to the day after the last order (one value, fetched here). The orders
+    are read once.
     """
+    spent = orders.groupBy(customer).agg(
+        F.max(F.col(date).cast("date")).alias("_last"),
+        F.count_distinct(order_id).alias("frequency_orders_count"),
+        F.sum(amount).alias("monetary_total_spend"),
+    )
+    spent = durable(spent, "spent")
     if snapshot is None:
-        last = orders.agg(F.max(F.col(date).cast("date"))).first()[0]
+        last = spent.agg(F.max("_last")).first()[0]
         snapshot = (last or dt.date(1970, 1, 1)) + dt.timedelta(days=1)
-    return (
-        orders.filter(F.col(customer).isNotNull())
-        .groupBy(customer)
-        .agg(
-            F.datediff(F.lit(snapshot), F.max(F.col(date).cast("date"))).cast("long").alias("recency_days"),
-            F.count_distinct(order_id).alias("frequency_orders_count"),
-            F.sum(amount).alias("monetary_total_spend"),
-        )
+    return spent.filter(F.col(customer).isNotNull()).select(
+        customer,
+        F.datediff(F.lit(snapshot), "_last").cast("long").alias("recency_days"),
+        "frequency_orders_count",
+        "monetary_total_spend",
     )
 
 
 def rfm_scores(metrics: DataFrame, customer: str, tiles: int = 4) -> DataFrame:
-    """Quartile scores by cluster-wide rank, ties by customer."""
+    """Quartile scores by cluster-wide rank, ties by customer.
+
+    ``metrics`` has one row per customer and is read several times, so it should be a written
+    table. It is neither sorted nor shuffled: the last row of each quartile is found by
+    selection, and every row is compared with these.
+    """
+    scores = {
+        "r_score": ("recency_days", True),
+        "f_score": ("frequency_orders_count", False),
+        "m_score": ("monetary_total_spend", False),
+    }
+    orders = {score: [column, customer] for score, (column, _) in scores.items()}
+    ends = tile_ends(metrics, orders, tiles)
     out = metrics
-    for column, score, invert in (
-        ("recency_days", "r_score", True),
-        ("frequency_orders_count", "f_score", False),
-        ("monetary_total_spend", "m_score", False),
-    ):
-        out, total = number_rows(out, [column, customer], "_rank")
-        tile = tile_of(F.col("_rank"), total, tiles)
-        out = out.withColumn(score, F.lit(tiles + 1) - tile if invert else tile).drop("_rank")
+    for score, (_, invert) in scores.items():
+        tile = tile_in(metrics, orders[score], ends[score])
+        out = out.withColumn(score, F.lit(tiles + 1) - tile if invert else tile)
     combined = F.col("r_score") * 100 + F.col("f_score") * 10 + F.col("m_score")
     return out.withColumn("rfm_combined_score", combined)
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,26 +22,55 @@ def _as_text(field: T.StructField) -> Column:
     return F.to_json(col) if isinstance(field.dataType, _NESTED) else col.cast("string")
 
 
+def _smallest_texts(df: DataFrame, k: int) -> DataFrame:
+    """The ``k`` smallest different values of each column: ``i``, ``sample_values``. A task keeps
+    ``k`` values of a column and compares each batch with the largest of them."""
+    texts = df.select(*[_as_text(f).alias(f"c{i}") for i, f in enumerate(df.schema.fields)])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, pa.Array] = {}
+        for batch in batches:
+            for i, column in enumerate(batch.columns):
+                values = column.cast(pa.string()).drop_null()
+                best = kept.get(i, values[:0])
+                if len(best) == k:
+                    values = values.filter(pc.less(values, best[k - 1]))
+                if len(values):
+                    found = pa.concat_arrays([best, values]).unique()
+                    kept[i] = found.take(pc.array_sort_indices(found)[:k])
+        places = [pa.array([i] * len(best), pa.int32()) for i, best in kept.items()]
+        if places:
+            columns = [pa.concat_arrays(places), pa.concat_arrays(kept.values())]
+            yield pa.RecordBatch.from_arrays(columns, ["i", "v"])
+
+    found = texts.mapInArrow(keep, "i int, v string").distinct()
+    smallest = top_per_group(found, ["i"], [F.col("v")], k)
+    return smallest.groupBy("i").agg(F.sort_array(F.collect_list("v")).alias("sample_values"))
+
+
 def profile_columns(df: DataFrame, table: str, samples: int = 3) -> DataFrame:
     """One row per column: type, nulls, distinct values, the smallest sample values (as
     text) and the table's size. An empty table gives no rows.
 
-    Values are counted per column map-side, so the shuffle carries distinct values and a
-    hot value is one row.
+    Values are counted by a hash of 128 bits, map-side first, so no text is shuffled or written
+    and a hot value is one row; distinct counts are exact but for collisions. ``df`` is read
+    twice, for the counts and for the samples.
     """
     fields = df.schema.fields
-    cells = F.explode(
-        F.array(*[F.struct(F.lit(i).alias("i"), _as_text(f).alias("v")) for i, f in enumerate(fields)])
-    )
-    counts = df.select(cells.alias("c")).groupBy("c.i", "c.v").agg(F.count("*").alias("n"))
-    counts = durable(counts, "profile")
+
+    def cell(i: int, field: T.StructField) -> Column:
+        text = _as_text(field)
+        hashes = [F.when(text.isNotNull(), F.xxhash64(F.lit(seed), text)) for seed in (1, 2)]
+        return F.struct(F.lit(i).alias("i"), hashes[0].alias("a"), hashes[1].alias("b"))
+
+    cells = F.explode(F.array(*[cell(i, f) for i, f in enumerate(fields)])).alias("c")
+    counts = df.select(cells).groupBy("c.i", "c.a", "c.b").agg(F.count("*").alias("n"))
     totals = counts.groupBy("i").agg(
         F.sum("n").alias("row_count"),
-        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-        F.count("v").alias("distinct_count"),
+        F.coalesce(F.sum(F.when(F.col("a").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+        F.count("a").alias("distinct_count"),
     )
-    smallest = top_per_group(counts.filter("v IS NOT NULL"), ["i"], [F.col("v")], samples)
-    sampled = smallest.groupBy("i").agg(F.sort_array(F.collect_list("v")).alias("sample_values"))
+    sampled = _smallest_texts(df, samples)
     types = inline_table(
         df.sparkSession,
         {

@@ -17,7 +17,7 @@ from tidemark.functions.dates import date_parts_or, iso_timestamp, parse_date
 from tidemark.functions.events import failure_reason, operation
 from tidemark.functions.numbers import to_double
 from tidemark.functions.text import label, strip, word_count
-from tidemark.operators.joins import salted_join
+from tidemark.operators.joins import skewed_join
 from tidemark.operators.mapping import look_up
 from tidemark.operators.ordered import dense_sequence
 from tidemark.operators.rows import last_per_key
@@ -147,12 +147,12 @@ def apply_events(
         raise ValueError(f"insert must be 'upsert' or 'append', not {insert!r}")
 
     place = F.struct(*order)
-    # one row per key; the events of a hot key are salted for the join
+    # one row per key; the events of a hot key are spread for the join
     resets = (
         events.filter(F.col("op").isin("U", "D")).groupBy(key).agg(F.max(place).alias("_reset"))
     )
     kept = (
-        salted_join(events.filter(F.col("op") != "D"), resets, [key])
+        skewed_join(events.filter(F.col("op") != "D"), resets, [key])
         .filter(F.col("_reset").isNull() | (place >= F.col("_reset")))
         .drop("_reset")
     )

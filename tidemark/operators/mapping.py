@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import salted_join
+from tidemark.operators.joins import skewed_join
 
 # Mappings up to this many entries become a literal in the projection; longer ones are
 # joined as a table.
@@ -30,8 +30,8 @@ def map_values(
 ) -> DataFrame:
     """Replace the values of ``column`` by a dictionary or a two-column table.
 
-    A table is joined; whether it is broadcast is left to Spark's own size check, and a
-    hot value is salted for where it is not.
+    A table is joined; whether it is broadcast is left to Spark's own size check, and the rows
+    of hot values are spread where it is not.
     """
     output = output or column
     if isinstance(mapping, Mapping):
@@ -44,7 +44,7 @@ def map_values(
         )
     raw, canonical = mapping.columns[:2]
     table = mapping.groupBy(F.col(raw).alias("_raw")).agg(F.min(canonical).alias("_canonical"))
-    joined = salted_join(df.withColumn("_raw", F.col(column)), table, ["_raw"])
+    joined = skewed_join(df.withColumn("_raw", F.col(column)), table, ["_raw"])
     return joined.withColumn(output, F.coalesce("_canonical", F.col(column))).drop(
         "_raw", "_canonical"
     )
@@ -58,7 +58,7 @@ def flag_members(
     if not isinstance(members, DataFrame):
         return df.withColumn(output, F.coalesce(F.col(column).isin(list(members)), F.lit(False)))
     keys = members.select(F.col(members.columns[0]).alias("_member")).distinct()
-    joined = salted_join(
+    joined = skewed_join(
         df.withColumn("_member", F.col(column)), keys.withColumn("_found", F.lit(True)), ["_member"]
     )
     return joined.withColumn(output, F.col("_found").isNotNull()).drop("_member", "_found")

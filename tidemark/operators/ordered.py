@@ -7,21 +7,23 @@ per slice) are added.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.operators.joins import salted_join
+from tidemark.operators.joins import skewed_join
 from tidemark.session import durable, inline_table
 
 # monotonically_increasing_id keeps the partition in the upper bits and the row's place
 # within the partition in the lower 33
 _PLACE_BITS = 33
 
+FEW = 4096  # rows that one aggregate holds to find a rank
+
 
 def number_rows(
     df: DataFrame,
@@ -90,6 +92,118 @@ def tile_of(rank: Column, total: int, tiles: int) -> Column:
     return F.when(rank <= head, big).otherwise(small).cast("long")
 
 
+def tile_ends(
+    df: DataFrame, orders: Mapping[str, Sequence[str]], tiles: int, few: int = FEW
+) -> dict[str, list[Row]]:
+    """For each named order, the last row (its order columns) of every tile but the last one.
+
+    Nothing is sorted or shuffled. Each end is a rank to be found between two bounds that close
+    in on it. A round samples some ``few`` rows between the bounds, reads two of them off that
+    lie a little below and above the rank, and counts the rows below each; about one in 16 rows
+    is left. When no more than ``few`` are, they are ordered as a whole. A task sends counts and
+    some ``few`` rows for each end, however many rows there are.
+
+    ``df`` is read twice in each round: hand in a written table. Rows that are equal in an order
+    have one rank or another of theirs, and any number of them may be equal.
+    """
+    total = df.count()
+    size, extra = divmod(total, tiles)
+    ends = {
+        name: [_End(df, list(columns), j * size + min(j, extra), total) for j in range(1, tiles)]
+        for name, columns in orders.items()
+    }
+    every = [e for group in ends.values() for e in group]
+    if not total or not every:
+        return {name: [] for name in orders}
+    seed = 0
+    while wide := [e for e in every if e.row is None and e.left > few]:
+        seed += 1
+        drawn = df.withColumn(_DRAW, F.rand(seed))
+        picks = drawn.agg(*[e.picks(few).alias(str(i)) for i, e in enumerate(wide)]).first()
+        tried = [(e, row) for e, pair in zip(wide, picks) for row in pair if row is not None]
+        if tried:
+            counts = df.agg(*[c for i, (e, row) in enumerate(tried) for c in e.counts(row, i)]).first()
+            for i, (e, row) in enumerate(tried):
+                e.close_in(row, counts[f"below{i}"], counts[f"upto{i}"])
+    if left := [e for e in every if e.row is None]:
+        found = df.agg(*[e.found().alias(str(i)) for i, e in enumerate(left)]).first()
+        for e, row in zip(left, found):
+            e.row = row
+    return {name: [e.row for e in group] for name, group in ends.items()}
+
+
+_DRAW = "_draw"
+
+
+class _End:
+    """The row of one rank. It lies between ``low`` and ``high``, both excluded; ``before`` rows
+    are not above ``low``, and ``left`` are between the two."""
+
+    def __init__(self, df: DataFrame, columns: list[str], rank: int, total: int):
+        self.df, self.columns, self.rank = df, columns, rank
+        self.place = F.struct(*columns)
+        self.low = self.high = self.row = None
+        self.before, self.left = 0, total
+
+    def _value(self, row: Row) -> Column:
+        return order_literal(self.df, self.columns, row)
+
+    def _inside(self) -> Column:
+        inside = F.lit(True)
+        if self.low is not None:
+            inside = inside & (self.place > self._value(self.low))
+        if self.high is not None:
+            inside = inside & (self.place < self._value(self.high))
+        return inside
+
+    def picks(self, few: int) -> Column:
+        """A row a little below the rank and one a little above, from a sample."""
+        chosen = self._inside() & (F.col(_DRAW) < few / self.left)
+        # equal rows once: there may be many of them
+        rows = F.sort_array(F.collect_set(F.when(chosen, self.place)))
+        share = (self.rank - self.before) / self.left
+
+        def two(rows: Column) -> Column:
+            # within the sample: any row of it that is counted leaves less to look at
+            apart = 2 * F.sqrt(F.size(rows)) + 1
+            low = F.greatest(F.lit(0), F.floor(F.size(rows) * share - apart).cast("int"))
+            high = F.least(F.size(rows) - 1, F.ceil(F.size(rows) * share + apart).cast("int"))
+            return F.struct(F.get(rows, low).alias("a"), F.get(rows, high).alias("b"))
+
+        return F.get(F.transform(F.array(rows), two), F.lit(0))
+
+    def counts(self, row: Row, i: int) -> list[Column]:
+        below, upto = self.place < self._value(row), self.place <= self._value(row)
+        return [F.count_if(below).alias(f"below{i}"), F.count_if(upto).alias(f"upto{i}")]
+
+    def close_in(self, row: Row, below: int, upto: int) -> None:
+        """Keep the side of ``row`` that holds the rank."""
+        end = self.before + self.left
+        if below < self.rank <= upto:
+            self.row = row
+        elif upto < self.rank and upto > self.before:
+            self.low, self.before = row, upto
+        elif below >= self.rank and below < end:
+            self.high, end = row, below
+        self.left = end - self.before
+
+    def found(self) -> Column:
+        rows = F.sort_array(F.collect_list(F.when(self._inside(), self.place)))
+        return F.get(rows, F.lit(self.rank - self.before - 1))
+
+
+def order_literal(df: DataFrame, columns: Sequence[str], row: Row) -> Column:
+    """A row of order columns as a literal."""
+    return F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(columns, row)])
+
+
+def tile_in(df: DataFrame, columns: Sequence[str], ends: Sequence[Row]) -> Column:
+    """The 1-based tile of each row, from the last rows of the tiles."""
+    place = F.struct(*columns)
+    beyond = [(place > order_literal(df, columns, end)).cast("long") for end in ends]
+    return sum(beyond, F.lit(1).cast("long"))
+
+
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Exact median per group; null values and null keys do not count.
 
@@ -122,7 +236,7 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, name: str) ->
         return ((place >= F.col("_upto") - F.col("_n")) & (place < F.col("_upto"))).cast("int")
 
     times = holds((F.col("_all") - 1) / 2) + holds(F.col("_all") / 2)
-    middle = salted_join(running, groups, keys, "inner").withColumn("_times", times)
+    middle = skewed_join(running, groups, keys, "inner").withColumn("_times", times)
     return (
         middle.filter("_times > 0")
         .groupBy(*keys)
