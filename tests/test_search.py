@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan, values
 from tidemark.operators import similarity, textvec
+from tidemark.session import durable
 
 
 def brute_force(data, k):
@@ -121,3 +122,27 @@ def test_hybrid(spark):
     got = similarity.hybrid_search(df, "id", score, equals={"g": "x"}, at_least={"id": None})
     assert [(r.id, r.similarity_score) for r in got.collect()] == [(1, 1.0), (3, 0.0)]
     assert [r.id for r in similarity.hybrid_search(df, "id", None, at_most={"id": 2}).collect()] == [1, 2]
+
+
+def test_approximate_neighbours(spark):
+    data = clustered(3, 500) + [(9000 + i, [1.0] * 8) for i in range(250)]  # a third has one vector
+    data += [(9900, [0.0] * 8), (9901, None), (9902, [None] * 8)]
+    df = spark.createDataFrame(data, "id BIGINT, v ARRAY<DOUBLE>").repartition(5)
+    found = durable(similarity.nearest_approximate(df, "id", "v", 3, tables=6, block=64))
+    assert similarity.recall(found, similarity.nearest_neighbours(df.filter("id < 9900"), "id", "v", 3), "id").first().recall >= 0.9
+    rows = found.collect()
+    assert len(rows) == 3 * 750 and all(r.vec_rank in (1, 2, 3) for r in found.selectExpr("rank AS vec_rank").collect())
+    vector = {i: np.array(v) for i, v in data if i < 9900}
+    for r in rows:
+        a, b = vector[r.id], vector[r.neighbour]
+        assert r.id != r.neighbour and abs(a @ b / np.linalg.norm(a) / np.linalg.norm(b) - r.score) < 1e-9
+
+
+def test_approximate_neighbours_of_few_rows(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0])], "id BIGINT, v ARRAY<DOUBLE>")
+    got = similarity.nearest_approximate(df, "id", "v", 3)
+    assert values(got, "id", "rank", "neighbour") == [(1, 1, 2), (2, 1, 1)]
+    assert similarity.nearest_approximate(df.limit(1), "id", "v", 3).count() == 0
+    none = similarity.nearest_approximate(df.limit(0), "id", "v", 3)
+    assert none.count() == 0
+    assert tuple(similarity.recall(none, none, "id").first()) == (0, 0, None)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import vectors
 from tidemark.functions.numbers import round_even
 from tidemark.operators.filters import filter_given
+from tidemark.operators.ordered import number_rows
 from tidemark.operators.rows import top_per_group
 from tidemark.session import durable
 
@@ -219,6 +220,90 @@ def _unit_hits(
     )
 
 
+def nearest_approximate(
+    df: DataFrame,
+    key: str,
+    vector: str,
+    k: int = 3,
+    tables: int = 8,
+    block: int = 256,
+    seed: int = 7,
+    digits: int = 10,
+) -> DataFrame:
+    """Approximately the ``k`` most similar other rows of every row, in work that grows with the
+    rows: ``(key, rank, neighbour, score)``. Scores are right; a neighbour may be missed, and a
+    lesser one stand in its place. ``recall`` tells how many are found.
+
+    Each of the ``tables`` gives a vector a code, the signs of its products with random directions,
+    and sorts the vectors by it, so similar ones come to lie together. The sorted rows are cut into
+    blocks twice, the second time half a block later, and rows that share a block are compared.
+    So a row meets at most ``2 * tables * block`` others, also where a third of the rows have one
+    code or one vector. More tables or longer blocks find more. Vectors that are null, have a null
+    component or have no length take no part.
+    """
+    rows = df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    rows = rows.withColumn("n", vectors.norm(F.col("v"))).filter("n > 0")
+    unit = durable(rows.select("id", F.transform("v", lambda x: x / F.col("n")).alias("u")), "units")
+    id_type = unit.schema["id"].dataType.simpleString()
+    first = unit.select(F.size("u")).first()
+    width = first[0] if first else 1
+    directions = np.random.default_rng(seed).standard_normal((tables, width, _CODE_BITS))
+    weights = 1 << np.arange(_CODE_BITS - 1, -1, -1, dtype="int64")
+
+    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                units = np.stack(pdf["u"].to_numpy())
+                for t, table in enumerate(directions):
+                    codes = (units @ table > 0) @ weights
+                    yield pd.DataFrame({"t": np.int32(t), "code": codes, "id": pdf["id"], "u": pdf["u"]})
+
+    coded = unit.mapInPandas(code, f"t int, code long, id {id_type}, u array<double>")
+    placed, _ = number_rows(coded, ["t", "code", "id"], "place", 0, unique=False)
+    cuts = [F.struct(F.lit(c).alias("cut"), F.floor((F.col("place") + c * block // 2) / block).alias("at")) for c in (0, 1)]
+    dealt = placed.select("t", "id", "u", F.explode(F.array(*cuts)).alias("b")).select("t", "id", "u", "b.*")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        units, ids = np.stack(pdf["u"].to_numpy()), pdf["id"].to_numpy()
+        if len(ids) < 2:
+            return pd.DataFrame({"id": ids[:0], "neighbour": ids[:0], "score": np.zeros(0)})
+        scores = np.round(units @ units.T, digits)
+        np.fill_diagonal(scores, -np.inf)
+        best = _best_columns(scores, min(k, len(ids) - 1))
+        return pd.DataFrame(
+            {
+                "id": np.repeat(ids, best.shape[1]),
+                "neighbour": ids[best.ravel()],
+                "score": np.take_along_axis(scores, best, 1).ravel(),
+            }
+        )
+
+    several = dealt.groupBy("t", "cut", "at").applyInPandas(
+        compare, f"id {id_type}, neighbour {id_type}, score double"
+    )
+    # tables find the same pairs; their last digit may depend on the block
+    found = several.groupBy("id", "neighbour").agg(F.max("score").alias("score"))
+    best = top_per_group(found, ["id"], [F.desc("score"), F.col("neighbour")], k, "rank")
+    return best.select(F.col("id").alias(key), "rank", "neighbour", "score")
+
+
+_CODE_BITS = 30
+
+
+def recall(found: DataFrame, exact: DataFrame, key: str) -> DataFrame:
+    """One row: the neighbours ``asked`` for, those ``hit``, and ``recall``, their share. A found
+    row counts as a hit if its score is as good as that of the last exact neighbour, as equal
+    scores leave the choice open."""
+    least = exact.groupBy(key).agg(F.min("score").alias("_least"), F.count(F.lit(1)).alias("_asked"))
+    good = found.join(least, key).filter(F.col("score") >= F.col("_least") - 1e-9)
+    hits = good.groupBy(key).agg(F.count(F.lit(1)).alias("_hit"))
+    both = least.join(hits, key, "left").agg(
+        F.coalesce(F.sum("_asked"), F.lit(0)).alias("asked"), F.coalesce(F.sum("_hit"), F.lit(0)).alias("hit")
+    )
+    return both.withColumn("recall", F.try_divide(F.col("hit").cast("double"), "asked"))
+
+
 def _best_columns(scores: np.ndarray, most: int) -> np.ndarray:
     """The columns of the ``most`` highest scores of each row; equal scores go to the
     lower column, which holds the smaller key."""

@@ -131,6 +131,26 @@ def vector_neighbours(t):
     return similarity.neighbour_text(near, "vec_id")
 
 
+@query(
+    "vector_recall",
+    """SELECT CAST(3 * count(*) AS BIGINT) AS asked, TRUE AS reached, TRUE AS scores_agree FROM embeddings""",
+)
+def vector_recall(t):
+    """Approximate neighbours of all vectors next to the exact ones: nine in ten are found, and
+    the score of each is the cosine of the two vectors."""
+    found = durable(similarity.nearest_approximate(t.embeddings, "vec_id", "embedding", 3), "found")
+    exact = similarity.nearest_neighbours(t.embeddings, "vec_id", "embedding", 3)
+    one = t.embeddings.select("vec_id", F.col("embedding").alias("_a"))
+    other = t.embeddings.select(F.col("vec_id").alias("neighbour"), F.col("embedding").alias("_b"))
+    pairs = found.join(one, "vec_id").join(other, "neighbour")
+    off = F.abs(F.col("score") - vectors.cosine(F.col("_a"), F.col("_b")))
+    furthest = pairs.agg(F.max(off)).first()[0] or 0.0
+    measured = similarity.recall(found, exact, "vec_id")
+    return measured.select(
+        "asked", (F.col("recall") >= 0.9).alias("reached"), F.lit(furthest < 1e-6).alias("scores_agree")
+    )
+
+
 @query(
     "enriched_export",
     f"""WITH {weights_sql(384)},
