@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
@@ -15,7 +16,7 @@ from tidemark.functions.numbers import round_even
 from tidemark.operators.filters import filter_given
 from tidemark.operators.ordered import number_rows
 from tidemark.operators.rows import top_per_group
-from tidemark.session import durable
+from tidemark.session import durable, forget, owned, release
 
 SCORE = "similarity_score"
 
@@ -225,25 +226,84 @@ def nearest_approximate(
     key: str,
     vector: str,
     k: int = 3,
+    target: float = 0.9,
     tables: int = 8,
     block: int = 256,
     seed: int = 7,
     digits: int = 10,
 ) -> DataFrame:
-    """Approximately the ``k`` most similar other rows of every row, in work that grows with the
-    rows: ``(key, rank, neighbour, score)``. Scores are right; a neighbour may be missed, and a
-    lesser one stand in its place. ``recall`` tells how many are found.
+    """Approximately the ``k`` most similar other rows of every row: ``(key, rank, neighbour,
+    score)``. Scores are right; a neighbour may be missed, and a lesser one stand in its place.
+    ``recall`` tells how many are found; a share of ``target`` is aimed at.
 
     Each of the ``tables`` gives a vector a code, the signs of its products with random directions,
     and sorts the vectors by it, so similar ones come to lie together. The sorted rows are cut into
     blocks twice, the second time half a block later, and rows that share a block are compared.
     So a row meets at most ``2 * tables * block`` others, also where a third of the rows have one
-    code or one vector. More tables or longer blocks find more. Vectors that are null, have a null
-    component or have no length take no part.
+    code or one vector.
+
+    The share that is found is measured on ``_PROBES`` vectors, compared with all rows in one pass.
+    While it is below the target (and 0.02 for chance), a further round adds as many tables with
+    blocks of twice the length to what is found. Vectors with some structure need one round or two;
+    the number grows with the rows where there is none, and blocks that hold all rows end it.
+
+    Vectors that are null, have a null component or have no length take no part.
     """
     rows = df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.withColumn("n", vectors.norm(F.col("v"))).filter("n > 0")
     unit = durable(rows.select("id", F.transform("v", lambda x: x / F.col("n")).alias("u")), "units")
+    probes = _probe_scores(unit, k, digits)
+    best, owner = None, f"nearest-{uuid.uuid4().hex}"
+    while True:
+        with owned(owner):
+            met = _met_in_blocks(unit, k, tables, block, seed, digits)
+        if best is not None:
+            met = met.union(best.select("id", "neighbour", "score"))
+        # tables find the same pairs; their last digit may depend on the block
+        met = met.groupBy("id", "neighbour").agg(F.max("score").alias("score"))
+        before = best
+        best = durable(top_per_group(met, ["id"], [F.desc("score"), F.col("neighbour")], k, "rank"), "nearest")
+        release(df.sparkSession, owner)
+        if before is not None:
+            forget(before)
+        share = recall(best, probes, "id").first().recall
+        if share is None or share >= min(1.0, target + 0.02):
+            forget(unit)
+            return best.select(F.col("id").alias(key), "rank", "neighbour", "score")
+        block, seed = 2 * block, seed + 1
+
+
+_PROBES = 512
+
+
+def _probe_scores(unit: DataFrame, k: int, digits: int) -> DataFrame:
+    """The ``k`` best scores of ``_PROBES`` vectors against all rows: (``id``, ``score``)."""
+    probes = unit.orderBy(F.xxhash64("id"), "id").limit(_PROBES).toPandas()
+    ids = probes["id"].tolist()
+    asked = np.stack(probes["u"].to_numpy()) if ids else np.zeros((0, 1))
+    id_type = unit.schema["id"].dataType.simpleString()
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf) and ids:
+                scores = np.round(asked @ np.stack(pdf["u"].to_numpy()).T, digits)
+                # one more, as a vector meets itself
+                best = _best_columns(scores, min(k + 1, len(pdf)))
+                owner = np.repeat(np.arange(len(ids)), best.shape[1])
+                yield pd.DataFrame(
+                    {
+                        "id": [ids[o] for o in owner],
+                        "neighbour": pdf["id"].to_numpy()[best.ravel()],
+                        "score": np.take_along_axis(scores, best, 1).ravel(),
+                    }
+                )
+
+    met = unit.mapInPandas(score, f"id {id_type}, neighbour {id_type}, score double").filter("id <> neighbour")
+    return durable(top_per_group(met, ["id"], [F.desc("score"), F.col("neighbour")], k).select("id", "score"), "probes")
+
+
+def _met_in_blocks(unit: DataFrame, k: int, tables: int, block: int, seed: int, digits: int) -> DataFrame:
+    """The ``k`` best that a row meets in each block: (``id``, ``neighbour``, ``score``)."""
     id_type = unit.schema["id"].dataType.simpleString()
     first = unit.select(F.size("u")).first()
     width = first[0] if first else 1
@@ -279,13 +339,9 @@ def nearest_approximate(
             }
         )
 
-    several = dealt.groupBy("t", "cut", "at").applyInPandas(
+    return dealt.groupBy("t", "cut", "at").applyInPandas(
         compare, f"id {id_type}, neighbour {id_type}, score double"
     )
-    # tables find the same pairs; their last digit may depend on the block
-    found = several.groupBy("id", "neighbour").agg(F.max("score").alias("score"))
-    best = top_per_group(found, ["id"], [F.desc("score"), F.col("neighbour")], k, "rank")
-    return best.select(F.col("id").alias(key), "rank", "neighbour", "score")
 
 
 _CODE_BITS = 30
