@@ -70,6 +70,29 @@ def test_no_cross_join(spark):
     assert "Cartesian" not in text and "NestedLoop" not in text
 
 
+def test_matrices_are_not_shuffled(spark, monkeypatch):
+    df = spark.createDataFrame(clustered(2, 60), "id BIGINT, v ARRAY<DOUBLE>")
+    plans = {}
+
+    def watched(step, label="step", *more):
+        plans[label] = plan(step)
+        return durable(step, label, *more)
+
+    monkeypatch.setattr(similarity, "durable", watched)
+    similarity.nearest_neighbours(df, "id", "v", 3, 4, 10)
+    assert "Exchange" not in plans["hits"]
+
+
+def test_many_equal_scores(spark):
+    data = [(i, [float(i == j) for j in range(150)]) for i in range(150)]  # all at right angles
+    data += [(200 + i, [1.0, 1.0, 1.0 + i / 9] + [0.0] * 147) for i in range(30)]
+    df = spark.createDataFrame(data, "id BIGINT, v ARRAY<DOUBLE>")
+    near = {}
+    for r in similarity.nearest_neighbours(df, "id", "v", 3, 3, 100).orderBy("id", "rank").collect():
+        near.setdefault(r.id, []).append(r.neighbour)
+    assert near == brute_force(data, 3)
+
+
 DOCS = [(0, "The cat and the cat sat"), (1, "a dog sat; DOG barks"), (2, "Émile's café, 42 cats"), (3, ""), (4, None),
         (5, "cat " * 30 + "dog")]
 

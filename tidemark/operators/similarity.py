@@ -69,9 +69,11 @@ def nearest_neighbours(
     Equal vectors are searched once, whatever their number. Vectors go to the cell of
     their nearest pivot; cells are cut into blocks of about ``block`` vectors. A block of
     queries visits only the cells whose best possible score can reach its k-th best
-    guaranteed score (bounds from the angles to the pivots), and each visit hands on
-    ``k + 1`` rows per query. A task holds two blocks at a time. ``pivots`` defaults to
-    one per block, 256 at most.
+    guaranteed score (bounds from the angles to the pivots). Blocks are written once; a task
+    reads two slices of them (input splits of some 128 MB), compares two blocks at a time
+    and hands on ``k + 1`` rows per query. So what is shuffled and written grows with the
+    vectors, and only reading and comparing with their square. ``pivots`` defaults to one
+    per block, 256 at most.
     """
     rows = df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.filter(vectors.norm(F.col("v")).isNotNull())
@@ -126,7 +128,7 @@ def nearest_neighbours(
 def _unit_hits(
     unit: DataFrame, centres: np.ndarray, id_type: str, most: int, block: int, digits: int
 ) -> DataFrame:
-    """``(gid, id, score)``: per query vector and visited block, its best candidates."""
+    """``(gid, id, score)``: per query vector and visited slice of blocks, its best candidates."""
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -155,7 +157,7 @@ def _unit_hits(
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         """One row per block: members in key order, vectors end to end as one matrix, and
-        the blocks that the members have to visit as queries."""
+        the cells that the members have to visit as queries."""
         pdf = pdf.sort_values("gid")
         units = np.stack(pdf["u"].to_numpy())
         angles = _angles(units, centres[cells])
@@ -168,57 +170,128 @@ def _unit_hits(
         floor = np.where(column >= 0, np.take_along_axis(sure, at, 1)[:, 0], -1.0)
         gap = np.maximum(0, np.maximum(nearest - angles, angles - farthest))
         visit = (np.cos(gap) >= floor[:, None] - 1e-6).any(axis=0)
-        target = np.concatenate(
-            [np.arange(f, f + p) for f, p in zip(first_block[visit], parts[visit])]
-        )
         return pd.DataFrame(
             {
                 "block": [pdf["block"].iloc[0]],
+                "cell": [pdf["cell"].iloc[0]],
                 "gids": [pdf["gid"].tolist()],
-                "ids": [[list(i) for i in pdf["ids"]]],
-                "us": [units.ravel()],
-                "target": [target.astype("int32")],
+                "ids": [[i for ids in pdf["ids"] for i in ids]],
+                "copies": [[len(ids) for ids in pdf["ids"]]],
+                "us": [units.tobytes()],
+                "visit": [cells[visit].astype("int32")],
             }
         )
 
     packed_schema = (
-        f"block int, gids array<{id_type}>, ids array<array<{id_type}>>, us array<double>, target array<int>"
+        f"block int, cell int, gids array<{id_type}>, ids array<{id_type}>, copies array<int>, us binary, visit array<int>"
     )
-    blocks = placed.select("gid", "ids", "u", block_no.alias("block")).groupBy("block")
-    packed = durable(blocks.applyInPandas(pack, packed_schema), "blocks")
-    queries = packed.select(
-        F.col("block").alias("query_block"),
-        F.col("gids").alias("asking"),
-        F.col("us").alias("asked"),
-        F.explode("target").alias("block"),
+    blocks = placed.select("gid", "ids", "u", "cell", block_no.alias("block")).groupBy("block")
+    # Rows of some MB: without a limit a reader would hold a hundred of them and more at once,
+    # and of compressed files the splits would be larger in memory than they are on disk.
+    packed = durable(
+        blocks.applyInPandas(pack, packed_schema), "blocks",
+        {"parquet.block.row.count.limit": _BLOCK_ROWS, "compression": "uncompressed"},
     )
-    visits = queries.join(packed.select("block", "ids", "us"), "block")
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for asking, asked, ids, us in zip(pdf["asking"], pdf["asked"], pdf["ids"], pdf["us"]):
-            scores = np.round(asked.reshape(-1, width) @ us.reshape(-1, width).T, digits)
-            best = _best_columns(scores, most)
-            copies = np.array([len(i) for i in ids])
-            owners = np.repeat(np.arange(len(ids)), copies)
-            starts = np.cumsum(copies) - copies
-            keys = np.concatenate(list(ids))
-            # one line per query, candidate and key of the candidate
-            times = copies[best.ravel()]
-            within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            at = np.repeat(starts[best.ravel()], times) + within
-            query = np.repeat(np.repeat(np.arange(len(asking)), best.shape[1]), times)
-            found = pd.DataFrame({"query": query, "id": keys[at], "score": scores[query, owners[at]]})
-            if (copies > 1).any():
-                found = found.sort_values(["query", "score", "id"], ascending=[True, False, True])
-                found = found.groupby("query", sort=False).head(most)
-            out.append(found.assign(gid=np.asarray(asking)[found["query"]])[["gid", "id", "score"]])
-        return pd.concat(out)
-
-    # one group per visit: the memory of a task is two blocks
-    return visits.groupBy("block", "query_block").applyInPandas(
-        score, f"gid {id_type}, id {id_type}, score double"
+    forget(placed)
+    queries = packed.select(
+        F.col("block").alias("query_block"), F.col("gids").alias("asking"), F.col("us").alias("asked"), "visit"
     )
+    # A task reads two slices of the written blocks, so visits send no matrices through a shuffle.
+    others = packed.select("cell", "ids", "copies", "us").hint("shuffle_replicate_nl")
+    visits = queries.join(others, F.array_contains("visit", F.col("cell")))
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block_asks, number = None, None
+        for pdf in batches:
+            columns = (pdf[c] for c in ("query_block", "asking", "asked", "ids", "copies", "us"))
+            for query_block, asking, asked, ids, copies, us in zip(*columns):
+                if query_block != number:
+                    if block_asks is not None:
+                        yield block_asks.rows()
+                    block_asks, number = _Asking(asking, _matrix(asked, width), most, digits), query_block
+                block_asks.meet(ids, copies, _matrix(us, width))
+        if block_asks is not None:
+            yield block_asks.rows()
+
+    columns = ["query_block", "asking", "asked", "ids", "copies", "us"]
+    hits = visits.select(*columns).mapInPandas(score, f"gid {id_type}, id {id_type}, score double")
+    hits = durable(hits, "hits")
+    forget(packed)
+    return hits
+
+
+#: Blocks in a row group of the written blocks.
+_BLOCK_ROWS = 8
+#: Vectors of a block that are compared with a query one by one.
+_FEW = 64
+
+
+def _matrix(rows: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(rows, dtype="float64").reshape(-1, width)
+
+
+class _Asking:
+    """The best that a block of queries has met in a task: ``most`` keys for each query.
+
+    Scores are first worked out in single precision. Those that may reach the query's best so
+    far, by the largest error they can have, are worked out in double precision."""
+
+    def __init__(self, gids: Sequence[Any], units: np.ndarray, most: int, digits: int):
+        self.gids, self.units, self.most, self.digits = np.asarray(gids), units, most, digits
+        self.single = units.astype("float32")
+        # of a product of unit vectors, and of its rounding
+        self.error = (units.shape[1] + 4) * 2.0**-23 + 10.0**-digits
+        self.best = np.full((len(units), most), -np.inf)
+        self.found: list[pd.DataFrame] = []
+
+    def meet(self, ids: Sequence[Any], copies: Sequence[int], units: np.ndarray) -> None:
+        """Compare with another block: keys in order of their vectors, and how many each has."""
+        rough = self.single @ units.astype("float32").T
+        least = self.best[:, 0] - self.error
+        if not self.found and len(units) >= self.most:
+            least = np.partition(rough, -self.most, axis=1)[:, -self.most] - 2 * self.error
+        may = rough >= least[:, None].astype("float32") - np.float32(2.0**-23)
+        # where very many are alike the best are picked in key order
+        alike = np.flatnonzero(np.count_nonzero(may, axis=1) > _FEW)
+        may[alike] = False
+        query, column = np.nonzero(may)
+        score = np.round(np.einsum("ij,ij->i", self.units[query], units[column]), self.digits)
+        if len(alike):
+            scores = np.round(self.units[alike] @ units.T, self.digits)
+            columns = _best_columns(scores, self.most)
+            query = np.concatenate([query, np.repeat(alike, columns.shape[1])])
+            column = np.concatenate([column, columns.ravel()])
+            score = np.concatenate([score, np.take_along_axis(scores, columns, 1).ravel()])
+        reach = score >= self.best[query, 0]
+        query, column, score = query[reach], column[reach], score[reach]
+        # the best so far of each query, with those of this block
+        order = np.lexsort((column, -score, query))
+        query, column, score = query[order], column[order], score[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        first = place < self.most
+        query, column, score, place = query[first], column[first], score[first], place[first]
+        met = np.full_like(self.best, -np.inf)
+        met[query, place] = score
+        self.best = np.sort(np.concatenate([self.best, met], axis=1), axis=1)[:, -self.most :]
+        # one line per query, candidate and key of the candidate
+        copies = np.asarray(copies)
+        starts, times = np.cumsum(copies) - copies, copies[column]
+        within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        keys = np.asarray(ids)[np.repeat(starts[column], times) + within]
+        self.found.append(
+            pd.DataFrame({"query": np.repeat(query, times), "id": keys, "score": np.repeat(score, times)})
+        )
+        if sum(map(len, self.found)) > 8 * self.most * len(self.units):
+            self._reduce()
+
+    def _reduce(self) -> pd.DataFrame:
+        every = pd.concat(self.found).sort_values(["query", "score", "id"], ascending=[True, False, True])
+        self.found = [every.groupby("query", sort=False).head(self.most)]
+        return self.found[0]
+
+    def rows(self) -> pd.DataFrame:
+        found = self._reduce()
+        return found.assign(gid=self.gids[found["query"]])[["gid", "id", "score"]]
 
 
 def nearest_approximate(

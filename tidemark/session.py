@@ -69,15 +69,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_shared_root(spark)}/tidemark/{application}/{label}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame, label: str = "step") -> DataFrame:
-    """Write ``df`` as a table under the shared root and read it back.
+def durable(df: DataFrame, label: str = "step", options: Mapping[str, object] | None = None) -> DataFrame:
+    """Write ``df`` as a table under the shared root, with ``options`` of Parquet, and read it back.
 
     Cuts the lineage where a result is read more than once and must be the same each
     time, also after an executor is lost. A Parquet table rather than ``checkpoint()``:
     later reads prune columns and the planner knows the real size.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     _folders[out] = path
     if owner := _owner.get():
