@@ -169,3 +169,18 @@ def test_approximate_neighbours_of_few_rows(spark):
     none = similarity.nearest_approximate(df.limit(0), "id", "v", 3)
     assert none.count() == 0
     assert tuple(similarity.recall(none, none, "id").first()) == (0, 0, None)
+
+
+def test_approximate_neighbours_sort_codes_without_vectors(spark, monkeypatch):
+    data = clustered(4, 300) + [(5, [2.0] * 8), (5, [2.0] * 7 + [1.0])]  # a key that repeats
+    df = spark.createDataFrame(data, "id BIGINT, v ARRAY<DOUBLE>")
+    sorted_, number = [], similarity.number_rows
+
+    def watched(rows, *more, **named):
+        sorted_.append(rows.columns)
+        return number(rows, *more, **named)
+
+    monkeypatch.setattr(similarity, "number_rows", watched)
+    found = similarity.nearest_approximate(df, "id", "v", 3, block=64)
+    assert found.groupBy("id").count().filter("count <> 3").isEmpty()
+    assert sorted_ and not any("u" in columns for columns in sorted_)

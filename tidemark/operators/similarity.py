@@ -324,7 +324,9 @@ def nearest_approximate(
     """
     rows = df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.withColumn("n", vectors.norm(F.col("v"))).filter("n > 0")
-    unit = durable(rows.select("id", F.transform("v", lambda x: x / F.col("n")).alias("u")), "units")
+    unit = rows.select("id", F.transform("v", lambda x: x / F.col("n")).alias("u"))
+    # keys may repeat
+    unit = durable(unit.withColumn("row", F.monotonically_increasing_id()), "units")
     probes = _probe_scores(unit, k, digits)
     best, owner = None, f"nearest-{uuid.uuid4().hex}"
     while True:
@@ -389,34 +391,52 @@ def _met_in_blocks(unit: DataFrame, k: int, tables: int, block: int, seed: int,
                 units = np.stack(pdf["u"].to_numpy())
                 for t, table in enumerate(directions):
                     codes = (units @ table > 0) @ weights
-                    yield pd.DataFrame({"t": np.int32(t), "code": codes, "id": pdf["id"], "u": pdf["u"]})
+                    yield pd.DataFrame({"t": np.int32(t), "code": codes, "id": pdf["id"], "row": pdf["row"]})
 
-    coded = unit.mapInPandas(code, f"t int, code long, id {id_type}, u array<double>")
+    # sorted without the vectors; these are sent once for each table, to many blocks at a time
+    coded = unit.mapInPandas(code, f"t int, code long, id {id_type}, row long")
     placed, _ = number_rows(coded, ["t", "code", "id"], "place", 0, unique=False)
-    cuts = [F.struct(F.lit(c).alias("cut"), F.floor((F.col("place") + c * block // 2) / block).alias("at")) for c in (0, 1)]
-    dealt = placed.select("t", "id", "u", F.explode(F.array(*cuts)).alias("b")).select("t", "id", "u", "b.*")
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+    blocks = max(1, _DEALT_ROWS // block)
+    length, half = blocks * block, block // 2
+    at = F.floor(F.col("place") / length)
+    # the last block of the second cut ends in the next rows
+    shared = (F.col("place") >= length) & (F.col("place") % length < block - half)
+    ats = F.when(shared, F.array(at, at - 1)).otherwise(F.array(at))
+    dealt = placed.select("t", "place", "row", F.explode(ats).alias("at")).join(unit, "row")
+
+    def best_in_block(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
         pdf = pdf.sort_values("id")
         units, ids = np.stack(pdf["u"].to_numpy()), pdf["id"].to_numpy()
-        if len(ids) < 2:
-            return pd.DataFrame({"id": ids[:0], "neighbour": ids[:0], "score": np.zeros(0)})
-        scores = np.round(units @ units.T, digits)
-        np.fill_diagonal(scores, -np.inf)
-        best = _best_columns(scores, min(k, len(ids) - 1))
-        return pd.DataFrame(
-            {
-                "id": np.repeat(ids, best.shape[1]),
-                "neighbour": ids[best.ravel()],
-                "score": np.take_along_axis(scores, best, 1).ravel(),
-            }
-        )
+        for start in range(0, len(ids), _COMPARED_ROWS):
+            scores = np.round(units[start : start + _COMPARED_ROWS] @ units.T, digits)
+            own = np.arange(len(scores))
+            scores[own, start + own] = -np.inf
+            best = _best_columns(scores, min(k, len(ids) - 1))
+            yield pd.DataFrame(
+                {
+                    "id": np.repeat(ids[start : start + len(scores)], best.shape[1]),
+                    "neighbour": ids[best.ravel()],
+                    "score": np.take_along_axis(scores, best, 1).ravel(),
+                }
+            )
 
-    return dealt.groupBy("t", "cut", "at").applyInPandas(
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = int(pdf["at"].iloc[0]) * blocks
+        cut = pdf["place"] // block
+        shifted = (pdf["place"] + half) // block
+        # what lies beyond belongs to the groups beside this one
+        whole = [pdf[cut < first + blocks].groupby(cut), pdf[shifted > first].groupby(shifted)]
+        met = [rows for parts in whole for _, part in parts if len(part) > 1 for rows in best_in_block(part)]
+        return pd.concat(met) if met else pd.DataFrame({"id": pdf["id"][:0], "neighbour": pdf["id"][:0], "score": np.zeros(0)})
+
+    return dealt.select("t", "at", "place", "id", "u").groupBy("t", "at").applyInPandas(
         compare, f"id {id_type}, neighbour {id_type}, score double"
     )
 
 
+#: Rows that are dealt to one group at least, and those that are compared with a block at a time.
+_DEALT_ROWS = 4096
+_COMPARED_ROWS = 1024
 _CODE_BITS = 30
 
 
