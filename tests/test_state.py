@@ -180,3 +180,33 @@ def test_headers_of_many_files_are_one_job(spark, tmp_path):
     # listing the files may take a job of its own
     assert jobs <= 4
     assert readers.read_csv_folder(spark, str(tmp_path)).agg(F.count("a"), F.count("b"), F.count("c,d")).first() == (30, 60, 30)
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    size_conf = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size_conf)
+    spark.conf.set(size_conf, "20k")
+    try:
+        tables = BucketedTables(spark, str(tmp_path), {"facts": "k"}, buckets=1)
+        rows = spark.range(0, 40_000, 1, 8).select(F.col("id").cast("string").alias("k"), F.rand().alias("x"))
+        version = tables.write(0, {"facts": (rows, [0])})
+    finally:
+        spark.conf.set(size_conf, before)
+    files = [f for f in os.listdir(tmp_path / "facts" / "version=0" / "_bucket=0") if f.startswith("part-")]
+    assert len(files) > 1
+    assert tables.read(version, "facts").count() == 40_000 == tables.fingerprint(version, "facts")[0]
+
+
+def test_a_batch_is_read_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for pdf in parts:
+            read.add(len(pdf))
+            yield pdf
+
+    rows = [e[1:] for e in by_field(BATCHES[1] + BATCHES[2])]
+    schema = ", ".join(f"{f} STRING" for f in EVENT_FIELDS)
+    batch = spark.createDataFrame(rows, schema).mapInPandas(counted, schema)
+    cdc_stream._log(batch, str(tmp_path), 0, cdc_stream.event_time(48))
+    assert read.value == len(rows) == cdc_stream.metrics(spark, str(tmp_path)).first().total_records_ingested

@@ -104,7 +104,8 @@ class BucketedTables:
 
         def store(table: str, rows: DataFrame, touched: Sequence[int]) -> dict:
             folder = f"{self.root}/{table}/version={number}"
-            dealt = rows.withColumn("_bucket", self.bucket(table)).repartition("_bucket")
+            # a large bucket is written by several tasks
+            dealt = rows.withColumn("_bucket", self.bucket(table)).hint("rebalance", F.col("_bucket"))
             dealt.write.mode("overwrite").partitionBy("_bucket").parquet(folder)
             stored = T.StructType([*rows.schema.fields, T.StructField("_bucket", T.IntegerType())])
             written = fingerprint(self.spark.read.schema(stored).parquet(folder), "_bucket").collect()
