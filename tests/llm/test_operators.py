@@ -651,3 +651,43 @@ def test_prefixes_are_lengthened_by_cost(spark, monkeypatch):
     jaccard_join.near_duplicates(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).count()
     matches = {r.sid: r.matches for r in made["rows"].collect()}
     assert len(set(matches.values())) > 3 and max(matches.values()) == jaccard_join.MOST_MATCHES
+
+
+def long_texts(n=20, shared=20):
+    """Long texts of their own words, each with short passages of two other ones."""
+    texts = []
+    for i in range(n):
+        own = [f"o{i}_{k}" for k in range(1200)]
+        for k in range(shared):
+            for j in (i, (i + 1) % n):
+                own[30 * k + 15 * (j == i)] = " ".join(f"p{j}_{k}_{m}" for m in range(7))
+        texts.append((i, " ".join(own)))
+    return texts
+
+
+def test_long_texts_with_chance_shingles_are_dropped(spark):
+    """Shingles shared with different texts do not make a long text a candidate, also where the
+    order does not know them; near copies of a long text stay."""
+    made = long_texts()
+    copies = [(100, made[0][1] + " a b c"), (101, "d e f " + made[0][1])]
+    unknown = (np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(1 << 10, "u1"))
+
+    def possible(texts):
+        rows = spark.createDataFrame(texts, "key long, text string").repartition(3)
+        return {r.key for r in jaccard_join._possible(jaccard_join._signed(rows, unknown)).collect()}
+
+    assert possible(made) == set()
+    assert possible(made + copies) == {0, 100, 101}
+    docs = spark.createDataFrame(made + copies, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(docs).collect()}
+    assert got == {i: 0 if i >= 100 else i for i, _ in made + copies}
+
+
+def test_order_knows_repeated_shingles_beyond_the_most_frequent(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "MOST_FREQUENT", 0)
+    rows = spark.createDataFrame(long_texts(6), "key long, text string").coalesce(1)
+    tokens, counts, repeated = jaccard_join.frequent_shingles(rows)
+    assert len(tokens) == len(counts) == 0 and np.unpackbits(repeated).sum() == 6 * 20 * 3
+    signed = jaccard_join._signed(rows, (tokens, counts, repeated)).collect()
+    prefixes = [t for r in signed for t in r.prefix]
+    assert len(prefixes) == len(set(prefixes))  # those that two texts share come last

@@ -5,14 +5,16 @@ prefixes, and the components of its links.
 
 *Order.* Sets are sorted by one order of shingles: those that many texts share last. Frequent
 shingles are found by counting within tasks (a shingle that is frequent overall repeats within
-a task) and adding up. The most frequent, at most ``2**20`` of them or 16 MB, go to the tasks;
-the others count as equally rare. Any order gives the same result; this one keeps passages that
-many texts share out of the prefixes.
+a task) and adding up. The most frequent, at most ``2**20`` of them or 16 MB, go to the tasks with
+their counts; the others that repeat come before them, told by a bitmap, and those that do not
+repeat come first. Any order gives the same result; this one keeps passages that texts share out of
+the prefixes.
 
 *Prefixes.* Similar sets of at most ``n`` shingles share ``ceil(0.8 n)``, so they share at
 least ``k`` among the first ``n - ceil(0.8 n) + k`` of both, for any ``k``. So a text that has fewer
-than ``k`` such shingles in common with any others, for one ``k`` of the ``LADDER``, is dropped: most
-have no partner at all. For each text that is left the shingles' counts estimate what each ``k``
+than ``k`` such shingles in common with any others, for one ``k`` of the ``LADDER`` or for a share
+of its own size, is dropped: most have no partner at all. (The longer a text, the more of its
+shingles some other text has by chance, so a fixed ``k`` would drop no long text.) For each text that is left the shingles' counts estimate what each ``k``
 costs: the texts met at the prefix, and of these at most one in ``k`` to compare. The prefix is
 lengthened as long as that pays, which differs from text to text: copies of one text share rare
 shingles, so a longer prefix saves comparisons; where the next shingles are those of a common
@@ -61,9 +63,12 @@ CHUNK = 1 << 20  # shingles that a task counts at a time
 MOST_FREQUENT = 1 << 20  # shingles whose count the order knows
 LADDER = (1, 2, 4, 8, 16, 24)  # matches that a prefix may be lengthened to
 FIRST_MATCHES, MOST_MATCHES = 16, LADDER[-1]  # the first sieve looks at prefixes for so many
+SHARE = 20  # or, in long texts, for this part of their shingles
 COMPARISON = 16  # what comparing two texts costs, in texts met
 MAP_BITS = 24  # of the bitmap of texts, 2 MB
-SHINGLE_BITS = 27  # of the bitmap of shingles, 16 MB; when full, it only saves nothing
+ORDER_BITS = 27  # of the bitmap of repeated shingles, 16 MB; a clash only moves a shingle back
+SHINGLE_BITS = (20, 30)  # of the bitmap of shared shingles, up to 128 MB
+BITS_PER_SHINGLE = 16  # one in so many places is set, so texts without a partner pass no more often as data grow
 
 
 def needed(n: Column) -> Column:
@@ -71,12 +76,22 @@ def needed(n: Column) -> Column:
     return F.ceil(n * PERCENT / 100)
 
 
-def _needed(n: int) -> int:
+def _needed(n):
     return -(-n * PERCENT // 100)
 
 
-def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that texts share often, sorted by hash, and their counts."""
+def first_matches(n: Column) -> Column:
+    """The matches for which the first sieve looks in a set of ``n`` shingles."""
+    return F.least(needed(n), F.greatest(F.lit(FIRST_MATCHES), F.floor(n / SHARE)))
+
+
+def _first_matches(n: np.ndarray) -> np.ndarray:
+    return np.minimum(_needed(n), np.maximum(FIRST_MATCHES, n // SHARE))
+
+
+def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles that texts share often, sorted by hash, their counts, and a bitmap of the others
+    that repeat."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, held, size = Hasher(WORDS), [], 0
@@ -108,24 +123,26 @@ def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         if kept > MOST_FREQUENT:
             break
         least = power
-    table = counted.filter(F.lit(False) if least is None else step >= least).toArrow()
+    known = F.lit(False) if least is None else step >= least
+    table = counted.filter(known).toArrow()
+    others = _bitmap(counted.filter(~known), F.col("token"), ORDER_BITS)
     forget(counted)
     tokens, n = table["token"].to_numpy(), table["n"].to_numpy()
     order = np.argsort(tokens)
-    return tokens[order], n[order]
+    return tokens[order], n[order], others
 
 
-def in_order(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Sorted shingles in the join's order: those not known as frequent first, by hash, then
-    the frequent ones by count."""
-    if not len(frequent) or not len(tokens):
-        return tokens
-    at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-    count = np.where(frequent[at] == tokens, counts[at], 0)
+def in_order(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray, repeated: np.ndarray) -> np.ndarray:
+    """Sorted shingles in the join's order: those that are not known to repeat first, by hash, then
+    those of the bitmap, by hash, then the frequent ones by count."""
+    count = _inside(repeated, tokens & ((len(repeated) << 3) - 1)).astype("i8")
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+        count = np.where(frequent[at] == tokens, counts[at], count)
     return tokens[np.argsort(count, kind="stable")]
 
 
-def _signed(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def _signed(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
     """Per row: its key, the hash of its word sequence, the size of its set, and as much of the
     ordered set as the longest prefix needs."""
     shared = rows.sparkSession.sparkContext.broadcast(frequent)
@@ -148,7 +165,8 @@ def _signed(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFra
                 n = len(tokens)
                 sids.append(hasher.sequence(words))
                 sizes.append(n)
-                prefixes.append(in_order(tokens, *known)[: n - _needed(n) + MOST_MATCHES])
+                longest = n - _needed(n) + max(MOST_MATCHES, n // SHARE)
+                prefixes.append(in_order(tokens, *known)[:longest])
             ends = np.cumsum([0, *map(len, prefixes)])
             flat = np.concatenate([np.zeros(0, "i8"), *prefixes])
             yield pa.RecordBatch.from_arrays(
@@ -186,28 +204,32 @@ def _inside(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 def _possible(signed: DataFrame) -> DataFrame:
     """The classes that may have a partner, with key, size and prefix: those that for each step
-    of the ladder have enough prefix shingles that some other text has in its prefix too. (The
-    smallest partner of ``n`` shingles has ``needed(n)`` and shares what it needs itself.)
-    Copies of a text and clashes in the bitmap let some others pass."""
-    length = (F.col("n") - needed(F.col("n")) + F.least(F.lit(FIRST_MATCHES), needed(F.col("n")))).cast("int")
+    of the ladder, and for their share, have enough prefix shingles that some other text has in its
+    prefix too. (The smallest partner of ``n`` shingles has ``needed(n)`` and shares what it needs
+    itself.) Copies of a text and clashes in the bitmap let some others pass."""
+    length = (F.col("n") - needed(F.col("n")) + first_matches(F.col("n"))).cast("int")
     first = signed.filter("n > 0").select("sid", F.explode(F.slice("prefix", 1, length)).alias("token"))
     # 40 bits keep the shuffle small; a clash, like a copy of one text, only lets a text pass
     met = first.groupBy(F.pmod("token", F.lit(1 << 40)).alias("token")).count().filter("count > 1")
-    shared = signed.sparkSession.sparkContext.broadcast(_bitmap(met, F.col("token"), SHINGLE_BITS))
+    met = durable(met.select("token"), "shared")
+    least, most = SHINGLE_BITS
+    size = min(most, max(least, (BITS_PER_SHINGLE * met.count() - 1).bit_length()))
+    shared = signed.sparkSession.sparkContext.broadcast(_bitmap(met, F.col("token"), size))
+    forget(met)
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, mask = shared.value, (1 << SHINGLE_BITS) - 1
+        bits, mask = shared.value, (1 << size) - 1
         for batch in batches:
             n = batch.column("n").to_numpy()
             prefix = batch.column("prefix")
             ends = prefix.offsets.to_numpy()
             hits = np.cumsum(np.concatenate([[0], _inside(bits, prefix.values.to_numpy() & mask)]))
-            least = -(-n * PERCENT // 100)
+            least = _needed(n)
             keep = n > 0
-            for k in LADDER:
-                if k <= FIRST_MATCHES:
-                    stop = np.minimum(ends[:-1] + n - least + np.minimum(k, least), ends[1:])
-                    keep &= hits[stop] - hits[ends[:-1]] >= np.minimum(k, -(-least * PERCENT // 100))
+            steps = [np.minimum(k, least) for k in LADDER if k <= FIRST_MATCHES]
+            for k in [*steps, _first_matches(n)]:
+                stop = np.minimum(ends[:-1] + n - least + k, ends[1:])
+                keep &= hits[stop] - hits[ends[:-1]] >= np.minimum(k, _first_matches(least))
             yield batch.take(pa.array(np.flatnonzero(keep)))
 
     sifted = signed.mapInArrow(sift, signed.schema)
