@@ -691,3 +691,15 @@ def test_order_knows_repeated_shingles_beyond_the_most_frequent(spark, monkeypat
     signed = jaccard_join._signed(rows, (tokens, counts, repeated)).collect()
     prefixes = [t for r in signed for t in r.prefix]
     assert len(prefixes) == len(set(prefixes))  # those that two texts share come last
+
+
+def test_whole_sets_know_their_hubs(spark):
+    """A text with a hub, a hub that has one itself, a hub without, and a text without."""
+    keys = spark.createDataFrame([(1, 10), (2, 20), (3, 30), (4, 40)], "sid long, key long")
+    chosen = spark.createDataFrame([(1, 2), (2, 3)], "sid long, hub long")
+    wanted = jaccard_join._wanted(keys, chosen)
+    assert {(r.sid, r.key, r.hub, r.leads) for r in wanted.collect()} == {(1, 10, 2, None), (2, 20, 3, True), (3, 30, None, True)}
+    tokens = {1: [1, 2, 3, 4], 2: [1, 2, 3, 5], 3: [2, 3, 5, 6]}
+    sets = wanted.join(spark.createDataFrame(list(tokens.items()), "sid long, tokens array<long>"), "sid")
+    compared = {(r.sid, r.hub, r.hub_n, r.u) for r in jaccard_join._compared(sets).collect()}
+    assert compared == {(1, 2, 4, 9), (2, 3, 4, 9)}

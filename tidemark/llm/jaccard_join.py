@@ -239,7 +239,8 @@ def _possible(signed: DataFrame) -> DataFrame:
 
 
 def _whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The whole sets of the ``wanted`` classes, each from the text of its smallest key."""
+    """The whole sets of the ``wanted`` classes, each from the text of its smallest key, with what
+    else ``wanted`` holds."""
     shared = rows.sparkSession.sparkContext.broadcast(_bitmap(wanted, F.xxhash64("key"), MAP_BITS))
     place = F.pmod(F.xxhash64("key"), F.lit(1 << MAP_BITS)).alias("place")
     schema = T.StructType(
@@ -267,10 +268,17 @@ def _whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
     made = rows.select("key", "text", place).mapInArrow(shingle, schema)
     # rows of one class have one set, whichever of them passed the bitmap
-    found = made.join(wanted.select("sid"), "sid", "left_semi").select("sid", "tokens")
+    found = made.select("sid", "tokens").join(wanted.drop("key"), "sid")
     return durable(found.dropDuplicates(["sid"]), "sets")
 
 
+def _wanted(keys: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The keys of texts with a hub, with ``hub``, and of hubs, told by ``leads``; so the whole sets
+    need not be shuffled once more to find out."""
+    hubs = chosen.select(F.col("hub").alias("sid")).distinct().withColumn("leads", F.lit(True))
+    return keys.join(chosen.join(hubs, "sid", "full"), "sid")
+
+
 def _texts(pairs: DataFrame) -> DataFrame:
     """The distinct texts of a table of pairs."""
     a, b = pairs.columns
@@ -350,11 +358,12 @@ def _best_hub(met: DataFrame) -> DataFrame:
     return best.groupBy("sid").agg(F.max(F.struct("count", "hub"))["hub"].alias("hub"))
 
 
-def _compared(chosen: DataFrame, sets: DataFrame) -> DataFrame:
+def _compared(sets: DataFrame) -> DataFrame:
     """Each text with its hub: ``hub``, the hub's size, ``u``, and the deviations of texts near
     the hub (null for others)."""
-    hubs = sets.join(chosen.select(F.col("hub").alias("sid")).distinct(), "sid", "left_semi")
-    both = chosen.join(sets.toDF("sid", "_s"), "sid").join(hubs.toDF("hub", "_t"), "hub")
+    hubs = sets.filter("leads").select(F.col("sid").alias("hub"), F.col("tokens").alias("_t"))
+    led = sets.filter(F.col("hub").isNotNull()).select("sid", "hub", F.col("tokens").alias("_s"))
+    both = led.join(hubs, "hub")
     both = both.withColumn("_r", F.array_except("_t", "_s")).withColumn("_a", F.array_except("_s", "_t"))
     both = both.withColumn("u", 5 * F.size("_r") + 4 * F.size("_a")).withColumn("hub_n", F.size("_t"))
     # beyond, a text cannot be similar to one that is similar to the hub
@@ -407,10 +416,10 @@ def _near_hub_links(compared: DataFrame) -> DataFrame:
     return links
 
 
-def _rest_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of texts near different hubs that share enough prefix shingles. For each shingle
-    the group with most texts is met by the others only, never by itself."""
-    rows = postings.join(groups, "sid")
+def _rest_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of texts near different hubs that share enough prefix shingles, of postings with their
+    texts' groups. For each shingle the group with most texts is met by the others only, never by
+    itself."""
     sizes = rows.groupBy("token", "near").count()
     largest = sizes.groupBy("token").agg(
         F.max(F.struct("count", "near"))["near"].alias("largest"), F.count(F.lit(1)).alias("_groups")
@@ -464,20 +473,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     forget(classes)
     members = durable(postings.select("sid").distinct(), "members")
     hubs = _hubs(postings)
-    sets = _whole_sets(rows, keys.join(_texts(hubs), "sid"))
+    sets = _whole_sets(rows, _wanted(keys, hubs))
 
-    compared = _compared(hubs, sets)
+    compared = _compared(sets)
     linked = compared.filter("u <= hub_n").select("sid", "hub")
     links = linked.toDF("a", "b").union(_near_hub_links(compared))
     groups = _groups(members, compared, linked)
-    rest = _rest_pairs(postings, groups)
+    grouped = durable(postings.join(groups, "sid"), "grouped")
     for step in (postings, members, hubs, groups):
         forget(step)
+    rest = _rest_pairs(grouped)
+    forget(grouped)
     # most of these texts had no hub to be compared with
     texts = durable(_texts(rest), "texts")
     other = texts.join(sets.select("sid"), "sid", "left_anti")
     others = _whole_sets(rows, keys.join(other, "sid"))
-    both = sets.join(texts, "sid", "left_semi").union(others)
+    both = sets.select("sid", "tokens").join(texts, "sid", "left_semi").union(others)
     roots = components(links.union(_linked(rest, both)))
     for step in (sets, others, compared, rest, texts, keys):
         forget(step)
