@@ -66,7 +66,7 @@ FIRST_MATCHES, MOST_MATCHES = 16, LADDER[-1]  # the first sieve looks at prefixe
 SHARE = 20  # or, in long texts, for this part of their shingles
 COMPARISON = 16  # what comparing two texts costs, in texts met
 MAP_BITS = 24  # of the bitmap of texts, 2 MB
-ORDER_BITS = 27  # of the bitmap of repeated shingles, 16 MB; a clash only moves a shingle back
+ORDER_BITS = (20, 27)  # of the bitmap of repeated shingles, up to 16 MB; a clash only moves a shingle back
 SHINGLE_BITS = (20, 30)  # of the bitmap of shared shingles, up to 128 MB
 BITS_PER_SHINGLE = 16  # one in so many places is set, so texts without a partner pass no more often as data grow
 
@@ -117,15 +117,16 @@ def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarr
     counted = durable(repeated.groupBy("token").agg(F.sum("n").alias("n")), "repeated")
     # counts by quarter powers of two, the most frequent first, as far as the table may go
     step = F.ceil(4 * F.log2("n"))
-    kept, least = 0, None
+    kept, least, left = 0, None, 0
     for power, here in sorted(counted.groupBy(step).count().collect(), reverse=True):
         kept += here
         if kept > MOST_FREQUENT:
-            break
-        least = power
+            left += here
+        else:
+            least = power
     known = F.lit(False) if least is None else step >= least
     table = counted.filter(known).toArrow()
-    others = _bitmap(counted.filter(~known), F.col("token"), ORDER_BITS)
+    others = _bitmap(counted.filter(~known), F.col("token"), _bits(left, *ORDER_BITS))
     forget(counted)
     tokens, n = table["token"].to_numpy(), table["n"].to_numpy()
     order = np.argsort(tokens)
@@ -182,6 +183,11 @@ def _signed(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray, np.ndarray]
     return rows.select("key", "text").mapInArrow(sign, schema)
 
 
+def _bits(values: int, least: int, most: int) -> int:
+    """The bits by which places of a bitmap for so many shingles are numbered."""
+    return min(most, max(least, (BITS_PER_SHINGLE * values - 1).bit_length()))
+
+
 def _bitmap(values: DataFrame, hashed: Column, bits: int) -> np.ndarray:
     """A bitmap of ``2**bits`` bits in which the values' hashes are set, of that size whatever
     the number of values."""
@@ -212,8 +218,7 @@ def _possible(signed: DataFrame) -> DataFrame:
     # 40 bits keep the shuffle small; a clash, like a copy of one text, only lets a text pass
     met = first.groupBy(F.pmod("token", F.lit(1 << 40)).alias("token")).count().filter("count > 1")
     met = durable(met.select("token"), "shared")
-    least, most = SHINGLE_BITS
-    size = min(most, max(least, (BITS_PER_SHINGLE * met.count() - 1).bit_length()))
+    size = _bits(met.count(), *SHINGLE_BITS)
     shared = signed.sparkSession.sparkContext.broadcast(_bitmap(met, F.col("token"), size))
     forget(met)
 
