@@ -83,6 +83,72 @@ def test_matrices_are_not_shuffled(spark, monkeypatch):
     assert "Exchange" not in plans["hits"]
 
 
+def two_languages(seed, n, dims=40):
+    """Sparse vectors, most of them of one half of the components or of the other."""
+    rng = np.random.default_rng(seed)
+    units = rng.random((n, dims)) * (rng.random((n, dims)) < 0.4)
+    units[: n // 2, dims // 2 :] *= rng.random((n // 2, 1)) < 0.05
+    units[n // 2 :, : dims // 2] *= rng.random((n - n // 2, 1)) < 0.05
+    return units
+
+
+@pytest.mark.parametrize("least_rest, few", [(0.02, 64), (0.6, 64), (0.6, 1)])
+def test_bounds_leave_nothing_out(monkeypatch, least_rest, few):
+    """Blocks compared by some components find the same as all pairs in full."""
+    monkeypatch.setattr(similarity, "_REST", least_rest)
+    monkeypatch.setattr(similarity, "_FEW", few)
+    units = two_languages(5, 240)
+    units = units[units.any(axis=1)]
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    full = np.round(units @ units.T, 10)
+    cut, compared = [], similarity._components
+    monkeypatch.setattr(similarity, "_components", lambda a, b: cut.append(compared(a, b)) or cut[-1])
+    packs = []
+    for rows in (np.arange(0, 120), np.arange(120, len(units))):
+        query, at = np.nonzero(units[rows])
+        counts = np.bincount(query, minlength=len(rows))
+        held = similarity._Vectors.of(counts, at.astype(similarity._AT), units[rows][query, at], 40)
+        pack = similarity._Pack(rows.tolist(), [50, len(rows) - 50], held)
+        pack.blocks, pack.cells, pack.visits = list(pack.blocks), [{0}, {0}], [{0}, {0}]
+        best = similarity._within(pack, 4, 10)
+        assert np.allclose(best.score, -np.sort(-full[np.ix_(rows, rows)], axis=1)[:, :4], atol=2e-10)
+        pack.floor = best.score[:, -1]
+        for (first, last), part in zip(pack.ranges, pack.blocks):
+            part.asks(pack.floor[first:last])
+        packs.append((rows, pack))
+    (one, a), (two, b) = packs
+    for rows, others, pack, best in zip((one, two), (two, one), (a, b), similarity._between(a, b, 4, 10)):
+        want = -np.sort(-full[np.ix_(rows, others)], axis=1)[:, :4]
+        want = np.where(want >= pack.floor[:, None], want, -np.inf)
+        assert np.allclose(best.score, want, atol=2e-10)
+    assert any(c is not None and len(c) < 40 for c in cut)
+
+
+def test_each_two_packs_meet_once(spark, monkeypatch):
+    """No pair of blocks is compared from both sides, and binaries hold what is not zero only."""
+    sizes = {}
+
+    def watched(step, label="step", *more):
+        out = durable(step, label, *more)
+        if label == "packs":
+            sizes[label] = out.selectExpr("size(gids) AS n", "length(w) AS w").collect()
+        if label == "hits":
+            sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(similarity, "durable", watched)
+    units = two_languages(6, 300)
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(units)]
+    df = spark.createDataFrame(data, "id BIGINT, v ARRAY<DOUBLE>")
+    near = {}
+    for r in similarity.nearest_neighbours(df, "id", "v", 3, 6, 20).orderBy("id", "rank").collect():
+        near.setdefault(r.id, []).append(r.neighbour)
+    assert near == brute_force(data, 3)
+    packs = sizes["packs"]
+    assert len(packs) > 3 and sum(r.w for r in packs) == 8 * np.count_nonzero(units)
+    assert sizes["hits"] < 4 * 300 * len(packs) / 2
+
+
 def test_many_equal_scores(spark):
     data = [(i, [float(i == j) for j in range(150)]) for i in range(150)]  # all at right angles
     data += [(200 + i, [1.0, 1.0, 1.0 + i / 9] + [0.0] * 147) for i in range(30)]

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.functions import vectors
@@ -66,35 +69,45 @@ def nearest_neighbours(
     score)``. Scores are compared at ``digits`` decimals and ties go to the smaller key. A null
     vector, or one with a null component, has no neighbours and is none.
 
-    Equal vectors are searched once, whatever their number. Vectors go to the cell of
-    their nearest pivot; cells are cut into blocks of about ``block`` vectors. A block of
-    queries visits only the cells whose best possible score can reach its k-th best
-    guaranteed score (bounds from the angles to the pivots). Blocks are written once; a task
-    reads two slices of them (input splits of some 128 MB), compares two blocks at a time
-    and hands on ``k + 1`` rows per query. So what is shuffled and written grows with the
-    vectors, and only reading and comparing with their square. ``pivots`` defaults to one
-    per block, 256 at most.
+    Equal vectors (by a hash of 128 bits) are searched once, whatever their number. Vectors go to
+    the cell of their nearest pivot; cells are cut into blocks of about ``block`` vectors, and
+    blocks that lie together make a pack. A pack is searched in itself first, which gives each
+    vector a score that its neighbours must reach. Then a task meets two packs, and each two packs
+    meet once, for both sides. Of these it leaves out two blocks whose cells are too far apart
+    (bounds from the angles to the pivots), and compares the others by their few components of
+    most weight, with the rest as a bound; what may reach is compared in full.
+
+    Packs hold the components that are not zero. They are written once, and a task reads two slices
+    of them (input splits) and hands on ``k + 1`` rows per vector. So what is shuffled and written
+    grows with the vectors, and only reading and comparing with their square. ``pivots`` defaults
+    to one per block, 256 at most.
     """
     rows = df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    rows = rows.filter(vectors.norm(F.col("v")).isNotNull())
     id_type = rows.schema["id"].dataType.simpleString()
     most = k + 1
 
-    smallest = top_per_group(rows, ["v"], [F.col("id")], most)
-    groups = smallest.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    groups = groups.withColumn("gid", F.col("ids")[0]).withColumn("n", vectors.norm(F.col("v")))
-    groups = durable(groups, "vectors")
-    unit = groups.filter("n > 0").select(
-        "gid", "ids", F.transform("v", lambda x: x / F.col("n")).alias("u")
-    )
+    rows = durable(_coded(rows), "vectors")
+    smallest = top_per_group(rows.select("digest", "id"), ["digest"], [F.col("id")], most)
+    groups = smallest.groupBy("digest").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    codes = rows.groupBy("digest").agg(*[F.first(c).alias(c) for c in ("width", "n", "at", "w")])
+    groups = groups.join(codes, "digest").withColumn("gid", F.col("ids")[0])
+    groups = durable(groups, "groups")
+    # neither a null key nor a vector without a direction can be found
+    unit = groups.filter("n > 0 AND n < double('infinity') AND gid IS NOT NULL").select("digest", "gid", "ids", "width", "at", "w")
     zero_ids = [i for r in groups.filter("n = 0").select("ids").collect() for i in r.ids]
 
-    # a fixed number of pivot vectors, and three figures per cell, come to the driver
-    if pivots is None:
-        pivots = min(256, max(1, unit.count() // block))
-    sample = unit.orderBy(F.xxhash64("gid"), "gid").limit(pivots).select("u").collect()
-    if sample:
-        hits = _unit_hits(unit, np.array([r.u for r in sample]), id_type, most, block, digits)
+    # a bounded number of vectors for the pivots, and three figures per cell, come to the driver
+    count, code_bytes, width, least_width = unit.agg(
+        F.count("*"), F.avg(F.length("at") + F.length("w")), F.max("width"), F.min("width")
+    ).first()
+    if width != least_width:
+        raise ValueError(f"vectors of {least_width} to {width} components")
+    if count:
+        if pivots is None:
+            pivots = min(256, max(1, count // block))
+        sample = _sampled(unit, count, _SAMPLED * pivots)
+        centres = _centres(_Vectors([r["at"] for r in sample], [r.w for r in sample], width).rows(), pivots)
+        hits = _unit_hits(unit, centres, id_type, most, block, digits, code_bytes)
         if zero_ids:
             zeros = F.explode(F.lit(zero_ids).cast(f"array<{id_type}>"))
             hits = hits.unionByName(unit.select("gid", zeros.alias("id"), F.lit(0.0).alias("score")))
@@ -113,7 +126,7 @@ def nearest_neighbours(
     lists = best.groupBy("gid").agg(
         F.sort_array(F.collect_list(F.struct("place", "id", "score"))).alias("near")
     )
-    members = rows.join(groups.select("v", "gid"), "v").select("id", "gid")
+    members = rows.select("id", "digest").join(groups.select("digest", "gid"), "digest").select("id", "gid")
     others = members.join(lists, "gid").select(
         "id", F.slice(F.filter("near", lambda x: x["id"] != F.col("id")), 1, k).alias("near")
     )
@@ -125,173 +138,487 @@ def nearest_neighbours(
     )
 
 
+def _coded(rows: DataFrame) -> DataFrame:
+    """``(id, digest, width, n, at, w)`` of ``(id, v)`` without null vectors or components:
+    the length ``n`` of a vector, where its unit vector is not zero and what it is there, and a hash
+    that equal vectors share."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pieces(batches):
+            lists = batch.column(1)
+            whole = np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False))
+            lists = lists.take(pa.array(whole))
+            lengths = np.diff(lists.offsets.to_numpy()).astype("int64")
+            values = lists.flatten()
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            holes = np.bincount(owner[values.is_null().to_numpy(zero_copy_only=False)], minlength=len(lengths))
+            flat = values.fill_null(0.0).to_numpy(zero_copy_only=False)
+            within = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            kept = (flat != 0) & (holes[owner] == 0)
+            owner, within, flat = owner[kept], within[kept].astype(_AT), flat[kept]
+            counts = np.bincount(owner, minlength=len(lengths))
+            n = np.sqrt(np.bincount(owner, flat * flat, minlength=len(lengths)))
+            at, v, w = (_binaries(x, counts) for x in (within, flat, flat / n[owner]))
+            digests = [
+                hashlib.blake2b(b"%d " % size + a + x, digest_size=16).digest()
+                for size, a, x in zip(lengths.tolist(), at.to_pylist(), v.to_pylist())
+            ]
+            columns = [
+                batch.column(0).take(pa.array(whole)), pa.array(digests, pa.binary()),
+                pa.array(lengths.astype("int32")), pa.array(n), at, w,
+            ]
+            out = pa.RecordBatch.from_arrays(columns, ["id", "digest", "width", "n", "at", "w"])
+            yield out.filter(pa.array(holes == 0))
+
+    id_type = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(code, f"id {id_type}, digest binary, width int, n double, at binary, w binary")
+
+
+def _sampled(unit: DataFrame, count: int, most: int) -> list[Row]:
+    """Some ``most`` of the vectors, by a hash of theirs. A part sends only what lies in the share needed."""
+    place = F.pmod(F.xxhash64("digest"), F.lit(1_000_000))
+    ordered = unit.filter(place < math.ceil(2_000_000 * most / count)).orderBy(place, "digest").limit(most)
+    return ordered.select("at", "w").collect() or unit.limit(1).select("at", "w").collect()
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of which a worker can hold several copies."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 1024):
+            yield batch.slice(i, 1024)
+
+
+def _binaries(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The values end to end, cut into one binary for each count."""
+    ends = np.concatenate([[0], np.cumsum(counts) * values.itemsize]).astype("int32")
+    data = pa.py_buffer(np.ascontiguousarray(values))
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), data])
+
+
+def _centres(units: np.ndarray, pivots: int) -> np.ndarray:
+    """``pivots`` directions of which a unit vector is near one: means of what is near them, in an
+    order in which neighbours are alike."""
+    centres = units[:pivots].copy()
+    for _ in range(5):
+        sums = np.zeros_like(centres)
+        np.add.at(sums, (units @ centres.T).argmax(axis=1), units)
+        lengths = np.sqrt(np.einsum("ij,ij->i", sums, sums))
+        some = lengths > 0
+        centres[some] = sums[some] / lengths[some, None]
+    alike = centres @ centres.T
+    chain, left = [0], np.ones(len(centres), dtype=bool)
+    while len(chain) < len(centres):
+        left[chain[-1]] = False
+        chain.append(int(np.where(left, alike[chain[-1]], -np.inf).argmax()))
+    return centres[chain]
+
+
 def _unit_hits(
-    unit: DataFrame, centres: np.ndarray, id_type: str, most: int, block: int, digits: int
+    unit: DataFrame, centres: np.ndarray, id_type: str, most: int, block: int, digits: int, code_bytes: float
 ) -> DataFrame:
-    """``(gid, id, score)``: per query vector and visited slice of blocks, its best candidates."""
+    """``(gid, id, score)``: per vector and pack that it meets, its best candidates."""
+    width = centres.shape[1]
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                angles = _angles(np.stack(pdf["u"].to_numpy()), centres)
-                cell = angles.argmin(axis=1)
-                yield pdf.assign(cell=cell.astype("int32"), angle=angles[np.arange(len(pdf)), cell])
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pieces(batches):
+            angles = _angles(_Vectors(*(batch[c].to_pylist() for c in ("at", "w")), width).rows(), centres)
+            cell = angles.argmin(axis=1)
+            batch = batch.append_column("cell", pa.array(cell.astype("int32")))
+            yield batch.append_column("angle", pa.array(angles[np.arange(len(cell)), cell]))
 
-    schema = f"gid {id_type}, ids array<{id_type}>, u array<double>, cell int, angle double"
-    placed = durable(unit.mapInPandas(assign, schema), "cells")
+    schema = f"digest binary, gid {id_type}, ids array<{id_type}>, width int, at binary, w binary, cell int, angle double"
+    placed = durable(unit.mapInArrow(assign, schema), "cells")
     stats = sorted(
         placed.groupBy("cell").agg(F.count("*"), F.min("angle"), F.max("angle")).collect()
     )
     cells = np.array([r[0] for r in stats])
     sizes = np.array([r[1] for r in stats])
     nearest, farthest = (np.array([r[i] for r in stats]) for i in (2, 3))
-    parts = -(-sizes // block)
-    first_block = np.concatenate([[0], np.cumsum(parts)[:-1]])
-    by_cell = {int(c): (int(f), int(p)) for c, f, p in zip(cells, first_block, parts)}
+
+    # large cells are cut into blocks, small ones that lie together share a block
+    first_block, parts, filled = [], [], []
+    for size in sizes.tolist():
+        if filled and size + filled[-1] <= block:
+            first_block.append(len(filled) - 1)
+            parts.append(1)
+            filled[-1] += size
+        else:
+            first_block.append(len(filled))
+            parts.append(-(-size // block))
+            filled += [-(-size // parts[-1])] * parts[-1]
+    # enough packs for the tasks there can be, and no larger than a worker can hold two of
+    tasks = unit.sparkSession.sparkContext.defaultParallelism
+    room = min(_PACK_ROWS, _PACK_BYTES // (4 * width), _PACK_BYTES // max(1, int(code_bytes)))
+    packs = min(len(filled), max(math.ceil(sum(filled) / max(1, room)), math.ceil(4 * math.sqrt(tasks))))
+    pack_of = (np.cumsum(filled) - np.array(filled) / 2) * packs // max(1, sum(filled))
+    by_cell = {int(c): (f, p) for c, f, p in zip(cells, first_block, parts)}
     # position c holds (first block, number of blocks) of cell c
     firsts = F.lit([by_cell.get(c, (0, 1))[0] for c in range(len(centres))])
     counts = F.lit([by_cell.get(c, (0, 1))[1] for c in range(len(centres))])
     at = F.col("cell") + 1
-    block_no = F.element_at(firsts, at) + F.pmod(F.xxhash64("gid"), F.element_at(counts, at)).cast("int")
-    width = centres.shape[1]
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        """One row per block: members in key order, vectors end to end as one matrix, and
-        the cells that the members have to visit as queries."""
-        pdf = pdf.sort_values("gid")
-        units = np.stack(pdf["u"].to_numpy())
-        angles = _angles(units, centres[cells])
-        # guaranteed score of every vector of a cell, best cells first
-        sure = np.cos(np.minimum(np.pi, angles + farthest))
-        order = np.argsort(-sure, axis=1)
-        enough = np.cumsum(sizes[order], axis=1) >= most
-        column = np.where(enough.any(axis=1), enough.argmax(axis=1), -1)
-        at = np.take_along_axis(order, np.maximum(column, 0)[:, None], 1)
-        floor = np.where(column >= 0, np.take_along_axis(sure, at, 1)[:, 0], -1.0)
-        gap = np.maximum(0, np.maximum(nearest - angles, angles - farthest))
-        visit = (np.cos(gap) >= floor[:, None] - 1e-6).any(axis=0)
-        return pd.DataFrame(
-            {
-                "block": [pdf["block"].iloc[0]],
-                "cell": [pdf["cell"].iloc[0]],
-                "gids": [pdf["gid"].tolist()],
-                "ids": [[i for ids in pdf["ids"] for i in ids]],
-                "copies": [[len(ids) for ids in pdf["ids"]]],
-                "us": [units.tobytes()],
-                "visit": [cells[visit].astype("int32")],
-            }
-        )
+    block_no = F.element_at(firsts, at) + F.pmod(F.xxhash64("digest"), F.element_at(counts, at)).cast("int")
+    pack_no = F.element_at(vectors.literal(pack_of).cast("array<int>"), F.col("block") + 1)
+
+    binaries = ["counts", "at", "w", "least", "own_query", "own_at", "own_score"]
+
+    def pack(table: pa.Table) -> pa.Table:
+        """One row per pack: members by block and key, their vectors end to end, and what they have
+        found in their own pack."""
+        table = table.sort_by([("block", "ascending"), ("gid", "ascending")])
+        vectors_of = _Vectors(table["at"].to_pylist(), table["w"].to_pylist(), width)
+        sizes_of = np.unique(table["block"].to_numpy(), return_counts=True)[1].tolist()
+        own = _Pack(table["gid"].to_pylist(), sizes_of, vectors_of)
+        own.blocks = list(own.blocks)
+        best = _within(own, most, digits)
+        least = best.score[:, -1]
+        query, nth = np.nonzero(best.at >= 0)
+        # the cells that the members of a block have to visit
+        visits, block_cells = [], []
+        cell_of = table["cell"].to_numpy()
+        for (first, last), part in zip(own.ranges, own.blocks):
+            angles = _angles(part.rows(), centres[cells])
+            gap = np.maximum(0, np.maximum(nearest - angles, angles - farthest))
+            visit = (np.cos(gap) >= least[first:last, None] - 1e-6).any(axis=0)
+            visits.append(cells[visit].tolist())
+            block_cells.append(np.unique(cell_of[first:last]).tolist())
+        gid_type, ids = table.schema.field("gid").type, table["ids"].to_pylist()
+        integers = pa.list_(pa.int32())
+        columns = {
+            "pack": pa.array([table["pack"][0].as_py()], pa.int32()),
+            "cells": pa.array([sorted({c for x in block_cells for c in x})], integers),
+            "reach": pa.array([sorted({c for x in visits for c in x})], integers),
+            "gids": pa.array([table["gid"].to_pylist()], pa.list_(gid_type)),
+            "ids": pa.array([[i for some in ids for i in some]], pa.list_(gid_type)),
+            "copies": pa.array([[len(some) for some in ids]], integers),
+            "sizes": pa.array([sizes_of], integers),
+            "block_cells": pa.array([block_cells], pa.list_(integers)),
+            "visits": pa.array([visits], pa.list_(integers)),
+        }
+        numbers = [
+            vectors_of.counts.astype("int32"), vectors_of.at, vectors_of.w, least, query.astype("int32"),
+            best.at[query, nth].astype("int32"), best.score[query, nth],
+        ]
+        columns.update((c, pa.array([x.tobytes()], pa.binary())) for c, x in zip(binaries, numbers))
+        return pa.table(columns)
 
     packed_schema = (
-        f"block int, cell int, gids array<{id_type}>, ids array<{id_type}>, copies array<int>, us binary, visit array<int>"
+        f"pack int, cells array<int>, reach array<int>, gids array<{id_type}>, ids array<{id_type}>, copies array<int>, "
+        "sizes array<int>, block_cells array<array<int>>, visits array<array<int>>, "
+        + ", ".join(f"{c} binary" for c in binaries)
     )
-    blocks = placed.select("gid", "ids", "u", "cell", block_no.alias("block")).groupBy("block")
+    members = placed.select("gid", "ids", "at", "w", "cell", block_no.alias("block")).withColumn("pack", pack_no)
     # Rows of some MB: without a limit a reader would hold a hundred of them and more at once,
     # and of compressed files the splits would be larger in memory than they are on disk.
     packed = durable(
-        blocks.applyInPandas(pack, packed_schema), "blocks",
-        {"parquet.block.row.count.limit": _BLOCK_ROWS, "compression": "uncompressed"},
+        members.groupBy("pack").applyInArrow(pack, packed_schema), "packs",
+        {"parquet.block.row.count.limit": 1, "compression": "uncompressed"},
     )
     forget(placed)
-    queries = packed.select(
-        F.col("block").alias("query_block"), F.col("gids").alias("asking"), F.col("us").alias("asked"), "visit"
-    )
-    # A task reads two slices of the written blocks, so visits send no matrices through a shuffle.
-    others = packed.select("cell", "ids", "copies", "us").hint("shuffle_replicate_nl")
-    visits = queries.join(others, F.array_contains("visit", F.col("cell")))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block_asks, number = None, None
-        for pdf in batches:
-            columns = (pdf[c] for c in ("query_block", "asking", "asked", "ids", "copies", "us"))
-            for query_block, asking, asked, ids, copies, us in zip(*columns):
-                if query_block != number:
-                    if block_asks is not None:
-                        yield block_asks.rows()
-                    block_asks, number = _Asking(asking, _matrix(asked, width), most, digits), query_block
-                block_asks.meet(ids, copies, _matrix(us, width))
-        if block_asks is not None:
-            yield block_asks.rows()
-
-    columns = ["query_block", "asking", "asked", "ids", "copies", "us"]
-    hits = visits.select(*columns).mapInPandas(score, f"gid {id_type}, id {id_type}, score double")
+    # A task reads two slices of the written packs, so meetings send no matrices through a shuffle.
+    one = packed.select([F.col(c).alias(f"a_{c}") for c in packed.columns])
+    two = packed.select([F.col(c).alias(f"b_{c}") for c in packed.columns]).hint("shuffle_replicate_nl")
+    # each two packs meet once, and each pack comes first about as often as second
+    once = (F.col("a_pack") < F.col("b_pack")) == ((F.col("a_pack") + F.col("b_pack")) % 2 == 1)
+    near = F.arrays_overlap("a_reach", "b_cells") | F.arrays_overlap("b_reach", "a_cells")
+    same = F.col("a_pack") == F.col("b_pack")
+    meetings = one.join(two, same | (once & near))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, number = None, None
+        for batch in batches:
+            for row in (_Row(batch, i) for i in range(batch.num_rows)):
+                if row.value("a_pack") == row.value("b_pack"):
+                    query, at = (row.numbers(f"a_own_{c}", "int32") for c in ("query", "at"))
+                    yield _hit_rows(row, "a", "a", query, at, row.numbers("a_own_score", "float64"))
+                    continue
+                if row.value("a_pack") != number:
+                    # one pack is held with all components, of the other a block at a time
+                    a, number = None, row.value("a_pack")
+                    a = _Pack.read(row, "a", width)
+                    a.blocks = list(a.blocks)
+                for x, y, best in zip("ab", "ba", _between(a, _Pack.read(row, "b", width), most, digits)):
+                    query, nth = np.nonzero(best.at >= 0)
+                    yield _hit_rows(row, x, y, query, best.at[query, nth], best.score[query, nth])
+
+    hits = meetings.mapInArrow(meet, f"gid {id_type}, id {id_type}, score double")
     hits = durable(hits, "hits")
     forget(packed)
     return hits
 
 
-#: Blocks in a row group of the written blocks.
-_BLOCK_ROWS = 8
-#: Vectors of a block that are compared with a query one by one.
+class _Row:
+    """A row of a batch, of which binaries are not copied."""
+
+    def __init__(self, batch: pa.RecordBatch, place: int):
+        self.batch, self.place = batch, place
+
+    def value(self, column: str) -> Any:
+        return self.batch.column(column)[self.place].as_py()
+
+    def items(self, column: str) -> pa.Array:
+        return self.batch.column(column)[self.place].values
+
+    def numbers(self, column: str, kind: str) -> np.ndarray:
+        return np.frombuffer(self.batch.column(column)[self.place].as_buffer(), kind)
+
+
+def _hit_rows(row: _Row, asking: str, met: str, query: np.ndarray, at: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+    """A row for each key of the vector found: ``(gid, id, score)``."""
+    copies = row.items(f"{met}_copies").to_numpy()
+    starts, times = np.cumsum(copies) - copies, copies[at]
+    within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    keys = row.items(f"{met}_ids").take(pa.array(np.repeat(starts[at], times) + within))
+    gids = row.items(f"{asking}_gids").take(pa.array(np.repeat(query, times)))
+    return pa.RecordBatch.from_arrays([gids, keys, pa.array(np.repeat(score, times))], ["gid", "id", "score"])
+
+
+#: Vectors for each pivot that the pivots are found from.
+_SAMPLED = 16
+#: Vectors in a pack, and bytes of them, at most.
+_PACK_ROWS = 16384
+_PACK_BYTES = 24_000_000
+#: Vectors of a block that are compared with a vector one by one.
 _FEW = 64
+#: The type of a component's number.
+_AT = "uint32"
+#: What two blocks' components that are left out may add to a score: at least so much, or this share of
+#: what is missing from their mean score to a score that counts.
+_REST, _REST_SHARE = 0.02, 0.15
+
+
+class _Vectors:
+    """Vectors as the numbers and values of their components that are not zero."""
+
+    def __init__(self, at: Sequence[bytes], w: Sequence[bytes], width: int):
+        self.width = width
+        self.at, self.w = np.frombuffer(b"".join(at), _AT), np.frombuffer(b"".join(w), "float64")
+        self.counts = np.array([len(x) // 8 for x in w], dtype="int64")
+        self.starts = np.cumsum(self.counts) - self.counts
+
+    @classmethod
+    def of(cls, counts: np.ndarray, at: np.ndarray, w: np.ndarray, width: int) -> _Vectors:
+        out = cls([], [], width)
+        out.counts, out.at, out.w = counts.astype("int64"), at, w
+        out.starts = np.cumsum(out.counts) - out.counts
+        return out
+
+    def rows(self, index: np.ndarray | None = None) -> np.ndarray:
+        """The vectors, or those of ``index``, with all components."""
+        index = np.arange(len(self.counts)) if index is None else index
+        counts = self.counts[index]
+        taken = np.arange(counts.sum()) + np.repeat(self.starts[index] - (np.cumsum(counts) - counts), counts)
+        out = np.zeros((len(index), self.width))
+        out[np.repeat(np.arange(len(index)), counts), self.at[taken]] = self.w[taken]
+        return out
+
+
+class _Block(_Vectors):
+    """The unit vectors of a block, also in single precision by row and by component."""
+
+    def __init__(self, vectors_: _Vectors, first: int, last: int, floor: np.ndarray):
+        self.at, self.w, self.width = vectors_.at, vectors_.w, vectors_.width
+        self.counts, self.starts = vectors_.counts[first:last], vectors_.starts[first:last]
+        self.single = self.rows().astype("float32")
+        self.turned = np.ascontiguousarray(self.single.T)
+        self.weight = np.einsum("ij,ij->i", self.turned, self.turned) / len(self.counts)
+        self.mean = self.turned.mean(axis=1)
+        self.asks(floor)
+
+    def asks(self, least: np.ndarray) -> None:
+        """Keeps a score that nine of ten vectors ask for."""
+        self.asked = float(np.quantile(least, 0.1, method="lower"))
+
+    def cut(self, components: np.ndarray) -> np.ndarray:
+        """Some components, and the length of the rest, no less than it is."""
+        out = np.empty((len(components) + 1, len(self.counts)), "float32")
+        np.take(self.turned, components, axis=0, out=out[:-1])
+        squares = np.einsum("ij,ij->j", out[:-1], out[:-1])
+        out[-1] = np.sqrt(np.maximum(0, 1 - squares) + self.width * 2.0**-23)
+        return out
+
+
+class _Pack:
+    """The blocks of a pack; ``floor`` has the score that each vector's neighbours must reach."""
+
+    def __init__(self, gids: Sequence[Any], sizes: Sequence[int], vectors_: _Vectors, floor: np.ndarray | None = None):
+        # the place of each key, where scores are equal
+        self.rank = np.argsort(np.argsort(np.asarray(gids), kind="stable"), kind="stable")
+        self.floor = np.full(len(gids), -np.inf) if floor is None else floor
+        ends = np.cumsum(sizes).tolist()
+        self.ranges = list(zip([0, *ends], ends))
+        self.blocks = (_Block(vectors_, first, last, self.floor[first:last]) for first, last in self.ranges)
+
+    @classmethod
+    def read(cls, row: _Row, side: str, width: int) -> _Pack:
+        at, w = row.numbers(f"{side}_at", _AT), row.numbers(f"{side}_w", "float64")
+        vectors_ = _Vectors.of(row.numbers(f"{side}_counts", "int32"), at, w, width)
+        floor = row.numbers(f"{side}_least", "float64")
+        out = cls(row.value(f"{side}_gids"), row.value(f"{side}_sizes"), vectors_, floor)
+        out.cells, out.visits = ([set(c) for c in row.value(f"{side}_{c}")] for c in ("block_cells", "visits"))
+        return out
+
+
+class _Best:
+    """The best that vectors have met in a pack: ``most`` places and scores for each, best first,
+    equal scores by the rank of the place."""
+
+    def __init__(self, floor: np.ndarray, rank: np.ndarray, most: int):
+        self.floor, self.rank, self.most = floor, rank, most
+        self.score = np.full((len(floor), most), -np.inf)
+        self.at = np.full((len(floor), most), -1)
+
+    def least(self, first: int, last: int) -> np.ndarray:
+        """The scores below which nothing counts for some vectors."""
+        return np.maximum(self.floor[first:last], self.score[first:last, -1])
+
+    def take(self, query: np.ndarray, at: np.ndarray, score: np.ndarray) -> None:
+        if not len(query):
+            return
+        asked, place = np.unique(query, return_inverse=True)
+        old, nth = np.nonzero(self.at[asked] >= 0)
+        place = np.concatenate([place, old])
+        at = np.concatenate([at, self.at[asked[old], nth]])
+        score = np.concatenate([score, self.score[asked[old], nth]])
+        order = np.lexsort((self.rank[at], -score, place))
+        place, at, score = place[order], at[order], score[order]
+        nth = np.arange(len(place)) - np.searchsorted(place, place)
+        first = nth < self.most
+        place, at, score, nth = place[first], at[first], score[first], nth[first]
+        self.score[asked], self.at[asked] = -np.inf, -1
+        self.score[asked[place], nth] = score
+        self.at[asked[place], nth] = at
+
+
+def _within(pack: _Pack, most: int, digits: int) -> _Best:
+    """The best that the vectors of a pack find in it, themselves among them."""
+    best = _Best(pack.floor, pack.rank, most)
+    for (first, last), part in zip(pack.ranges, pack.blocks):
+        rough = part.single @ part.turned
+        least = np.full(last - first, -np.inf)
+        if len(rough) >= most:
+            least = np.partition(rough, -most, axis=1)[:, -most] - 2 * _error(part.width, digits)
+        query, at = np.nonzero(rough >= _reach(least, part.width, digits)[:, None])
+        query, at, score = _reached(query, at, least, part, part, False, most, digits)
+        best.take(first + query, first + at, score)
+        part.asks(best.score[first:last, -1])
+    for i, (first, last) in enumerate(pack.ranges):
+        for j in range(i + 1, len(pack.ranges)):
+            other, end = pack.ranges[j]
+            found, back = _compare(
+                pack.blocks[i], pack.blocks[j], best.least(first, last), best.least(other, end), most, digits
+            )
+            best.take(first + found[0], other + found[1], found[2])
+            best.take(other + back[0], first + back[1], back[2])
+    return best
+
+
+def _between(a: _Pack, b: _Pack, most: int, digits: int) -> tuple[_Best, _Best]:
+    """The best that the vectors of two packs find in the other pack."""
+    of_a, of_b = _Best(a.floor, b.rank, most), _Best(b.floor, a.rank, most)
+    for j, ((other, end), block_b) in enumerate(zip(b.ranges, b.blocks)):
+        for i, ((first, last), block_a) in enumerate(zip(a.ranges, a.blocks)):
+            if a.visits[i].isdisjoint(b.cells[j]) and b.visits[j].isdisjoint(a.cells[i]):
+                continue
+            found, back = _compare(block_a, block_b, of_a.least(first, last), of_b.least(other, end), most, digits)
+            of_a.take(first + found[0], other + found[1], found[2])
+            of_b.take(other + back[0], first + back[1], back[2])
+    return of_a, of_b
+
+
+def _error(width: int, digits: int) -> float:
+    """The most by which a product of unit vectors in single precision, and its rounding, can be off."""
+    return (width + 4) * 2.0**-23 + 10.0**-digits
+
+
+def _reach(least: np.ndarray, width: int, digits: int) -> np.ndarray:
+    """The score in single precision from which on a vector may reach ``least``."""
+    return (least - _error(width, digits) - 2.0**-23).astype("float32")
+
+
+def _components(a: _Block, b: _Block) -> np.ndarray | None:
+    """Few components that tell most of the blocks' scores; None for all."""
+    missing = min(a.asked, b.asked) - float(a.mean @ b.mean)
+    if not np.isfinite(missing):
+        return None
+    enough = max(_REST, _REST_SHARE * missing) ** 2
+    few = None
+    for weight in (a.weight, b.weight, a.weight + b.weight):
+        order = np.argsort(-weight)
+        rest = [np.maximum(0, x.weight.sum() - np.cumsum(x.weight[order])) for x in (a, b)]
+        size = int(np.argmax(rest[0] * rest[1] <= enough)) + 1
+        if few is None or size < len(few):
+            few = order[:size]
+    return None if len(few) > 0.9 * a.width else few
+
+
+def _compare(a: _Block, b: _Block, least_a: np.ndarray, least_b: np.ndarray, most: int, digits: int):
+    """``(vector, vector of the other block, score)`` of what reaches the least scores, for the vectors of
+    ``a`` and for those of ``b``. Scores are first worked out in single precision, or bounded from
+    some components; those that may reach are worked out in double precision."""
+    components = _components(a, b)
+    if components is None:
+        rough = a.single @ b.turned
+    else:
+        rough = a.cut(components).T @ b.cut(components)
+    reach_a, reach_b = (_reach(x, a.width, digits) for x in (least_a, least_b))
+    may = rough >= reach_a[:, None]
+    may |= rough >= reach_b
+    flat = np.flatnonzero(may)
+    row, column = np.divmod(flat, rough.shape[1])
+    score = rough.ravel()[flat]
+    of_a, of_b = score >= reach_a[row], score >= reach_b[column]
+    bound = components is not None
+    return (
+        _reached(row[of_a], column[of_a], least_a, a, b, bound, most, digits),
+        _reached(column[of_b], row[of_b], least_b, b, a, bound, most, digits),
+    )
 
 
-def _matrix(rows: bytes, width: int) -> np.ndarray:
-    return np.frombuffer(rows, dtype="float64").reshape(-1, width)
-
-
-class _Asking:
-    """The best that a block of queries has met in a task: ``most`` keys for each query.
-
-    Scores are first worked out in single precision. Those that may reach the query's best so
-    far, by the largest error they can have, are worked out in double precision."""
-
-    def __init__(self, gids: Sequence[Any], units: np.ndarray, most: int, digits: int):
-        self.gids, self.units, self.most, self.digits = np.asarray(gids), units, most, digits
-        self.single = units.astype("float32")
-        # of a product of unit vectors, and of its rounding
-        self.error = (units.shape[1] + 4) * 2.0**-23 + 10.0**-digits
-        self.best = np.full((len(units), most), -np.inf)
-        self.found: list[pd.DataFrame] = []
-
-    def meet(self, ids: Sequence[Any], copies: Sequence[int], units: np.ndarray) -> None:
-        """Compare with another block: keys in order of their vectors, and how many each has."""
-        rough = self.single @ units.astype("float32").T
-        least = self.best[:, 0] - self.error
-        if not self.found and len(units) >= self.most:
-            least = np.partition(rough, -self.most, axis=1)[:, -self.most] - 2 * self.error
-        may = rough >= least[:, None].astype("float32") - np.float32(2.0**-23)
-        # where very many are alike the best are picked in key order
-        alike = np.flatnonzero(np.count_nonzero(may, axis=1) > _FEW)
-        may[alike] = False
-        query, column = np.nonzero(may)
-        score = np.round(np.einsum("ij,ij->i", self.units[query], units[column]), self.digits)
-        if len(alike):
-            scores = np.round(self.units[alike] @ units.T, self.digits)
-            columns = _best_columns(scores, self.most)
-            query = np.concatenate([query, np.repeat(alike, columns.shape[1])])
-            column = np.concatenate([column, columns.ravel()])
-            score = np.concatenate([score, np.take_along_axis(scores, columns, 1).ravel()])
-        reach = score >= self.best[query, 0]
-        query, column, score = query[reach], column[reach], score[reach]
-        # the best so far of each query, with those of this block
-        order = np.lexsort((column, -score, query))
-        query, column, score = query[order], column[order], score[order]
-        place = np.arange(len(query)) - np.searchsorted(query, query)
-        first = place < self.most
-        query, column, score, place = query[first], column[first], score[first], place[first]
-        met = np.full_like(self.best, -np.inf)
-        met[query, place] = score
-        self.best = np.sort(np.concatenate([self.best, met], axis=1), axis=1)[:, -self.most :]
-        # one line per query, candidate and key of the candidate
-        copies = np.asarray(copies)
-        starts, times = np.cumsum(copies) - copies, copies[column]
-        within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        keys = np.asarray(ids)[np.repeat(starts[column], times) + within]
-        self.found.append(
-            pd.DataFrame({"query": np.repeat(query, times), "id": keys, "score": np.repeat(score, times)})
-        )
-        if sum(map(len, self.found)) > 8 * self.most * len(self.units):
-            self._reduce()
-
-    def _reduce(self) -> pd.DataFrame:
-        every = pd.concat(self.found).sort_values(["query", "score", "id"], ascending=[True, False, True])
-        self.found = [every.groupby("query", sort=False).head(self.most)]
-        return self.found[0]
-
-    def rows(self) -> pd.DataFrame:
-        found = self._reduce()
-        return found.assign(gid=self.gids[found["query"]])[["gid", "id", "score"]]
+def _reached(
+    query: np.ndarray, at: np.ndarray, least: np.ndarray, a: _Block, b: _Block, bound: bool, most: int, digits: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which of some pairs reach the query's least score, with their scores; of a query with very many
+    pairs, its best ones. ``bound``: the pairs were found by bounds only."""
+    if not len(query):
+        return query, at, np.zeros(0)
+    reach = _reach(least, a.width, digits)
+    if bound:
+        # in full, one by one or all of a query at once
+        many = np.bincount(query, minlength=len(least)) > _FEW
+        single, few = np.flatnonzero(many), ~many[query]
+        query, at = query[few], at[few]
+        near = np.empty(len(query), "float32")
+        for i in range(0, len(query), _CHECKED):
+            some = slice(i, i + _CHECKED)
+            near[some] = np.einsum("ij,ij->i", a.single[query[some]], b.single[at[some]])
+        query, at = query[near >= reach[query]], at[near >= reach[query]]
+        if len(single):
+            place, more = np.nonzero(a.single[single] @ b.turned >= reach[single, None])
+            query, at = np.concatenate([query, single[place]]), np.concatenate([at, more])
+    # where very many are alike the best are picked in key order
+    many = np.bincount(query, minlength=len(least)) > _FEW
+    alike, few = np.flatnonzero(many), ~many[query]
+    query, at = query[few], at[few]
+    asking, place = np.unique(query, return_inverse=True)
+    met, other = np.unique(at, return_inverse=True)
+    units, others = a.rows(asking), b.rows(met)
+    score = np.empty(len(query))
+    for i in range(0, len(query), _CHECKED):
+        some = slice(i, i + _CHECKED)
+        score[some] = np.einsum("ij,ij->i", units[place[some]], others[other[some]])
+    score = np.round(score, digits)
+    if len(alike):
+        scores = np.round(a.rows(alike) @ b.rows().T, digits)
+        columns = _best_columns(scores, most)
+        query = np.concatenate([query, np.repeat(alike, columns.shape[1])])
+        at = np.concatenate([at, columns.ravel()])
+        score = np.concatenate([score, np.take_along_axis(scores, columns, 1).ravel()])
+    enough = score >= least[query]
+    return query[enough], at[enough], score[enough]
+
+
+#: Pairs that are worked out at a time.
+_CHECKED = 256
 
 
 def nearest_approximate(

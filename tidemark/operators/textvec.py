@@ -146,32 +146,26 @@ def fit_vocabulary(
 ) -> Vocabulary:
     """The most frequent terms of a corpus, ties in alphabetical order.
 
-    One pass: each document gives its terms once per use and once per document, and both
-    are summed map-side. Only the ``max_features`` best terms reach the driver.
+    Two passes: the first sums the uses of all words map-side, the second counts the texts of the
+    best ones. Only the ``max_features`` best terms reach the driver.
     """
-    stop = tuple(default_stop_words() if stop_words is None else stop_words)
-
-    def tagged(words: Column) -> Column:
-        uses = F.transform(words, lambda t: F.struct(t.alias("t"), F.lit(1).alias("u"), F.lit(0).alias("d")))
-        once = F.transform(
-            F.array_distinct(words),
-            lambda t: F.struct(t.alias("t"), F.lit(0).alias("u"), F.lit(1).alias("d")),
-        )
-        return F.concat(uses, once)
-
-    counted = (
-        df.select(F.explode(let(tokens(F.col(text), stop), tagged)).alias("x"))
-        .groupBy(F.col("x.t").alias("term"))
-        .agg(F.sum("x.u").alias("total"), F.sum("x.d").alias("documents"))
-    )
-    best = counted.orderBy(F.desc("total"), "term").limit(max_features).collect()
+    stop = list(default_stop_words() if stop_words is None else stop_words)
+    words = df.select(F.explode(tokens(F.col(text))).alias("term"))
+    totals = words.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+    # few words are left here, so that stop words are left out at less cost than in the texts
+    if stop:
+        totals = totals.filter(~F.col("term").isin(stop))
+    best = totals.orderBy(F.desc("total"), "term").limit(max_features).collect()
     best.sort(key=lambda r: r.term)
+    known = F.filter(tokens(F.col(text)), lambda t: t.isin([r.term for r in best]))
+    counted = df.select(F.explode(F.array_distinct(known)).alias("term")).groupBy("term").count()
+    documents = {r.term: r["count"] for r in counted.collect()} if best else {}
     return Vocabulary(
         tuple(r.term for r in best),
         tuple(r.total for r in best),
-        tuple(r.documents for r in best),
+        tuple(documents[r.term] for r in best),
         df.count(),
-        stop,
+        tuple(stop),
     )
 
 
